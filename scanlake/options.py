@@ -1,0 +1,71 @@
+"""Options that change results, grouped the way users configure them.
+
+``Options.from_mapping`` takes the nested dict of a settings file: a missing
+section keeps its defaults, a present section replaces the whole section.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass, field, fields
+
+
+@dataclass(frozen=True)
+class InputOptions:
+    root_path: str = ""
+    extensions: tuple[str, ...] = (".tif", ".tiff")
+    recursive: bool = True
+
+
+@dataclass(frozen=True)
+class OutputOptions:
+    root_path: str = ""
+    formats: tuple[str, ...] = ("txt", "json")
+
+
+@dataclass(frozen=True)
+class RecogniserOptions:
+    engine: str = "tesseract"
+    language: str = "eng"
+    config: str = "--oem 1 --psm 3"
+
+
+@dataclass(frozen=True)
+class PrepOptions:
+    enabled: bool = True
+    min_dpi: float = 200
+    target_dpi: float = 300
+    default_dpi: float = 300
+    deskew: bool = True
+    deskew_threshold_degrees: float = 0.5
+    binarization: str | None = "sauvola"
+
+
+@dataclass(frozen=True)
+class RunOptions:
+    batch_size: int = 10
+    max_retries: int = 3
+    stale_minutes: int = 60
+
+
+@dataclass(frozen=True)
+class Options:
+    input: InputOptions = field(default_factory=InputOptions)
+    output: OutputOptions = field(default_factory=OutputOptions)
+    recogniser: RecogniserOptions = field(default_factory=RecogniserOptions)
+    prep: PrepOptions = field(default_factory=PrepOptions)
+    run: RunOptions = field(default_factory=RunOptions)
+
+    @classmethod
+    def from_mapping(cls, settings: Mapping[str, Mapping] | None) -> Options:
+        sections = {f.name: f.default_factory for f in fields(cls)}
+        given = {
+            name: sections[name](**_tuples(values))
+            for name, values in (settings or {}).items()
+            if name in sections
+        }
+        return cls(**given)
+
+
+def _tuples(values: Mapping) -> dict:
+    return {k: tuple(v) if isinstance(v, list) else v for k, v in values.items()}
