@@ -16,12 +16,10 @@ def number_rows(df: DataFrame, key: str, name: str) -> DataFrame:
     checkpointed first, since the range bounds are sampled and a recomputed
     partition could differ from the one that was counted.
     """
-    spark = df.sparkSession
-    shared_folder(spark)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared_folder(df.sparkSession)
     part, row = "__part", "__row"
     ranged = (
-        df.repartitionByRange(partitions, key)
+        df.repartitionByRange(key)
         .sortWithinPartitions(key)
         .withColumn(part, F.spark_partition_id())
         # The low 33 bits count the rows of the partition.

@@ -144,11 +144,12 @@ def sauvola(
         F.sum("n").over(near_y).alias("n"),
     ).where((F.col("py") == F.col("y")) & (F.floor(F.col("py") / tile) == F.col("ty")))
     n = F.col("n").cast("double")
-    mean = F.col("s1") / n
-    deviation = F.sqrt(F.greatest(F.col("s2") / n - mean * mean, F.lit(0.0)))
+    means = sums.withColumns({"mean": F.col("s1") / n, "square": F.col("s2") / n})
+    mean = F.col("mean")
+    deviation = F.sqrt(F.greatest(F.col("square") - mean * mean, F.lit(0.0)))
     threshold = mean * (F.lit(1.0) + F.lit(k) * (deviation / F.lit(r) - F.lit(1.0)))
     white = F.when(F.col("v") > threshold, WHITE).otherwise(0)
-    return sums.select(*PAGE_KEY, "y", "x", white.alias("v"))
+    return means.select(*PAGE_KEY, "y", "x", white.alias("v"))
 
 
 def _places(at: Column, size: Column, reach: int, tile: int) -> Column:
@@ -235,28 +236,32 @@ def _resample_axis(
     cells: DataFrame, axis: str, size: str, new_size: str, values: tuple[str, ...], carry: list[str]
 ) -> DataFrame:
     other = "y" if axis == "x" else "x"
-    at = F.col(axis)
-    step = F.col(size) / F.col(new_size)
-    stretch = F.greatest(step, F.lit(1.0))
-    support = stretch * 3.0
-    low = F.floor((at + 0.5 - support - 1.0) / step - 0.5)
-    high = F.ceil((at + 0.5 + support + 1.0) / step - 0.5)
+    at, same = F.col(axis), F.col(size) == F.col(new_size)
+    stepped = cells.withColumn("step", F.col(size) / F.col(new_size)).withColumn(
+        "stretch", F.greatest("step", F.lit(1.0))
+    )
+    support = F.col("stretch") * 3.0
+    bounded = stepped.withColumns(
+        {
+            "low": F.floor((at - 0.5 - support) / F.col("step") - 0.5).cast("int"),
+            "high": F.ceil((at + 1.5 + support) / F.col("step") - 0.5).cast("int"),
+        }
+    )
     targets = F.sequence(
-        F.greatest(low, F.lit(0)).cast("int"), F.least(high, F.col(new_size) - 1).cast("int")
+        F.greatest("low", F.lit(0)), F.least("high", F.col(new_size) - 1)
     )
-    same = F.col(size) == F.col(new_size)
-    spread = cells.select(
-        *PAGE_KEY, other, axis, *values, size, new_size, *carry,
+    spread = bounded.select(
+        *PAGE_KEY, other, axis, *values, size, new_size, *carry, "step", "stretch",
         F.explode(F.when(same, F.array(at)).otherwise(targets)).alias("to"),
-    )
-    centre = (F.col("to") + 0.5) * step
-    first = F.greatest(F.floor(centre - support + 0.5), F.lit(0))
-    last = F.least(F.floor(centre + support + 0.5), F.col(size))
-    weight = F.when(same, F.lit(1.0)).otherwise(_lanczos((at + 0.5 - centre) / stretch))
-    units = F.round(weight * _WEIGHT_ONE).cast("bigint")
+    ).withColumn("centre", (F.col("to") + 0.5) * F.col("step"))
+    first = F.greatest(F.floor(F.col("centre") - support + 0.5), F.lit(0))
+    last = F.least(F.floor(F.col("centre") + support + 0.5), F.col(size))
+    distance = (at + 0.5 - F.col("centre")) / F.col("stretch")
+    weight = F.when(same, F.lit(1.0)).otherwise(_lanczos(F.col("t")))
     sums = (
         spread.where(same | ((at >= first) & (at < last)))
-        .withColumn("units", units)
+        .withColumn("t", distance)
+        .withColumn("units", F.round(weight * _WEIGHT_ONE).cast("bigint"))
         .groupBy(*PAGE_KEY, *carry, F.col(other), F.col("to").alias(axis))
         .agg(
             F.sum("units").alias("w"),
@@ -291,72 +296,101 @@ def rotate(grid: DataFrame, angles: DataFrame) -> DataFrame:
         F.sin(F.radians("angle")).alias("s"),
         (F.coalesce("angle", F.lit(0.0)) != 0.0).alias("turned"),
     )
-    cells = grid.join(info, PAGE_KEY)
-    c, s = F.col("c"), F.col("s")
-    mid_x, mid_y = F.col("width") / 2.0 - 0.5, F.col("height") / 2.0 - 0.5
-    from_x, from_y = F.col("x") - mid_x, F.col("y") - mid_y
-    to_x = c * from_x + s * from_y + mid_x
-    to_y = c * from_y - s * from_x + mid_y
-    reach = (F.abs(c) + F.abs(s)) * 2.0
-
-    def targets(centre: Column, size: Column) -> Column:
-        low = F.greatest(F.floor(centre - reach), F.lit(0)).cast("int")
-        high = F.least(F.ceil(centre + reach), size - 1).cast("int")
-        return F.coalesce(F.when(low <= high, F.sequence(low, high)), F.array().cast("array<int>"))
-
-    # Every pixel also names its own cell (place -1, no weight), so cells out of
+    # Each step is a column of its own: repeated subexpressions would not fit
+    # into generated code otherwise.
+    cells = grid.join(info, PAGE_KEY).withColumns(
+        {
+            "mid_x": F.col("width") / 2.0 - 0.5,
+            "mid_y": F.col("height") / 2.0 - 0.5,
+            "reach": (F.abs("c") + F.abs("s")) * 2.0,
+        }
+    )
+    turned = F.col("turned")
+    dx, dy = F.col("x") - F.col("mid_x"), F.col("y") - F.col("mid_y")
+    placed = cells.withColumns(
+        {
+            "to_x": F.col("c") * dx + F.col("s") * dy + F.col("mid_x"),
+            "to_y": F.col("c") * dy - F.col("s") * dx + F.col("mid_y"),
+        }
+    ).withColumns(
+        {
+            "x_low": F.greatest(F.floor(F.col("to_x") - F.col("reach")).cast("int"), F.lit(0)),
+            "x_high": F.least(F.ceil(F.col("to_x") + F.col("reach")).cast("int"), F.col("width") - 1),
+            "y_low": F.greatest(F.floor(F.col("to_y") - F.col("reach")).cast("int"), F.lit(0)),
+            "y_high": F.least(F.ceil(F.col("to_y") + F.col("reach")).cast("int"), F.col("height") - 1),
+        }
+    )
+    # Place -1 names the pixel's own cell without weight, so that cells out of
     # every pixel's reach exist.
+    hits = (F.col("x_low") <= F.col("x_high")) & (F.col("y_low") <= F.col("y_high"))
     nowhere = F.array(F.lit(-1))
-    turned = F.col("turned")
-    across = F.when(turned, F.concat(nowhere, targets(to_x, F.col("width"))))
-    down = F.when(turned & (F.col("px") < 0), nowhere).when(turned, targets(to_y, F.col("height")))
-    spread = (
-        cells.withColumn("px", F.explode(F.coalesce(across, F.array("x"))))
-        .withColumn("py", F.explode(F.coalesce(down, F.array("y"))))
-        .select(
-            *PAGE_KEY, "v", "width", "height", "c", "s", "turned",
-            F.col("x").alias("sx"), F.col("y").alias("sy"),
-            (F.col("px") < 0).alias("is_own"),
-            F.when(F.col("px") < 0, F.col("x")).otherwise(F.col("px")).alias("x"),
-            F.when(F.col("px") < 0, F.col("y")).otherwise(F.col("py")).alias("y"),
-        )
+    across = (
+        F.when(~turned, F.array("x"))
+        .when(hits, F.concat(nowhere, F.sequence("x_low", "x_high")))
+        .otherwise(nowhere)
+    )
+    down = (
+        F.when(~turned, F.array("y"))
+        .when(F.col("px") < 0, nowhere)
+        .otherwise(F.sequence("y_low", "y_high"))
+    )
+    spread = placed.withColumn("px", F.explode(across)).withColumn("py", F.explode(down))
+    own = F.col("px") < 0
+    carried = ["width", "height", "v_min", "v_max", "c", "s", "mid_x", "mid_y", "turned"]
+    aimed = spread.select(
+        *PAGE_KEY, "v", *carried, own.alias("own"),
+        F.col("x").alias("sx"), F.col("y").alias("sy"),
+        F.when(own, F.col("x")).otherwise(F.col("px")).alias("x"),
+        F.when(own, F.col("y")).otherwise(F.col("py")).alias("y"),
+    )
+    distances = _with_source(aimed).withColumns(
+        {"tx": F.abs(F.col("at_x") - F.col("sx")), "ty": F.abs(F.col("at_y") - F.col("sy"))}
+    )
+    weight = (
+        F.when(F.col("own"), F.lit(0.0))
+        .when(turned, _cubic(F.col("tx")) * _cubic(F.col("ty")))
+        .otherwise(F.lit(1.0))
     )
-    source_x, source_y = _source(F.col("x"), F.col("y"), c, s, mid_x, mid_y)
-    near = (F.abs(source_x - F.col("sx")) < 2.0) & (F.abs(source_y - F.col("sy")) < 2.0)
-    cubic = _cubic(source_x - F.col("sx")) * _cubic(source_y - F.col("sy"))
-    weight = F.when(F.col("is_own"), F.lit(0.0)).when(turned, cubic).otherwise(F.lit(1.0))
-    units = F.round(weight * _WEIGHT_ONE).cast("bigint")
     sums = (
-        spread.where(F.col("is_own") | ~turned | near)
-        .withColumn("units", units)
+        distances.where(F.col("own") | ~turned | ((F.col("tx") < 2.0) & (F.col("ty") < 2.0)))
+        .withColumn("units", F.round(weight * _WEIGHT_ONE).cast("bigint"))
         .groupBy(*CELL_KEY)
-        .agg(F.sum(F.col("units") * F.col("v")).alias("wv"), F.sum("units").alias("w"))
+        # The page's values travel along, which spares a second join of all cells.
+        .agg(
+            F.sum(F.col("units") * F.col("v")).alias("wv"),
+            F.sum("units").alias("w"),
+            *[F.any_value(c).alias(c) for c in carried],
+        )
     )
-    filled_pages = sums.join(info, PAGE_KEY)
-    at_x, at_y = _source(F.col("x"), F.col("y"), c, s, mid_x, mid_y)
+    summed = _with_source(sums)
     inside = (
-        (F.floor(at_x) >= 1)
-        & (F.ceil(at_x) + 1 < F.col("width"))
-        & (F.floor(at_y) >= 1)
-        & (F.ceil(at_y) + 1 < F.col("height"))
+        (F.floor("at_x") >= 1)
+        & (F.ceil("at_x") + 1 < F.col("width"))
+        & (F.floor("at_y") >= 1)
+        & (F.ceil("at_y") + 1 < F.col("height"))
     )
     one = F.lit(_WEIGHT_ONE).cast("bigint")
-    filled = div(F.col("wv") + (one - F.col("w")) * WHITE, one)
-    value = F.when(~F.col("turned") | (inside & (F.col("w") > 0)), div(F.col("wv"), F.col("w")))
-    value = F.coalesce(value, filled)
-    in_range = F.least(F.greatest(value, F.col("v_min")), F.col("v_max"))
-    shown = F.when(value == WHITE, F.lit(WHITE)).otherwise(in_range).cast("int")
-    return filled_pages.select(*CELL_KEY, shown.alias("v"))
-
-
-def _source(x: Column, y: Column, c: Column, s: Column, mid_x: Column, mid_y: Column):
-    """Where in the unturned page a target cell comes from."""
-    dx, dy = x - mid_x, y - mid_y
-    return c * dx - s * dy + mid_x, s * dx + c * dy + mid_y
+    value = F.when(~turned | (inside & (F.col("w") > 0)), div(F.col("wv"), F.col("w"))).otherwise(
+        div(F.col("wv") + (one - F.col("w")) * WHITE, one)
+    )
+    in_range = F.least(F.greatest("value", "v_min"), "v_max")
+    shown = F.when(F.col("value") == WHITE, F.lit(WHITE)).otherwise(in_range).cast("int")
+    return summed.withColumn("value", value).select(*CELL_KEY, shown.alias("v"))
+
+
+def _with_source(cells: DataFrame) -> DataFrame:
+    """Add at_x, at_y: where in the unturned page a cell comes from."""
+    dx, dy = F.col("x") - F.col("mid_x"), F.col("y") - F.col("mid_y")
+    return cells.withColumns(
+        {
+            "at_x": F.col("c") * dx - F.col("s") * dy + F.col("mid_x"),
+            "at_y": F.col("s") * dx + F.col("c") * dy + F.col("mid_y"),
+        }
+    )
 
 
-def _cubic(t: Column) -> Column:
-    a = F.abs(t)
+def _cubic(a: Column) -> Column:
+    """Catmull-Rom kernel at distance a."""
     near = (a * 1.5 - 2.5) * a * a + 1.0
     far = ((a * -0.5 + 2.5) * a - 4.0) * a + 2.0
     return F.when(a < 1.0, near).when(a < 2.0, far).otherwise(F.lit(0.0))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scanlake.functions.dpi import parse_dpi, resample_plan
 from scanlake.operators import raster
 from scanlake.options import PrepOptions
-from scanlake.session import written
+from scanlake.session import spread, written
 
 PAGE_KEY = raster.PAGE_KEY
 
@@ -41,14 +41,14 @@ def prepare_pages(
     method = (options.binarization or "none").lower()
     angles = None
     if options.deskew:
-        clean = written(clean, "resampled")
+        clean = spread(written(clean, "resampled"))
         angles = written(raster.skew_angle(clean), "angles")
         turning = angles.where(F.abs("angle") >= options.deskew_threshold_degrees)
         clean = raster.rotate(clean, turning)
     if method == "sauvola":
         clean = raster.sauvola(clean, sizes=sizes)
     elif method == "otsu":
-        clean = raster.otsu_binarise(written(clean, "gray"))
+        clean = raster.otsu_binarise(spread(written(clean, "gray")))
     return clean, _provenance(plan, angles, options.deskew, options.deskew_threshold_degrees)
 
 

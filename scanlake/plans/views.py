@@ -7,13 +7,14 @@ definitions appear as SQL in ``oracles.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.functions.paths import file_name
 from scanlake.functions.times import moment
 from scanlake.operators.pages import split_pages
 from scanlake.schemas import LEDGER, RESULTS
+from scanlake.session import spread
 from scanlake.sources.documents import write_files
 
 # The moment all views agree on, and the rows of one pixel page.
@@ -85,7 +86,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line of a document is a page, between a blank cover and a blank back page."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("image_id"), _file_path().alias("file_path"),
         _file_size().alias("file_size_bytes"),
         F.concat(F.lit("\n"), "text", F.lit("\n")).alias("text"),
@@ -178,43 +179,45 @@ def dpi_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _scanlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """64 vectors of 64 numbers make a page of scanlines, four pages an image."""
     page = F.floor(F.col("vec_id") / PAGE_ROWS)
     return table(spark, sf_dir, "embeddings").select(
         F.floor(page / 4).alias("image_id"),
         (page % 4 + 1).cast("int").alias("page_number"),
         (F.col("vec_id") % PAGE_ROWS).cast("int").alias("y"),
-        F.transform(
-            "embedding", lambda v: F.floor((v.cast("double") + 1) * 127.5).cast("int")
-        ).alias("line"),
+        F.col("embedding").alias("line"),
     )
 
 
+def _gray(value: Column) -> Column:
+    return F.floor((value.cast("double") + 1) * 127.5).cast("int")
+
+
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gray pixels."""
-    lines = _scanlines(spark, sf_dir)
-    return lines.select(
-        "image_id", "page_number", "y", F.posexplode("line").alias("x", "v")
+    cells = spread(_vectors(spark, sf_dir)).select(
+        "image_id", "page_number", "y", F.posexplode("line").alias("x", "value")
     )
+    return cells.select("image_id", "page_number", "y", "x", _gray(F.col("value")).alias("v"))
 
 
 def colour_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Colour pixels: a gray value and its two right-hand neighbours, wrapping around."""
-    cells = _scanlines(spark, sf_dir).select(
-        "image_id", "page_number", "y", "line", F.posexplode("line").alias("x", "r")
+    cells = spread(_vectors(spark, sf_dir)).select(
+        "image_id", "page_number", "y", "line", F.posexplode("line").alias("x", "value")
     )
     size = F.size("line")
     return cells.select(
-        "image_id", "page_number", "y", "x", "r",
-        F.get("line", (F.col("x") + 1) % size).alias("g"),
-        F.get("line", (F.col("x") + 2) % size).alias("b"),
+        "image_id", "page_number", "y", "x", _gray(F.col("value")).alias("r"),
+        _gray(F.get("line", (F.col("x") + 1) % size)).alias("g"),
+        _gray(F.get("line", (F.col("x") + 2) % size)).alias("b"),
     )
 
 
 def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page sizes and recorded resolutions of the pixel pages."""
-    sizes = _scanlines(spark, sf_dir).groupBy("image_id", "page_number").agg(
+    sizes = _vectors(spark, sf_dir).groupBy("image_id", "page_number").agg(
         F.max(F.size("line")).alias("width"), (F.max("y") + 1).alias("height")
     )
     kind = (F.col("image_id") + F.col("page_number")) % 3
