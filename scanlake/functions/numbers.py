@@ -25,7 +25,7 @@ def half_up4(numerator: Column, denominator: Column) -> Column:
 def score_units(score: Column, scale: int) -> Column:
     """A score on 0..scale as whole billionths; null where the score does not count."""
     valid = score.isNotNull() & (score >= 0) & ~F.isnan(score.cast("double"))
-    return F.when(valid, F.round(score.cast("double") * F.lit(UNITS / scale)).cast("bigint"))
+    return F.when(valid, F.floor(score.cast("double") * F.lit(UNITS / scale) + 0.5))
 
 
 def mean_of_units(total: Column, count: Column) -> Column:

@@ -261,7 +261,7 @@ def _resample_axis(
     sums = (
         spread.where(same | ((at >= first) & (at < last)))
         .withColumn("t", distance)
-        .withColumn("units", F.round(weight * _WEIGHT_ONE).cast("bigint"))
+        .withColumn("units", F.floor(weight * _WEIGHT_ONE + 0.5))
         .groupBy(*PAGE_KEY, *carry, F.col(other), F.col("to").alias(axis))
         .agg(
             F.sum("units").alias("w"),
@@ -336,9 +336,9 @@ def rotate(grid: DataFrame, angles: DataFrame) -> DataFrame:
     )
     spread = placed.withColumn("px", F.explode(across)).withColumn("py", F.explode(down))
     own = F.col("px") < 0
-    carried = ["width", "height", "v_min", "v_max", "c", "s", "mid_x", "mid_y", "turned"]
     aimed = spread.select(
-        *PAGE_KEY, "v", *carried, own.alias("own"),
+        *PAGE_KEY, "v", "width", "height", "v_min", "v_max", "c", "s", "mid_x", "mid_y", "turned",
+        own.alias("own"),
         F.col("x").alias("sx"), F.col("y").alias("sy"),
         F.when(own, F.col("x")).otherwise(F.col("px")).alias("x"),
         F.when(own, F.col("y")).otherwise(F.col("py")).alias("y"),
@@ -351,31 +351,35 @@ def rotate(grid: DataFrame, angles: DataFrame) -> DataFrame:
         .when(turned, _cubic(F.col("tx")) * _cubic(F.col("ty")))
         .otherwise(F.lit(1.0))
     )
+    inside = (
+        (F.floor("at_x") >= 1)
+        & (F.ceil("at_x") + 1 < F.col("width"))
+        & (F.floor("at_y") >= 1)
+        & (F.ceil("at_y") + 1 < F.col("height"))
+    )
     sums = (
         distances.where(F.col("own") | ~turned | ((F.col("tx") < 2.0) & (F.col("ty") < 2.0)))
-        .withColumn("units", F.round(weight * _WEIGHT_ONE).cast("bigint"))
+        .select(
+            *CELL_KEY, "v", "v_min", "v_max", (~turned | inside).cast("int").alias("inside"),
+            F.floor(weight * _WEIGHT_ONE + 0.5).alias("units"),
+        )
         .groupBy(*CELL_KEY)
-        # The page's values travel along, which spares a second join of all cells.
+        # Constant per cell or page; taken along to spare a second join of all cells.
         .agg(
             F.sum(F.col("units") * F.col("v")).alias("wv"),
             F.sum("units").alias("w"),
-            *[F.any_value(c).alias(c) for c in carried],
+            F.max("inside").alias("inside"),
+            F.max("v_min").alias("v_min"),
+            F.max("v_max").alias("v_max"),
         )
     )
-    summed = _with_source(sums)
-    inside = (
-        (F.floor("at_x") >= 1)
-        & (F.ceil("at_x") + 1 < F.col("width"))
-        & (F.floor("at_y") >= 1)
-        & (F.ceil("at_y") + 1 < F.col("height"))
-    )
     one = F.lit(_WEIGHT_ONE).cast("bigint")
-    value = F.when(~turned | (inside & (F.col("w") > 0)), div(F.col("wv"), F.col("w"))).otherwise(
+    value = F.when((F.col("inside") == 1) & (F.col("w") > 0), div(F.col("wv"), F.col("w"))).otherwise(
         div(F.col("wv") + (one - F.col("w")) * WHITE, one)
     )
     in_range = F.least(F.greatest("value", "v_min"), "v_max")
     shown = F.when(F.col("value") == WHITE, F.lit(WHITE)).otherwise(in_range).cast("int")
-    return summed.withColumn("value", value).select(*CELL_KEY, shown.alias("v"))
+    return sums.withColumn("value", value).select(*CELL_KEY, shown.alias("v"))
 
 
 def _with_source(cells: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from scanlake.operators import (
 )
 from scanlake.options import InputOptions, Options, OutputOptions, PrepOptions, RecogniserOptions
 from scanlake.plans import document_job, page_prep, rounds, views
-from scanlake.session import new_folder, written
+from scanlake.session import new_folder, spread, written
 from scanlake.sources import documents as document_files
 from scanlake.sources import files as file_sources
 from scanlake.sources import tables
@@ -456,9 +456,7 @@ def sink_json(spark, sf):
     root = new_folder(spark, "json")
     named = _documents(spark, sf).withColumn("output_base", F.concat_ws("-", "output_base", "image_id"))
     manifest = written(document_files.write_files(document_files.json_bodies(_into(named, root))), "manifest")
-    back = document_files.read_documents(spark, f"{root}/*/*/*.json").unionByName(
-        document_files.read_documents(spark, f"{root}/*.json")
-    )
+    back = document_files.read_documents(spark, root)
     sizes = manifest.agg(F.count("*").alias("files_written"))
     texts = back.agg(
         F.count("*").alias("files_read"),
@@ -496,7 +494,7 @@ def lines_newline(spark, sf):
 def round4(spark, sf):
     """Characters per word of each document, rounded half up."""
     words = text.word_count(F.col("text")).cast("bigint")
-    return views.table(spark, sf, "documents").select(
+    return spread(views.table(spark, sf, "documents")).select(
         "doc_id",
         F.when(words > 0, numbers.half_up4(F.col("n_chars"), words)).alias("chars_per_word"),
     )
@@ -636,7 +634,7 @@ def stream_discovery(spark, sf):
     written(document_files.write_files(document_files.text_bodies(_into(named, root))), "manifest")
     options = InputOptions(root_path=root, extensions=(".txt",))
     for _ in range(2):
-        discovery.register_stream(spark, options, ledger_root, checkpoint, _now()).awaitTermination()
+        discovery.register_available(spark, options, ledger_root, checkpoint, _now())
     return discovery.registered(spark, ledger_root).select(
         "id", F.substring_index("file_path", root.rsplit("/", 1)[-1], -1).alias("relative_path"),
         "file_size_bytes",

@@ -193,7 +193,7 @@ def _resample(source: str, plan: str, prefix: str, values: tuple[str, ...]) -> s
                            cast(least(floor(centre + stretch * 3.0 + 0.5), n_in) as bigint))) as src
     from {prefix}_c)),
 {prefix}_w as (
-  select n_in, n_out, cast(d as integer) as d, src, cast(round(4194304 * case when n_in = n_out then (d = src)::integer
+  select n_in, n_out, cast(d as integer) as d, src, cast(floor(0.5 + 4194304 * case when n_in = n_out then (d = src)::integer
          when t = 0 then 1.0 when abs(t) < 3
          then 3.0 * sin(3.141592653589793 * t) * sin(3.141592653589793 * t / 3.0)
               / ((3.141592653589793 * t) * (3.141592653589793 * t)) else 0.0 end) as bigint) as u
@@ -220,7 +220,7 @@ def _rotate(source: str, angles: str, prefix: str) -> str:
     lateral (select cast(floor(fx) as integer) + unnest(range(-1, 3)) as kx) a,
     lateral (select cast(floor(fy) as integer) + unnest(range(-1, 3)) as ky) b),
 {prefix}_u as (
-  select n.*, g.v, cast(round(4194304 * (
+  select n.*, g.v, cast(floor(0.5 + 4194304 * (
       case when abs(tx) < 1 then (abs(tx) * 1.5 - 2.5) * abs(tx) * abs(tx) + 1.0
            when abs(tx) < 2 then ((abs(tx) * -0.5 + 2.5) * abs(tx) - 4.0) * abs(tx) + 2.0 else 0.0 end *
       case when abs(ty) < 1 then (abs(ty) * 1.5 - 2.5) * abs(ty) * abs(ty) + 1.0

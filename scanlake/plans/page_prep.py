@@ -41,17 +41,21 @@ def prepare_pages(
     method = (options.binarization or "none").lower()
     angles = None
     if options.deskew:
-        clean = spread(written(clean, "resampled"))
+        clean = _together(written(clean, "resampled"))
         angles = written(raster.skew_angle(clean), "angles")
         turning = angles.where(F.abs("angle") >= options.deskew_threshold_degrees)
         clean = raster.rotate(clean, turning)
     if method == "sauvola":
         clean = raster.sauvola(clean, sizes=sizes)
     elif method == "otsu":
-        clean = raster.otsu_binarise(spread(written(clean, "gray")))
+        clean = raster.otsu_binarise(_together(written(clean, "gray")))
     return clean, _provenance(plan, angles, options.deskew, options.deskew_threshold_degrees)
 
 
+def _together(cells: DataFrame) -> DataFrame:
+    return spread(cells, *PAGE_KEY, F.floor(F.col("y") / 16))
+
+
 def _provenance(
     plan: DataFrame, angles: DataFrame | None, deskew: bool, least: float = 0.0
 ) -> DataFrame:

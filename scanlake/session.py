@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -53,10 +53,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores over all cores.
+def spread(df: DataFrame, *keys: Column | str) -> DataFrame:
+    """Deal the rows of a scan with fewer splits than cores over all cores, by key if given.
 
     A large table has splits enough and is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

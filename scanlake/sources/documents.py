@@ -16,7 +16,9 @@ def write_json_lines(documents: DataFrame, path: str) -> None:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DOCUMENT).json(path)
+    """Documents below a folder, be it JSON Lines or a tree with one file per document."""
+    reader = spark.read.schema(DOCUMENT).option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", "*.json").json(path)
 
 
 def text_bodies(documents: DataFrame) -> DataFrame:

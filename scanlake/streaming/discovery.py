@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from scanlake.operators.registering import register_files
 from scanlake.options import InputOptions
@@ -24,9 +23,9 @@ def registered(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).parquet(root)
 
 
-def register_stream(
+def register_available(
     spark: SparkSession, options: InputOptions, root: str, checkpoint: str, now: Column
-) -> StreamingQuery:
+) -> None:
     """Register everything that is new and stop; run it again for later files.
 
     Each micro-batch owns the folder batch=N and replaces it when replayed, so
@@ -38,10 +37,18 @@ def register_stream(
         new = register_files(batch, known, now)
         new.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-    return (
-        stream_files(spark, options)
-        .writeStream.foreachBatch(register)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    # The source stats every new file once more, by default in one task per file.
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(listing)
+    spark.conf.set(listing, str(spark.sparkContext.defaultParallelism))
+    try:
+        (
+            stream_files(spark, options)
+            .writeStream.foreachBatch(register)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+    finally:
+        spark.conf.set(listing, before)
