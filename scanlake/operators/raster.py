@@ -222,14 +222,18 @@ def skew_angle(grid: DataFrame, thresholds: DataFrame | None = None) -> DataFram
 def resample(grid: DataFrame, plan: DataFrame, values: tuple[str, ...] = ("v",)) -> DataFrame:
     """Resize pages with the Lanczos kernel (3 lobes), first along x, then along y.
 
-    ``plan``: PAGE_KEY, width, height, new_width, new_height. Pages that keep
-    their size pass through as they are. ``values`` names the channels.
+    ``plan``: a table of PAGE_KEY, width, height, new_width, new_height. Pages that keep
+    their size pass by without a shuffle. ``values`` names the channels.
     """
     sizes = ["width", "height", "new_width", "new_height"]
+    same = (F.col("width") == F.col("new_width")) & (F.col("height") == F.col("new_height"))
     cells = grid.join(plan.select(*PAGE_KEY, *sizes), PAGE_KEY)
+    kept = cells.where(same).select(*CELL_KEY, *values)
     # The page sizes stay grouping columns, so the second pass needs no join.
-    wide = _resample_axis(cells, "x", "width", "new_width", values, ["height", "new_height"])
-    return _resample_axis(wide, "y", "height", "new_height", values, []).select(*CELL_KEY, *values)
+    carry = ["height", "new_height"]
+    wide = _resample_axis(cells.where(~same), "x", "width", "new_width", values, carry)
+    tall = _resample_axis(wide, "y", "height", "new_height", values, [])
+    return kept.unionByName(tall.select(*CELL_KEY, *values))
 
 
 def _resample_axis(
@@ -285,27 +289,25 @@ def _lanczos(t: Column) -> Column:
 def rotate(grid: DataFrame, angles: DataFrame) -> DataFrame:
     """Turn pages about their centre by ``angle`` degrees, same size, white outside.
 
-    ``angles``: PAGE_KEY, angle. A null or zero angle leaves the page alone.
-    Interpolation is cubic (Catmull-Rom). Each pixel is sent to the few target
-    cells in reach, so there is no neighbour join; cells are summed by key.
+    ``angles``: PAGE_KEY, angle. Pages without an angle, or with a zero one,
+    pass by without a shuffle. Interpolation is cubic (Catmull-Rom). Each pixel
+    is sent to the few target cells in reach, so there is no neighbour join;
+    cells are summed by key.
     """
-    pages = page_sizes(grid).join(angles.select(*PAGE_KEY, "angle"), PAGE_KEY, "left")
-    info = pages.select(
-        *PAGE_KEY, "width", "height", "v_min", "v_max",
-        F.cos(F.radians("angle")).alias("c"),
-        F.sin(F.radians("angle")).alias("s"),
-        (F.coalesce("angle", F.lit(0.0)) != 0.0).alias("turned"),
+    turning = angles.where(F.col("angle") != 0.0).select(
+        *PAGE_KEY, F.cos(F.radians("angle")).alias("c"), F.sin(F.radians("angle")).alias("s")
     )
+    kept = grid.join(turning, PAGE_KEY, "left_anti").select(*CELL_KEY, "v")
+    moving = grid.join(turning, PAGE_KEY)
     # Each step is a column of its own: repeated subexpressions would not fit
     # into generated code otherwise.
-    cells = grid.join(info, PAGE_KEY).withColumns(
+    cells = moving.join(page_sizes(moving), PAGE_KEY).withColumns(
         {
             "mid_x": F.col("width") / 2.0 - 0.5,
             "mid_y": F.col("height") / 2.0 - 0.5,
             "reach": (F.abs("c") + F.abs("s")) * 2.0,
         }
     )
-    turned = F.col("turned")
     dx, dy = F.col("x") - F.col("mid_x"), F.col("y") - F.col("mid_y")
     placed = cells.withColumns(
         {
@@ -324,20 +326,12 @@ def rotate(grid: DataFrame, angles: DataFrame) -> DataFrame:
     # every pixel's reach exist.
     hits = (F.col("x_low") <= F.col("x_high")) & (F.col("y_low") <= F.col("y_high"))
     nowhere = F.array(F.lit(-1))
-    across = (
-        F.when(~turned, F.array("x"))
-        .when(hits, F.concat(nowhere, F.sequence("x_low", "x_high")))
-        .otherwise(nowhere)
-    )
-    down = (
-        F.when(~turned, F.array("y"))
-        .when(F.col("px") < 0, nowhere)
-        .otherwise(F.sequence("y_low", "y_high"))
-    )
+    across = F.when(hits, F.concat(nowhere, F.sequence("x_low", "x_high"))).otherwise(nowhere)
+    down = F.when(F.col("px") < 0, nowhere).otherwise(F.sequence("y_low", "y_high"))
     spread = placed.withColumn("px", F.explode(across)).withColumn("py", F.explode(down))
     own = F.col("px") < 0
     aimed = spread.select(
-        *PAGE_KEY, "v", "width", "height", "v_min", "v_max", "c", "s", "mid_x", "mid_y", "turned",
+        *PAGE_KEY, "v", "width", "height", "v_min", "v_max", "c", "s", "mid_x", "mid_y",
         own.alias("own"),
         F.col("x").alias("sx"), F.col("y").alias("sy"),
         F.when(own, F.col("x")).otherwise(F.col("px")).alias("x"),
@@ -346,11 +340,8 @@ def rotate(grid: DataFrame, angles: DataFrame) -> DataFrame:
     distances = _with_source(aimed).withColumns(
         {"tx": F.abs(F.col("at_x") - F.col("sx")), "ty": F.abs(F.col("at_y") - F.col("sy"))}
     )
-    weight = (
-        F.when(F.col("own"), F.lit(0.0))
-        .when(turned, _cubic(F.col("tx")) * _cubic(F.col("ty")))
-        .otherwise(F.lit(1.0))
-    )
+    cubic = _cubic(F.col("tx")) * _cubic(F.col("ty"))
+    weight = F.when(F.col("own"), F.lit(0.0)).otherwise(cubic)
     inside = (
         (F.floor("at_x") >= 1)
         & (F.ceil("at_x") + 1 < F.col("width"))
@@ -358,9 +349,9 @@ def rotate(grid: DataFrame, angles: DataFrame) -> DataFrame:
         & (F.ceil("at_y") + 1 < F.col("height"))
     )
     sums = (
-        distances.where(F.col("own") | ~turned | ((F.col("tx") < 2.0) & (F.col("ty") < 2.0)))
+        distances.where(F.col("own") | ((F.col("tx") < 2.0) & (F.col("ty") < 2.0)))
         .select(
-            *CELL_KEY, "v", "v_min", "v_max", (~turned | inside).cast("int").alias("inside"),
+            *CELL_KEY, "v", "v_min", "v_max", inside.cast("int").alias("inside"),
             F.floor(weight * _WEIGHT_ONE + 0.5).alias("units"),
         )
         .groupBy(*CELL_KEY)
@@ -379,7 +370,8 @@ def rotate(grid: DataFrame, angles: DataFrame) -> DataFrame:
     )
     in_range = F.least(F.greatest("value", "v_min"), "v_max")
     shown = F.when(F.col("value") == WHITE, F.lit(WHITE)).otherwise(in_range).cast("int")
-    return sums.withColumn("value", value).select(*CELL_KEY, shown.alias("v"))
+    turned = sums.withColumn("value", value).select(*CELL_KEY, shown.alias("v"))
+    return kept.unionByName(turned)
 
 
 def _with_source(cells: DataFrame) -> DataFrame:

@@ -527,25 +527,27 @@ def recognise_stub(spark, sf):
 # ---------------------------------------------------------------------- pixels
 
 
+def _parsed(spark, sf):
+    return dpi_columns.with_dpi(views.dpi_pages(spark, sf), PREP.default_dpi)
+
+
 @query
 def dpi_parse(spark, sf):
-    parsed = dpi_columns.parse_dpi(F.col("dpi"), PREP.default_dpi)
-    rows = views.dpi_pages(spark, sf).select("id", parsed.alias("p"))
-    return rows.select("id", F.col("p.x").alias("x_dpi"), F.col("p.y").alias("y_dpi"))
+    return _parsed(spark, sf).select(
+        "id", F.col("original_dpi.x").alias("x_dpi"), F.col("original_dpi.y").alias("y_dpi")
+    )
 
 
 @query
 def dpi_plan(spark, sf):
-    x = dpi_columns.parse_dpi(F.col("dpi"), PREP.default_dpi)["x"]
-    plan = dpi_columns.resample_plan(x, F.col("width"), F.col("height"), PREP)
-    return views.dpi_pages(spark, sf).select("id", plan.alias("plan")).select("id", "plan.*")
+    planned = dpi_columns.with_resample_plan(_parsed(spark, sf), PREP)
+    return planned.select("id", "scale", "resized", "new_width", "new_height")
 
 
 @query
 def dpi_scale(spark, sf):
-    x = dpi_columns.parse_dpi(F.col("dpi"), PREP.default_dpi)["x"]
-    size = dpi_columns.scaled_size(x, F.col("width"), F.col("height"), PREP.target_dpi)
-    return views.dpi_pages(spark, sf).select("id", size.alias("size")).select("id", "size.*")
+    planned = dpi_columns.with_scaled_size(_parsed(spark, sf), PREP.target_dpi)
+    return planned.select("id", "new_width", "new_height")
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlake.functions.dpi import parse_dpi, resample_plan
+from scanlake.functions.dpi import with_dpi, with_resample_plan
 from scanlake.operators import raster
 from scanlake.options import PrepOptions
 from scanlake.session import spread, written
@@ -15,11 +15,9 @@ PAGE_KEY = raster.PAGE_KEY
 
 def size_plan(pages: DataFrame, options: PrepOptions) -> DataFrame:
     """Per page (PAGE_KEY, dpi, width, height): original_dpi, new size and whether it changes."""
-    parsed = pages.withColumn("original_dpi", parse_dpi(F.col("dpi"), options.default_dpi))
-    plan = resample_plan(F.col("original_dpi.x"), F.col("width"), F.col("height"), options)
-    return parsed.select(*PAGE_KEY, "original_dpi", "width", "height", plan.alias("plan")).select(
-        *PAGE_KEY, "original_dpi", "width", "height", "plan.*"
-    )
+    planned = with_resample_plan(with_dpi(pages, options.default_dpi), options).drop("dpi")
+    # One small row per page, written because every later step filters or joins on it.
+    return written(planned, "size-plan")
 
 
 def prepare_pages(
