@@ -23,14 +23,15 @@ def split_pages(documents: DataFrame, text: str, separator: str = "\n") -> DataF
 
 
 def explode_pages(documents: DataFrame, pages: str = "pages") -> DataFrame:
-    """One row per element of a nested page array, numbered from 1."""
+    """One row per element of a nested page array; numbered from 1 unless pages know their number."""
     others = [c for c in documents.columns if c != pages]
     rows = documents.select(*others, F.posexplode(pages).alias("pos", "page"))
-    fields = [f.name for f in documents.schema[pages].dataType.elementType if f.name != "page_number"]
+    fields = [f.name for f in documents.schema[pages].dataType.elementType]
+    number = F.col("page.page_number") if "page_number" in fields else F.col("pos") + 1
     return rows.select(
         *others,
-        (F.col("pos") + 1).alias("page_number"),
-        *[F.col(f"page.{f}").alias(f) for f in fields],
+        number.alias("page_number"),
+        *[F.col(f"page.{f}").alias(f) for f in fields if f != "page_number"],
     )
 
 

@@ -348,7 +348,7 @@ def oracle_sql() -> dict[str, str]:
     doc_rows = _with(
         _and(RECOGNISED, PLACED),
         f"""
-        select image_id, cast(1 as integer) as part_number, p.file_path as source_path, p.file_name,
+        select image_id, cast((page_number - 1) // 4096 + 1 as integer) as part_number, p.file_path as source_path, p.file_name,
                p.rel as relative_path, p.output_base, p.file_size_bytes,
                cast(count(*) as integer) as page_count, {full_text} as full_text,
                cast(sum(word_count) as integer) as word_count,
@@ -357,14 +357,17 @@ def oracle_sql() -> dict[str, str]:
                true as preprocessing_enabled, '2024-01-01T06:00:00+00:00' as processed_at,
                cast(sum(processing_time_ms) as bigint) as total_processing_time_ms
         from recognised r join placed p on p.id = r.image_id
-        group by image_id, p.file_path, p.file_name, p.rel, p.output_base, p.file_size_bytes""",
+        group by image_id, (page_number - 1) // 4096, p.file_path, p.file_name, p.rel, p.output_base,
+                 p.file_size_bytes""",
     )
     placed_pages = _and(RECOGNISED, PLACED)
     text_files = placed_pages + f""",
       texts as (
-        select image_id, any_value(output_base) as base, {full_text} as body,
-               count(*) as pages
-        from recognised join placed on id = image_id group by image_id)"""
+        select concat(substr(any_value(output_base), 5), '-', image_id,
+                      case when (page_number - 1) // 4096 > 0
+                           then concat('.part', (page_number - 1) // 4096 + 1) else '' end) as name,
+               {full_text} as body, count(*) as pages
+        from recognised join placed on id = image_id group by image_id, (page_number - 1) // 4096)"""
     return {
         "scan_files": _with(FILES, """
             select file_path, file_name, file_size_bytes from files
@@ -529,20 +532,20 @@ def oracle_sql() -> dict[str, str]:
             from conversations group by 1, 2""",
         "document_json": _with(RECOGNISED, """
             select image_id, cast((page_number - 1) // 4096 + 1 as integer) as part_number,
-                   cast(count(*) over (partition by image_id) as integer) as page_count, page_number, text,
-                   confidence, word_count, char_count, processing_time_ms from recognised"""),
+                   cast(count(*) over (partition by image_id, (page_number - 1) // 4096) as integer) as page_count,
+                   page_number, text, confidence, word_count, char_count, processing_time_ms from recognised"""),
         "doc_time": _with(RECOGNISED, """
             select image_id, cast(count(*) as integer) as page_count,
                    cast(sum(processing_time_ms) as bigint) as total_processing_time_ms
             from recognised group by image_id"""),
         "document_index": doc_rows,
         "docs_roundtrip": _with(placed_pages, """
-            select rel as relative_path, cast(sum(processing_time_ms) over (partition by image_id) as bigint)
-                     as total_processing_time_ms, '2024-01-01T06:00:00+00:00' as processed_at,
+            select rel as relative_path, cast(sum(processing_time_ms) over (
+                     partition by image_id, (page_number - 1) // 4096) as bigint) as total_processing_time_ms, '2024-01-01T06:00:00+00:00' as processed_at,
                    page_number, text, confidence, word_count, char_count, processing_time_ms
             from recognised join placed on id = image_id"""),
         "sink_txt": _with(text_files, """
-            select concat(substr(base, 5), '-', image_id, '.txt') as relative_path,
+            select concat(name, '.txt') as relative_path,
                    octet_length(encode(body)) as bytes, octet_length(encode(body)) as bytes_on_disk from texts"""),
         "sink_json": _with(text_files, """
             select count(*) as files_read, cast(sum(pages) as bigint) as pages,
@@ -631,7 +634,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_discovery": _with(text_files, """
             select row_number() over (order by relative_path) as id, relative_path, file_size_bytes,
                    'pending' as status, cast(0 as integer) as retry_count
-            from (select concat(substr(base, 5), '-', image_id, '.txt') as relative_path,
+            from (select concat(name, '.txt') as relative_path,
                          octet_length(encode(body)) as file_size_bytes from texts)"""),
         "document_feed": """
             select user_id as image_id, min(ts) as ts from events where event_type = 'purchase' group by user_id""",

@@ -47,7 +47,9 @@ def _below_root(found: DataFrame, options: InputOptions) -> DataFrame:
 def list_files(spark: SparkSession, options: InputOptions) -> DataFrame:
     """Files under the root: file_path, file_name, file_size_bytes. Reads no content.
 
-    Spark's listing skips names that start with ``_`` or ``.``.
+    Spark's listing skips empty files and names that start with ``_`` or ``.``.
+    Where those must be registered too, pass an inventory table of the store to
+    ``matching_files`` instead.
     """
     found = _binary_reader(spark.read, options).load(options.root_path)
     return _below_root(found, options)
