@@ -55,6 +55,11 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def _no_nulls(df: DataFrame, column: str) -> DataFrame:
+    """Null as -1: clients turn integer columns with nulls into floats, which compare badly."""
+    return df.withColumn(column, F.coalesce(column, F.lit(-1)))
+
+
 def _now():
     return times.moment(views.NOW)
 
@@ -64,13 +69,15 @@ def _now():
 
 @query
 def scan_files(spark, sf):
-    return registering.matching_files(views.files(spark, sf), OPTIONS.input)
+    found = registering.matching_files(views.files(spark, sf), OPTIONS.input)
+    return _no_nulls(found, "file_size_bytes")
 
 
 @query
 def scan_flat(spark, sf):
     flat = InputOptions(root_path=INPUT_ROOT, recursive=False)
-    return registering.matching_files(views.files(spark, sf), flat)
+    found = registering.matching_files(views.files(spark, sf), flat)
+    return _no_nulls(found, "file_size_bytes")
 
 
 @query
@@ -90,7 +97,7 @@ def _known(spark, sf):
 @query
 def register_new(spark, sf):
     new = registering.register_files(views.files(spark, sf), _known(spark, sf), _now())
-    return new.select(
+    return _no_nulls(new, "file_size_bytes").select(
         "id", "file_path", "file_name", "file_size_bytes", "status", "retry_count", "created_at"
     )
 
@@ -201,7 +208,7 @@ def reset_stale(spark, sf):
 def mark_complete(spark, sf):
     done = views.outcomes(spark, sf).where(F.col("error_message").isNull())
     after = steps.mark_complete(views.ledger(spark, sf), done, _now())
-    return after.select(
+    return _no_nulls(after, "page_count").select(
         "id", "status", "worker_id", "started_at", "completed_at", "output_path", "page_count"
     )
 
@@ -218,7 +225,7 @@ def isolate_errors(spark, sf):
     after = steps.record_outcomes(
         views.ledger(spark, sf), views.outcomes(spark, sf), MAX_RETRIES, _now()
     )
-    return after.select(
+    return _no_nulls(after, "page_count").select(
         "id", "status", "worker_id", "started_at", "completed_at", "error_message", "retry_count",
         "output_path", "page_count",
     )
@@ -318,7 +325,7 @@ def run_rounds(spark, sf):
         spark.createDataFrame([], tables.RESULTS),
         _queue(spark, sf), OPTIONS, "job-1", _now(),
     )
-    return ledger.select(
+    return _no_nulls(ledger, "page_count").select(
         "id", "status", "worker_id", "retry_count", "output_path", "page_count",
         F.col("error_message").isNotNull().alias("has_error"),
     )
@@ -404,7 +411,7 @@ def document_index(spark, sf):
         lambda a, p: a + numbers.score_units(p["confidence"], 1),
     )
     words = F.aggregate("pages", F.lit(0), lambda a, p: a + p["word_count"])
-    return _documents(spark, sf).select(
+    return _no_nulls(_documents(spark, sf), "file_size_bytes").select(
         "image_id", "part_number", "source_path", "file_name", "relative_path", "output_base",
         "file_size_bytes", "page_count", "full_text", words.alias("word_count"),
         numbers.mean_of_units(mean, F.col("page_count")).alias("confidence"),

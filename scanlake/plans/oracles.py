@@ -337,7 +337,22 @@ def _join_tokens(separator: str, text: str) -> str:
     )
 
 
+# Columns shown with -1 instead of null; see catalog._no_nulls.
+NO_NULLS = {
+    "scan_files": "file_size_bytes", "scan_flat": "file_size_bytes", "register_new": "file_size_bytes",
+    "document_index": "file_size_bytes", "mark_complete": "page_count", "isolate_errors": "page_count",
+    "run_rounds": "page_count",
+}
+
+
 def oracle_sql() -> dict[str, str]:
+    sql = _oracle_sql()
+    for name, column in NO_NULLS.items():
+        sql[name] = f"select * replace (coalesce({column}, -1) as {column}) from (\n{sql[name]}\n)"
+    return sql
+
+
+def _oracle_sql() -> dict[str, str]:
     moved = "case when stale then {0} else {1} end"
     done = "o.id is not null and o.error_message is null"
     bad = "o.error_message is not null"
