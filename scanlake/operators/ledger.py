@@ -200,17 +200,22 @@ def results_of(pages: DataFrame, now: Column) -> DataFrame:
     )
 
 
+def check_new_results(results: DataFrame, new: DataFrame) -> None:
+    """Raise if ``new`` would break the uniqueness of (image, page)."""
+    keys = ["image_id", "page_number"]
+    both = results.select(keys).unionByName(new.select(keys))
+    if not both.groupBy(keys).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        raise ValueError("some (image_id, page_number) pairs already have a result")
+
+
 def append_results(results: DataFrame, new: DataFrame, replace: bool = False) -> DataFrame:
     """Add pages of completed images.
 
-    Finishing an image twice would break the (image, page) uniqueness: that is
-    an error unless ``replace`` drops the image's earlier pages first.
+    Finishing an image twice is an error unless ``replace`` drops the image's
+    earlier pages first.
     """
     if replace:
         old = results.join(new.select("image_id").distinct(), "image_id", "left_anti")
         return old.unionByName(new)
-    keys = ["image_id", "page_number"]
-    both = results.select(keys).unionByName(new.select(keys))
-    if not both.groupBy(keys).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        raise ValueError("some (image_id, page_number) pairs already have a result")
+    check_new_results(results, new)
     return results.unionByName(new)

@@ -26,7 +26,9 @@ def run_rounds(
     worker: str,
     now: Column,
 ) -> tuple[DataFrame, DataFrame]:
-    """Ledger and results once nothing is left to claim.
+    """The ledger once nothing is left to claim, and the result rows to add.
+
+    ``results`` are the rows of earlier runs; only their keys are read.
 
     Each round is one job over everything eligible. A row fails at most
     max_retries times, which bounds the number of rounds.
@@ -48,10 +50,11 @@ def run_rounds(
         bad = pages.where(F.col("error").isNotNull()).select("image_id").distinct()
         good = pages.join(bad, "image_id", "left_anti")
         new.append(steps.results_of(good, now))
-    if new:
-        # An image completes in one round only, so the rounds cannot overlap.
-        results = steps.append_results(results, reduce(DataFrame.unionByName, new))
-    return ledger, results
+    if not new:
+        return ledger, results.limit(0)
+    added = reduce(DataFrame.unionByName, new)
+    steps.check_new_results(results, added)
+    return ledger, added
 
 
 def _every_claim(claimed: DataFrame, outcomes: DataFrame) -> DataFrame:

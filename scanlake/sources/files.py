@@ -10,6 +10,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scanlake.operators.registering import matching_files
 from scanlake.options import InputOptions
@@ -92,24 +93,31 @@ def text_pages(content: bytes) -> Iterator[tuple[bytes, int, int, list[str] | No
         yield page.encode("utf-8"), 0, 0, None
 
 
-_DECODED = (
-    "page_number int, image binary, width int, height int, dpi array<string>, error string"
-)
+_DECODED = "page_number int, image binary, width int, height int, dpi array<string>, error string"
 
 
-def decode_pages(files: DataFrame, decoder: Decoder = multipage_images) -> DataFrame:
-    """One row per page of each file's ``content``; other columns are repeated.
+def decode_pages(
+    files: DataFrame, decoder: Decoder = multipage_images, tasks: int | None = None
+) -> DataFrame:
+    """One row per page of each file; the other columns are repeated.
 
-    A file that cannot be decoded gives one row with page_number 0 and an error.
+    Without a ``content`` column the tasks open ``file_path`` themselves, so
+    that file bytes are never shuffled; the short rows are dealt to ``tasks``
+    tasks first, by default four per core. A file that cannot be read or
+    decoded gives one row with page_number 0 and an error.
     """
-    kept = [c for c in files.columns if c != "content"]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema if f.name in kept)
+    kept = [f for f in files.schema if f.name != "content"]
+    names = [f.name for f in kept]
+    schema = T.StructType(kept + T.StructType.fromDDL(_DECODED).fields)
+    if "content" not in files.columns:
+        cores = files.sparkSession.sparkContext.defaultParallelism
+        files = files.repartition(tasks or cores * 4)
 
     def pages_of(row: dict[str, Any]) -> Iterator[dict[str, Any]]:
-        own = {c: row[c] for c in kept}
-        number = 0
+        own = {c: row[c] for c in names}
         try:
-            for number, (image, width, height, dpi) in enumerate(decoder(bytes(row["content"])), 1):
+            content = bytes(row["content"]) if "content" in row else _read_file(row["file_path"])
+            for number, (image, width, height, dpi) in enumerate(decoder(content), 1):
                 yield own | {"page_number": number, "image": image, "width": width,
                              "height": height, "dpi": dpi, "error": None}
         except Exception as problem:  # noqa: BLE001 - a bad file must not stop the batch
@@ -117,13 +125,20 @@ def decode_pages(files: DataFrame, decoder: Decoder = multipage_images) -> DataF
                          "dpi": None, "error": str(problem) or type(problem).__name__}
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = kept + [c.split()[0] for c in _DECODED.split(", ")]
         for batch in batches:
             for row in batch.to_dict("records"):
                 for page in pages_of(row):
-                    yield pd.DataFrame([page], columns=columns)
+                    yield pd.DataFrame([page], columns=schema.fieldNames())
 
-    return files.mapInPandas(decode, f"{fields}, {_DECODED}" if fields else _DECODED)
+    return files.mapInPandas(decode, schema)
+
+
+def _read_file(path: str) -> bytes:
+    from pyarrow import fs as arrow_fs
+
+    fs, inner = arrow_fs.FileSystem.from_uri(path)
+    with fs.open_input_file(inner) as source:
+        return source.read()
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:

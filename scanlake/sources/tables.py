@@ -1,4 +1,9 @@
-"""Ledger and result tables as versioned Parquet folders."""
+"""Ledger and result tables as numbered Parquet folders.
+
+The ledger is small: each folder v=N is a whole ledger and the newest counts.
+Results are large and only grow: each folder holds the rows of one run, and
+all of them count.
+"""
 
 from __future__ import annotations
 
@@ -15,14 +20,14 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     if not fs.exists(path):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-    done = spark._jvm.org.apache.hadoop.fs.Path
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
     return sorted(
-        int(n[2:]) for n in names if n.startswith("v=") and fs.exists(done(f"{root}/{n}/_SUCCESS"))
+        int(n[2:]) for n in names if n.startswith("v=") and fs.exists(as_path(f"{root}/{n}/_SUCCESS"))
     )
 
 
 def write_snapshot(df: DataFrame, root: str) -> int:
-    """Write the next version beside the older ones; readers never see a half-written one."""
+    """Write the next folder beside the older ones; readers never see a half-written one."""
     version = max(_versions(df.sparkSession, root), default=0) + 1
     # Overwrite only clears what a failed attempt at this same version left.
     df.write.mode("overwrite").parquet(f"{root}/v={version}")
@@ -37,12 +42,18 @@ def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(f"{root}/v={versions[-1]}")
 
 
+def read_all(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """All complete versions together."""
+    folders = [f"{root}/v={version}" for version in _versions(spark, root)]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     return read_snapshot(spark, f"{root}/ledger", LEDGER)
 
 
 def read_results(spark: SparkSession, root: str) -> DataFrame:
-    return read_snapshot(spark, f"{root}/results", RESULTS)
+    return read_all(spark, f"{root}/results", RESULTS)
 
 
 def init_tables(spark: SparkSession, root: str) -> None:

@@ -1,15 +1,18 @@
 """Jobs that write: rounds over the queue, snapshots, streams."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from scanlake.functions.times import moment
-from scanlake.operators import recognising
+from scanlake.operators import integrity, ledger as steps, recognising, registering
 from scanlake.options import InputOptions, Options, OutputOptions, RecogniserOptions, RunOptions
+from scanlake.plans.document_job import document_rows
 from scanlake.plans.rounds import run_rounds
 from scanlake.schemas import LEDGER, RESULTS
 from scanlake.session import new_folder
-from scanlake.sources import tables
+from scanlake.sources import documents as document_files, files as file_sources, tables
 from scanlake.streaming import discovery, feed
 from tests.test_ledger import ledger_of, row
 
@@ -33,7 +36,7 @@ def queue(spark, images):
 def test_rounds_finish_retry_and_isolate(spark):
     ledger = ledger_of(
         spark, row(1, "pending"), row(2, "pending", retry_count=1), row(3, "pending"), row(4, "pending", retry_count=3),
-        row(5, "complete"), row(6, "processing", worker_id="gone", started_at=__import__("datetime").datetime(2024, 1, 1)),
+        row(5, "complete"), row(6, "processing", worker_id="gone", started_at=datetime.datetime(2024, 1, 1)),
     )
     process = queue(spark, {1: [b"one", b""], 2: [b"fine", b"\xff"], 4: [b"x"], 6: [b"six"]})
     after, results = run_rounds(
@@ -50,7 +53,59 @@ def test_rounds_finish_retry_and_isolate(spark):
         (1, 1, "one"), (1, 2, ""), (6, 1, "six")
     ]
     again, more = run_rounds(after, results, process, OPTIONS, "job", moment("2024-01-01 06:30:00"))
-    assert {r["id"]: r for r in again.collect()} == got and more.count() == 3
+    assert {r["id"]: r for r in again.collect()} == got and more.count() == 0
+
+
+def test_collection_from_files_to_documents(spark, tmp_path):
+    """Register, run, assemble and write; then a second run with a repaired and a new file."""
+    inbox, out, work = tmp_path / "in", tmp_path / "out", str(tmp_path / "work")
+    (inbox / "sub").mkdir(parents=True)
+    (inbox / "a.tif").write_bytes("Hello Wörld\f\fthird page".encode())
+    (inbox / "sub" / "b.tiff").write_bytes(b"single")
+    (inbox / "bad.tif").write_bytes(b"\xff\xfe")
+    options = Options(
+        input=InputOptions(root_path=str(inbox)), output=OutputOptions(root_path=f"file://{out}"),
+        recogniser=RecogniserOptions(engine="plain"),
+    )
+    now = moment("2024-01-01 06:00:00")
+
+    def process(claimed):
+        todo = claimed.selectExpr("id AS image_id", "file_path", "file_size_bytes")
+        pages = file_sources.decode_pages(todo, file_sources.text_pages, tasks=3)
+        return recognising.recognise(pages, options.recogniser)
+
+    def run():
+        known = tables.read_ledger(spark, work)
+        new = registering.register_files(file_sources.list_files(spark, options.input), known, now)
+        ledger, results = run_rounds(
+            known.unionByName(new), tables.read_results(spark, work), process, options, "job", now
+        )
+        tables.write_snapshot(results, f"{work}/results")
+        tables.write_snapshot(ledger, f"{work}/ledger")
+        integrity.check(ledger, tables.read_results(spark, work))
+        return {r["file_name"]: r for r in tables.read_ledger(spark, work).collect()}
+
+    first = run()
+    assert {n: (r["status"], r["page_count"]) for n, r in first.items()} == {
+        "a.tif": ("complete", 3), "b.tiff": ("complete", 1), "bad.tif": ("failed", None)
+    }
+    assert first["a.tif"]["output_path"] == f"file://{out}/a"
+    results = tables.read_results(spark, work).join(
+        tables.read_ledger(spark, work).selectExpr("id AS image_id", "file_path", "file_size_bytes"), "image_id"
+    )
+    pages = results.withColumnsRenamed({"extracted_text": "text", "confidence_score": "confidence"})
+    docs = document_rows(pages, options, now)
+    assert document_files.write_files(document_files.text_bodies(docs)).count() == 2
+    assert (out / "a.txt").read_text() == "Hello Wörld\n\n--- Page Break ---\n\nthird page"
+    assert (out / "sub" / "b.txt").read_text() == "single"
+
+    (inbox / "bad.tif").write_bytes(b"repaired")
+    (inbox / "c.tif").write_bytes(b"new")
+    tables.write_snapshot(steps.reset_failed(tables.read_ledger(spark, work)), f"{work}/ledger")
+    second = run()
+    assert {r["status"] for r in second.values()} == {"complete"} and len(second) == 4
+    assert second["a.tif"] == first["a.tif"]
+    assert tables.read_results(spark, work).count() == 6
 
 
 def test_snapshots_are_versioned(spark, tmp_path):
