@@ -47,10 +47,13 @@ def document_rows(
 
 def outcomes_of(pages: DataFrame, options: Options) -> DataFrame:
     """(id, error_message, output_path, page_count) per image; the first bad page decides."""
-    bad = F.when(F.col("error").isNotNull(), F.struct("page_number", "error"))
-    summed = pages.groupBy(F.col("image_id").alias("id"), "file_path").agg(
-        F.min(bad)["error"].alias("error_message"), F.count("*").cast("int").alias("page_count")
+    counted = pages.groupBy(F.col("image_id").alias("id"), "file_path").agg(
+        F.count("*").cast("int").alias("page_count")
     )
+    # Messages make a sort-based aggregate, so only the few bad pages take part.
+    first = F.min(F.struct("page_number", "error"))["error"]
+    bad = pages.where(F.col("error").isNotNull()).groupBy(F.col("image_id").alias("id"))
+    summed = counted.join(bad.agg(first.alias("error_message")), "id", "left")
     base = paths.output_base(
         F.col("file_path"), options.input.root_path, options.output.root_path
     )
