@@ -300,6 +300,19 @@ def snapshot_roundtrip(spark, sf):
     return tables.read_ledger(spark, root).select("id", "file_path", "status", "retry_count")
 
 
+@query
+def init_ledger(spark, sf):
+    """A first run: create the empty tables, register every file, read the ledger back."""
+    root = new_folder(spark, "first-run")
+    tables.init_tables(spark, root)
+    empty = tables.read_ledger(spark, root)
+    new = registering.register_files(views.files(spark, sf), empty, _now())
+    tables.write_snapshot(empty.unionByName(new), f"{root}/ledger")
+    return tables.read_ledger(spark, root).select(
+        "id", "file_path", "file_name", "status", "retry_count", "created_at"
+    )
+
+
 def _queue(spark, sf):
     """Text pages as page images, one row per page, for the claimed files."""
     pages_in = views.text_pages(spark, sf)

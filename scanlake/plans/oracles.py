@@ -399,6 +399,10 @@ def _oracle_sql() -> dict[str, str]:
                    file_path, file_name, file_size_bytes, 'pending' as status,
                    cast(0 as integer) as retry_count, timestamp '2024-01-01 06:00:00' as created_at
             from files where file_path not in (select file_path from known)"""),
+        "init_ledger": _with(FILES, """
+            select row_number() over (order by file_path) as id, file_path, file_name, 'pending' as status,
+                   cast(0 as integer) as retry_count, timestamp '2024-01-01 06:00:00' as created_at
+            from files"""),
         "register_stats": _with(KNOWN, """
             select count(*) as discovered,
                    count(*) filter (file_path not in (select file_path from known)) as registered,

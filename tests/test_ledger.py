@@ -143,7 +143,18 @@ def test_register_into_empty_ledger_starts_at_one(spark):
     assert new.first()["id"] == 1 and new.schema.names == LEDGER.names
 
 
-def test_number_rows_counts_without_gaps(spark):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_number_rows_counts_without_gaps(spark, coalesce):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, coalesce)
+    try:
+        check_numbers(spark)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def check_numbers(spark):
     df = spark.range(0, 20_000).select((F.col("id") * 7919 % 20_011).alias("k"))
     got = ranking.number_rows(df, "k", "n").orderBy("k").collect()
     assert [r["n"] for r in got] == list(range(1, 20_001))
