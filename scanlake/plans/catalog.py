@@ -504,9 +504,8 @@ def tokens_space(spark, sf):
 @query
 def lines_newline(spark, sf):
     text_pages = views.text_pages(spark, sf)
-    lines = views.tokens(text_pages).withColumn(
-        "text", F.when(F.col("token_no") % 5 != 0, F.col("text"))
-    )
+    # A line without a score counts as a null line.
+    lines = views.tokens(text_pages).withColumn("text", F.when(F.col("conf") >= 0, F.col("text")))
     return tokens.pages_from_tokens(text_pages, lines, "\n", 100)
 
 

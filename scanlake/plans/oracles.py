@@ -576,7 +576,7 @@ def _oracle_sql() -> dict[str, str]:
               select image_id, page_number, sum(conf) filter (conf >= 0) as s, count(*) filter (conf >= 0) as n
               from tokens group by all) t using (image_id, page_number)"""),
         "tokens_space": _join_tokens("' '", "text"),
-        "lines_newline": _join_tokens("chr(10)", "(case when token_no % 5 <> 0 then text end)"),
+        "lines_newline": _join_tokens("chr(10)", "(case when conf >= 0 then text end)"),
         "round4": f"""
             select doc_id, case when w > 0 then ((n_chars * 20000 + w) // (2 * w)) / 10000.0::double end
                      as chars_per_word

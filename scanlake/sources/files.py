@@ -93,6 +93,9 @@ def text_pages(content: bytes) -> Iterator[tuple[bytes, int, int, list[str] | No
         yield page.encode("utf-8"), 0, 0, None
 
 
+# Page images leave a decoding task in batches of about this size.
+BATCH_BYTES = 16 << 20
+
 _DECODED = "page_number int, image binary, width int, height int, dpi array<string>, error string"
 
 
@@ -126,9 +129,16 @@ def decode_pages(
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            held, size = [], 0
             for row in batch.to_dict("records"):
                 for page in pages_of(row):
-                    yield pd.DataFrame([page], columns=schema.fieldNames())
+                    held.append(page)
+                    size += len(page["image"] or b"")
+                    if size > BATCH_BYTES:
+                        yield pd.DataFrame(held, columns=schema.fieldNames(), dtype=object)
+                        held, size = [], 0
+            if held:
+                yield pd.DataFrame(held, columns=schema.fieldNames(), dtype=object)
 
     return files.mapInPandas(decode, schema)
 
