@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from tests.compare import differences, duck
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.catalog.queries(), entry.oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
