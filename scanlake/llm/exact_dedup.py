@@ -79,6 +79,12 @@ def exact_groups(docs: DataFrame, keys=keyed) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of the table that stay; rows without a doc_id stay too."""
+    dropped = exact_groups(docs).where("not kept").select(F.col("doc_id").alias("dropped")).distinct()
+    return docs.join(dropped, F.col("doc_id") == F.col("dropped"), "left_anti")
+
+
 ORACLE = r"""
 with t as (
   select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256,

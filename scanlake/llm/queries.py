@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from scanlake.llm import bpe, exact_dedup, packing, quality_rules, token_files
+from pyspark.sql import functions as F
+
+from scanlake.llm import (
+    bpe,
+    exact_dedup,
+    near_dedup,
+    packing,
+    quality_grade,
+    quality_rules,
+    secret_scan,
+    suffix_dedup,
+    token_files,
+    toxicity,
+)
 from scanlake.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +31,16 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_strings(documents(spark, sf_dir))
+
+
+def op2_quality_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades from the labels: 0 bad, 1 good but toxic, 2 good."""
+    grade = F.expr("case when quality = 0 then 0 when toxic = 1 then 1 when quality = 1 then 2 end")
+    return quality_grade.graded(documents(spark, sf_dir), labels(spark, sf_dir), grade, top=2)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(documents(spark, sf_dir), BYTE_BPE, end_id=2)
 
@@ -27,6 +49,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(documents(spark, sf_dir))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(documents(spark, sf_dir), WORD_BPE)
 
@@ -39,6 +65,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
