@@ -9,9 +9,12 @@
 * *Banding*. ``BANDS`` keys of ``ROWS`` places each: documents at similarity 0.75 share a key with a chance of
   over 0.99999. In each bucket every member is paired with the smallest one only: no all-pairs.
 * *Verification*. Pairs meet their full sets, and ``100 * intersection >= 75 * union`` decides.
-* *Rest*. Where a bucket still spans several components after that, its members are paired with its largest
-  one, and what is left is paired across components, never within one. So no link of a bucket is lost, and a
-  bucket of mutual near-copies costs one pair a member.
+* *Rest*. A bucket that still spans several components may hide links between its other members. Buckets of up
+  to ``SMALL_BUCKET`` members are paired across components. In larger ones a bound goes first: with ``k``
+  elements shared with the bucket's smallest member c, and ``r`` elements outside c that any other member
+  compared with c has too, a member shares at most ``k + r`` elements with any other. Members that cannot
+  reach the similarity so are closed; the rest is paired across components, at least one side outside the
+  component of c. No link of a bucket is lost, and a group of mutual near-copies costs one pair a member.
 * *Grouping*. Union-find on links as joins: every node points to its smallest neighbour, pointers are jumped,
   links are contracted to the ends' pointers until none is left. Each round is written to the shared folder.
 
@@ -37,6 +40,7 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 PLACES = BANDS * ROWS
 SHARE = 75
+SMALL_BUCKET = 8
 PIECE_CHARS = 1_000_000
 UNSET = np.int64(2**62)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -143,35 +147,89 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        a, b, x, y = (batch.column(n).to_pylist() for n in ("a", "b", "x", "y"))
-        keep = []
+        x, y = (batch.column(n).to_pylist() for n in ("x", "y"))
+        counts = []
         for p, q in zip(x, y, strict=True):
             u, v = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-            both = len(np.intersect1d(u, v, assume_unique=True))
-            keep.append(100 * both >= SHARE * (len(u) + len(v) - both))
-        yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            counts.append((len(u), len(v), len(np.intersect1d(u, v, assume_unique=True))))
+        columns = [pa.array(c, pa.int64()) for c in zip(*counts)] if counts else [pa.array([], pa.int64())] * 3
+        yield pa.record_batch([batch.column("a"), batch.column("b"), *columns], names=["a", "b", "n_a", "n_b", "both"])
 
 
-def links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b, sizes in n_a and n_b) whose full sets are similar enough; written."""
-    # No larger share than that of the sizes is possible.
-    pairs = written(
-        pairs.where(f"100 * least(n_a, n_b) >= {SHARE} * greatest(n_a, n_b)").select("a", "b").distinct(), "pairs"
-    )
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
-    sets = written(
-        id_and_text(docs).join(wanted, F.col("doc_id") == F.col("wanted"), "left_semi")
-        .mapInArrow(_sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"]),
-        "shingle-sets",
-    )
-    both = (
-        pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
+def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x, y = (batch.column(n).to_pylist() for n in ("x", "y"))
+        found = [np.setdiff1d(np.frombuffer(p, np.int64), np.frombuffer(q, np.int64), assume_unique=True) for p, q in zip(x, y, strict=True)]
+        rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        elements = np.concatenate(found) if found else np.zeros(0, np.int64)
+        yield pa.record_batch(
+            [batch.column("a").take(pa.array(rows)), batch.column("b").take(pa.array(rows)), pa.array(elements)],
+            names=["a", "b", "element"],
+        )
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return (
+        pairs.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
         .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
         .select("a", "b", "x", "y")
     )
-    return written(both.mapInArrow(_linked, "a long, b long"), "links")
+
+
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and shingles of the documents in ``ids``; written."""
+    rows = id_and_text(docs).join(ids.select(F.col("doc_id").alias("wanted")), F.col("doc_id") == F.col("wanted"), "left_semi")
+    return written(rows.mapInArrow(_sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "shingle-sets")
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs with the sizes of their full sets and of what both have; written."""
+    both = _with_sets(pairs.distinct(), sets)
+    return written(both.mapInArrow(_compared, "a long, b long, n_a long, n_b long, both long"), "compared")
+
+
+def similar(pairs: DataFrame) -> DataFrame:
+    return pairs.where(f"100 * both >= {SHARE} * (n_a + n_b - both)").select("a", "b")
+
+
+def rest(members: DataFrame, stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that may yet link components of one bucket.
+
+    ``members``: bucket, doc_id, n_shingles, component, low (the bucket's smallest member) and
+    low_component. ``stars``: all pairs (member, low) as compared.
+    """
+    many = members.groupBy("bucket").agg(F.count("*").alias("many"))
+    members = written(members.join(many, "bucket"), "bucket-sizes")
+    large = members.where(F.col("many") > SMALL_BUCKET)
+    stars = stars.join(large.select(F.col("low").alias("b")).distinct(), "b", "left_semi")
+    outside = written(_with_sets(stars, sets).mapInArrow(_outside, "a long, b long, element long"), "outside")
+    again = outside.groupBy("b", "element").agg(F.count("*").alias("n")).where("n > 1").select("b", "element")
+    again = outside.join(again, ["b", "element"]).groupBy("a", "b").agg(F.count("*").alias("r"))
+    reach = stars.join(again, ["a", "b"], "left").select(
+        F.col("a").alias("doc_id"), F.col("b").alias("low"),
+        # Largest set with which so many common elements reach the similarity.
+        F.expr(f"div((100L + {SHARE}) * (both + coalesce(r, 0L)), {SHARE}L) - n_a").alias("reach"),
+    )
+    large = large.join(reach, ["doc_id", "low"], "left").withColumn(
+        "reach", F.when(F.col("doc_id") == F.col("low"), F.expr(f"div(100L * n_shingles, {SHARE}L)")).otherwise(F.col("reach"))
+    )
+    least = large.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
+    large = large.join(least, "bucket").where(f"reach >= least and reach >= div({SHARE}L * n_shingles + 99, 100L)").drop("least")
+    small = members.where(F.col("many") <= SMALL_BUCKET).withColumn("reach", F.expr(f"div(100L * n_shingles, {SHARE}L)"))
+    names = ["bucket", "doc_id", "n_shingles", "component", "low_component", "reach"]
+    still = written(large.select(names).unionByName(small.select(names)), "open-members")
+    split = still.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
+    still = still.join(split.select("bucket"), "bucket", "left_semi")
+    x = still.where("component <> low_component").select(
+        "bucket", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"), F.col("reach").alias("reach_a"))
+    y = still.select(
+        "bucket", F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"), F.col("reach").alias("reach_b"))
+    return (
+        x.join(y, "bucket").where("c_a <> c_b and n_b <= reach_a and n_a <= reach_b")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    )
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -225,34 +283,22 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .where("low < high"),
         "buckets",
     )
-    members = written(placed.join(shared, "bucket"), "bucket-members")
-    sizes = members.groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
-
-    def to_end(rows: DataFrame, end: str) -> DataFrame:
-        pairs = rows.where(F.col(end) != F.col("doc_id")).select(F.col("doc_id").alias("a"), F.col(end).alias("b"), F.col("n_shingles").alias("n_a")).distinct()
-        return pairs.join(sizes.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b")), "b")
-
-    found = links(docs, to_end(members, "low"))
-    for last in (False, True):
-        groups = components(found)
-        placed_groups = members.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id")
-        )
-        split = placed_groups.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
-        open_members = written(placed_groups.join(split.select("bucket"), "bucket"), "open-members")
-        if open_members.isEmpty():
-            break
-        if last:
-            x = open_members.select("bucket", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
-            y = open_members.select("bucket", F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"))
-            pairs = x.join(y, "bucket").where(
-                f"c_a < c_b and 100 * least(n_a, n_b) >= {SHARE} * greatest(n_a, n_b)"
-            ).select("a", "b", "n_a", "n_b")
-        else:
-            pairs = to_end(open_members, "high")
-        found = found.unionByName(links(docs, pairs))
-    else:
-        groups = components(found)
+    members = written(placed.join(shared, "bucket").drop("high"), "bucket-members")
+    sets = full_sets(docs, members.select("doc_id").distinct())
+    stars = compared(members.where("low <> doc_id").select(F.col("doc_id").alias("a"), F.col("low").alias("b")), sets)
+    found = similar(stars)
+    groups = components(found)
+    of_low = groups.select(F.col("node").alias("low"), F.col("component").alias("low_component"))
+    grouped = (
+        members.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(of_low, "low", "left")
+        .withColumn("component", F.coalesce("component", "doc_id"))
+        .withColumn("low_component", F.coalesce("low_component", "low"))
+    )
+    split = grouped.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
+    grouped = grouped.join(split.select("bucket"), "bucket", "left_semi")
+    more = similar(compared(rest(grouped, stars, sets), sets))
+    if not more.isEmpty():
+        groups = components(found.unionByName(more))
     of_class = classes.join(groups.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         *key, F.coalesce("component", "class_id").alias("component")
     )
