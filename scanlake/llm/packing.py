@@ -34,7 +34,7 @@ RUN_IDS = 400_000
 SENTENCE_PENALTY = 4
 OTHER_PENALTY = 12
 #: In sentences longer than this, further places this far apart may be cut.
-LONG_SENTENCE = 48
+LONG_SENTENCE = 16
 PIECE_CHARS = 600_000
 COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 SCHEMA = ", ".join(f"{c} long" for c in COLUMNS)

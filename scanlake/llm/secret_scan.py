@@ -5,8 +5,8 @@ One pass over the table finds base spans and scores candidates; nothing but a hi
 * *Base*: assignments, access keys and hex strings, as given.
 * *Candidates*: runs of 20 to 512 letters, digits and ``+/_=-`` that overlap no base span and mix letters with
   digits. The encoding (hex, base32, base36, base62, base64) is the smallest alphabet that holds the run.
-* *Battery*: under "uniform and independent over the encoding's alphabet", (1) chi-squared of symbol counts in
-  groups of the alphabet, (2) number of runs above and below its middle, (3) serial correlation of
+* *Battery*: under "uniform and independent over the encoding's alphabet", (1) chi-squared of symbol counts over
+  the alphabet, (2) number of runs above and below its middle, (3) serial correlation of
   neighbouring symbols. The three p-values are combined by the Cauchy rule, which holds under dependence.
 * *False discoveries*: words and names deviate, secrets do not. Over the whole corpus, p-values are held
   against Benjamini and Hochberg's line within each stratum of encoding and length, so that a test of few
@@ -81,10 +81,8 @@ def battery(run: str) -> tuple[str, float] | None:
     place = {c: n for n, c in enumerate(letters)}
     values = np.array([place[c] for c in body], np.float64)
     n, size = len(values), len(letters)
-    groups = max(2, min(size, n // 5))
-    counts = np.bincount((values * groups // size).astype(int), minlength=groups)
-    expected = np.bincount(np.arange(size) * groups // size, minlength=groups) * (n / size)
-    uniform = chi_squared_tail(float(((counts - expected) ** 2 / expected).sum()), groups - 1)
+    counts = np.bincount(values.astype(int), minlength=size)
+    uniform = chi_squared_tail(float((counts**2).sum()) * size / n - n, size - 1)
     high = values * 2 >= size
     runs = 1 + int(np.count_nonzero(high[1:] != high[:-1]))
     alternate = normal_tail((runs - 1 - (n - 1) / 2) / math.sqrt((n - 1) / 4))

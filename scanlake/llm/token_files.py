@@ -72,7 +72,7 @@ class EliasFano:
     def select(self, index: int) -> int:
         """The number at ``index``, from the directory and a few bytes after it."""
         place, ones = map(int, self.directory[index // SAMPLE])
-        while ones + _ONES[self.high[place]] <= index:
+        while ones + int(_ONES[self.high[place]]) <= index:
             ones += int(_ONES[self.high[place]])
             place += 1
         bits = np.flatnonzero(np.unpackbits(self.high[place : place + 1], bitorder="little"))

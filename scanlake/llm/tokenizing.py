@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-KNOWN_CHUNKS = 300_000
+KNOWN_CHUNKS = 600_000
 KNOWN_PARTS = 1_000_000
 #: White space to Python that is none to the tokenizers' patterns.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
