@@ -57,8 +57,11 @@ def cut_places(document_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[np
     return places[places <= total], penalty[places <= total]
 
 
-def best_cuts(places: list[int], penalties: list[int], window: int) -> list[int]:
-    """Indexes of the chosen places, first and last included. No two neighbours are over a window apart."""
+def best_cuts(places: list[int], penalties: list[int], window: int, last_cost=None) -> list[int]:
+    """Indexes of the chosen places, first and last included. No two neighbours are over a window apart.
+
+    ``last_cost`` gives the cost of a last window by its length, if that is not its padding.
+    """
     cost = [0] * len(places)
     came = [0] * len(places)
     queue = deque([(places[0], places[0], 0)])  # cost + position (ascending), position, index
@@ -72,6 +75,12 @@ def best_cuts(places: list[int], penalties: list[int], window: int) -> list[int]
         while queue and queue[-1][0] >= key:
             queue.pop()
         queue.append((key, place, j))
+    if last_cost and len(places) > 1:
+        end = places[-1]
+        came[-1] = min(
+            (i for i in range(len(places) - 1) if places[i] >= end - window),
+            key=lambda i: cost[i] + last_cost(end - places[i]),
+        )
     cuts = [len(places) - 1]
     while cuts[-1]:
         cuts.append(came[cuts[-1]])
@@ -104,16 +113,19 @@ class Packer:
         sentence_ends = np.flatnonzero(known[np.minimum(self.ids, len(known) - 1)]) + 1
         places, penalties = cut_places(document_ends, sentence_ends)
         places = places.tolist()
-        cuts = [places[i] for i in best_cuts(places, penalties.tolist(), self.window)]
-        if last:
-            rest = cuts[-1] - cuts[-2]
-            parts = powers_of_two(rest)
-            if (len(parts) - 1) * OTHER_PENALTY < self.window - rest:
-                cuts[-1:] = (cuts[-2] + np.cumsum(parts)).tolist()
-        else:
+        # The last window begins the next run and costs nothing yet; at the end it may become powers of two.
+        cost = self._rest_cost if last else lambda rest: 0
+        cuts = [places[i] for i in best_cuts(places, penalties.tolist(), self.window, cost)]
+        rest = cuts[-1] - cuts[-2]
+        if not last:
             cuts.pop()
+        elif self._rest_cost(rest) < self.window - rest:
+            cuts[-1:] = (cuts[-2] + np.cumsum(powers_of_two(rest))).tolist()
         return self._emit(cuts)
 
+    def _rest_cost(self, rest: int) -> int:
+        return min(self.window - rest, (rest.bit_count() - 1) * OTHER_PENALTY)
+
     def _emit(self, cuts: list[int]) -> list[tuple]:
         rows, at = [], 0
         starts = [0, *[e for *_, e in self.docs]]
