@@ -27,10 +27,19 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches, so that a task holds few texts as Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def pieces(batches: Iterator[pa.RecordBatch], most_chars: int) -> Iterator[tuple[list, list[str]]]:
     """Ids and whole texts in lists of about ``most_chars``; one longer text is a list of its own."""
     ids, texts, size = [], [], 0
-    for batch in batches:
+    for batch in slices(batches):
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             ids.append(doc)
             texts.append(text)
@@ -40,8 +49,3 @@ def pieces(batches: Iterator[pa.RecordBatch], most_chars: int) -> Iterator[tuple
                 ids, texts, size = [], [], 0
     if ids:
         yield ids, texts
-
-
-def rows_to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
-    return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema)

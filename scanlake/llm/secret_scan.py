@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlake.llm.common import id_and_text, pieces
+from scanlake.llm.common import id_and_text, pieces, slices
 from scanlake.session import written
 
 KINDS = ("assign", "access", "hex", "random")
@@ -55,7 +55,7 @@ ENCODINGS = (
 FALSE_DISCOVERY_RATE = 0.01
 P_BINS = 400
 LARGEST_EXPONENT = 20.0
-PIECE_CHARS = 2_000_000
+PIECE_CHARS = 1_000_000
 
 
 def normal_tail(z: float) -> float:
@@ -226,7 +226,7 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(columns.index("text")).to_pylist()
             for n, text in enumerate(texts):
                 if text:

@@ -15,8 +15,8 @@ from itertools import chain
 
 import numpy as np
 
-KNOWN_CHUNKS = 600_000
-KNOWN_PARTS = 1_000_000
+KNOWN_CHUNKS = 300_000
+KNOWN_PARTS = 500_000
 #: White space to Python that is none to the tokenizers' patterns.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACE_NOT_BEFORE_WORD = re.compile(r" (?=\s|$)")

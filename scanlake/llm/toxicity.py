@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlake.llm.common import id_and_text, pieces
+from scanlake.llm.common import id_and_text, pieces, slices
 from scanlake.llm.features import Vocabulary, trigram_hashes, word_hashes
 
 WINDOW = 64
@@ -41,7 +41,7 @@ LEAST_EXAMPLES = 20_000
 BATCH = 64
 RATE = 0.01
 FOLDS = 5
-PIECE_CHARS = 500_000
+PIECE_CHARS = 300_000
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 Params = dict[str, np.ndarray]
 
@@ -173,8 +173,8 @@ def scores(params: Params, words: Words) -> np.ndarray:
     out = np.empty(len(words.text), np.float32)
     whole = words.size == WINDOW
     for group in (np.flatnonzero(whole), np.flatnonzero(~whole)):
-        for at in range(0, len(group), 4096):
-            some = group[at : at + 4096]
+        for at in range(0, len(group), 2048):
+            some = group[at : at + 2048]
             out[some] = forward(params, entered, *words.windows(some))[0]
     return out
 
@@ -327,7 +327,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(place).to_pylist()]
             keep: list[bool] = []
             at = 0
