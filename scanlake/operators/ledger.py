@@ -8,15 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanlake.functions.times import minutes_before
 from scanlake.operators.ranking import number_rows
 from scanlake.schemas import COMPLETE, FAILED, PENDING, PROCESSING, RESULTS
 
-# Claims up to this many rows are ranked in one task.
-ONE_TASK_ROWS = 10_000
 # Fixed value: longest error text kept.
 ERROR_CHARS = 4000
 
@@ -60,11 +58,7 @@ def claim_picks(
     """(id, worker) for the first ``batch_size`` eligible rows of each worker, by id."""
     wanted = len(workers) * batch_size
     waiting = eligible(ledger, max_retries).select("id")
-    if wanted <= ONE_TASK_ROWS:
-        first = waiting.orderBy("id").limit(wanted)
-        ranked = first.withColumn("n", F.row_number().over(Window.orderBy("id")))
-    else:
-        ranked = number_rows(waiting, "id", "n").where(F.col("n") <= wanted)
+    ranked = number_rows(waiting, "id", "n").where(F.col("n") <= wanted)
     slot = F.floor((F.col("n") - 1) / F.lit(batch_size)).cast("int")
     names = F.array(*[F.lit(w) for w in workers])
     return ranked.select("id", F.get(names, slot).alias("worker"))
@@ -108,8 +102,14 @@ def reset_stale(ledger: DataFrame, now: Column, minutes: int) -> DataFrame:
     )
 
 
+def _one_each(delta: DataFrame) -> DataFrame:
+    """One row per id, so that repeated ids do not multiply the ledger; the greatest row is taken."""
+    others = [c for c in delta.columns if c != "id"]
+    return delta.groupBy("id").agg(F.max(F.struct(*others)).alias("one")).select("id", "one.*")
+
+
 def mark_complete(ledger: DataFrame, done: DataFrame, now: Column) -> DataFrame:
-    """``done`` holds one row (id, output_path, page_count) per finished image."""
+    """``done`` holds a row (id, output_path, page_count) per finished image; of repeated ids one counts."""
     delta = done.select(
         "id",
         F.col("output_path").alias("__output"),
@@ -117,7 +117,7 @@ def mark_complete(ledger: DataFrame, done: DataFrame, now: Column) -> DataFrame:
         F.lit(True).alias("__done"),
     )
     return _change(
-        ledger.join(delta, "id", "left"),
+        ledger.join(_one_each(delta), "id", "left"),
         F.col("__done").isNotNull(),
         status=F.lit(COMPLETE),
         completed_at=now,
@@ -127,13 +127,13 @@ def mark_complete(ledger: DataFrame, done: DataFrame, now: Column) -> DataFrame:
 
 
 def mark_error(ledger: DataFrame, errors: DataFrame, max_retries: int) -> DataFrame:
-    """``errors`` holds one row (id, error_message) per image that failed this time."""
+    """``errors`` holds a row (id, error_message) per image that failed this time; of repeated ids one counts."""
     delta = errors.select(
         "id", F.left("error_message", F.lit(ERROR_CHARS)).alias("__error"), F.lit(True).alias("__bad")
     )
     tries = F.coalesce(F.col("retry_count"), F.lit(0)) + 1
     return _change(
-        ledger.join(delta, "id", "left"),
+        ledger.join(_one_each(delta), "id", "left"),
         F.col("__bad").isNotNull(),
         status=F.when(tries >= max_retries, FAILED).otherwise(PENDING),
         worker_id=F.lit(None),
@@ -158,7 +158,8 @@ def record_outcomes(
 ) -> DataFrame:
     """Apply a mixed batch (id, error_message, output_path, page_count) in one join.
 
-    A null error means success, so one bad file never holds up the others.
+    A null error means success, so one bad file never holds up the others. Of repeated ids one
+    row counts, an error before a success.
     """
     delta = outcomes.select(
         "id",
@@ -175,7 +176,7 @@ def record_outcomes(
         return F.when(good, ok).otherwise(bad)
 
     return _change(
-        ledger.join(delta, "id", "left"),
+        ledger.join(_one_each(delta), "id", "left"),
         F.col("__seen").isNotNull(),
         status=pick(F.lit(COMPLETE), after_error),
         completed_at=pick(now, F.col("completed_at")),

@@ -10,10 +10,6 @@ from scanlake.functions.text import char_count, word_count
 # Fixed value: what stands between two page texts.
 PAGE_BREAK = "\n\n--- Page Break ---\n\n"
 
-# A document row holds at most this many pages. Longer documents continue in
-# rows with part_number 2, 3 ..., so that no group grows without bound.
-PART_PAGES = 4096
-
 
 def split_pages(documents: DataFrame, text: str, separator: str = "\n") -> DataFrame:
     """One row per page of a text column, numbered from 1."""
@@ -42,25 +38,19 @@ def with_metrics(pages: DataFrame) -> DataFrame:
     )
 
 
-def with_part(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
-    part = F.floor((F.col("page_number") - 1) / F.lit(part_pages)).cast("int") + 1
-    return pages.withColumn("part_number", part)
-
-
 def joined_text(pages: Column) -> Column:
     """The non-empty texts of an ordered page array."""
     texts = F.transform(pages, lambda p: p["text"])
     return F.array_join(F.filter(texts, lambda t: t != ""), PAGE_BREAK)
 
 
-def assemble_text(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
-    """Document text and page count; blank pages count but add no text."""
+def assemble_text(pages: DataFrame) -> DataFrame:
+    """Document text and page count, one row per document; blank pages count but add no text."""
     ordered = F.sort_array(F.collect_list(F.struct("page_number", "text")))
-    grouped = with_part(pages, part_pages).groupBy("image_id", "part_number")
-    return grouped.agg(joined_text(ordered).alias("full_text"), F.count("*").cast("int").alias("page_count"))
+    return pages.groupBy("image_id").agg(joined_text(ordered).alias("full_text"), F.count("*").cast("int").alias("page_count"))
 
 
-def nest_pages_by(pages: DataFrame, own: list[str], part_pages: int = PART_PAGES) -> DataFrame:
+def nest_pages_by(pages: DataFrame, own: list[str]) -> DataFrame:
     """The page records of each document as one ordered array.
 
     ``own`` are the document's columns, repeated on its pages.
@@ -72,8 +62,7 @@ def nest_pages_by(pages: DataFrame, own: list[str], part_pages: int = PART_PAGES
             )
         )
     )
-    grouped = with_part(pages, part_pages).groupBy(*own, "part_number")
-    return grouped.agg(
+    return pages.groupBy(*own).agg(
         ordered.alias("pages"),
         F.count("*").cast("int").alias("page_count"),
         F.sum("processing_time_ms").alias("total_processing_time_ms"),

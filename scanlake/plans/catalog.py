@@ -192,8 +192,8 @@ def claim_batch(spark, sf):
 
 @query
 def claim_everything(spark, sf):
-    # Far more batches than one task ranks, so row numbers come from range partitions.
-    many = steps.ONE_TASK_ROWS // BATCH + 1
+    # More batches than there are rows.
+    many = 1001
     names = tuple(f"worker-{n}" for n in range(many))
     return steps.claim_picks(views.ledger(spark, sf), names, BATCH, MAX_RETRIES)
 
@@ -402,7 +402,7 @@ def _nested(spark, sf):
 @query
 def document_json(spark, sf):
     return pages.explode_pages(_nested(spark, sf)).select(
-        "image_id", "part_number", "page_count", "page_number", "text", "confidence",
+        "image_id", "page_count", "page_number", "text", "confidence",
         "word_count", "char_count", "processing_time_ms",
     )
 
@@ -425,7 +425,7 @@ def document_index(spark, sf):
     )
     words = F.aggregate("pages", F.lit(0), lambda a, p: a + p["word_count"])
     return _no_nulls(_documents(spark, sf), "file_size_bytes").select(
-        "image_id", "part_number", "source_path", "file_name", "relative_path", "output_base",
+        "image_id", "source_path", "file_name", "relative_path", "output_base",
         "file_size_bytes", "page_count", "full_text", words.alias("word_count"),
         numbers.mean_of_units(mean, F.col("page_count")).alias("confidence"),
         "ocr_engine", "ocr_language", "ocr_config", "preprocessing_enabled", "processed_at",

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from scanlake.functions import paths
 from scanlake.functions.times import iso_utc
-from scanlake.operators.pages import PART_PAGES, joined_text, nest_pages_by, with_metrics
+from scanlake.operators.pages import joined_text, nest_pages_by, with_metrics
 from scanlake.options import Options
 
 
 def document_rows(
-    pages: DataFrame, options: Options, now: Column, part_pages: int = PART_PAGES
+    pages: DataFrame, options: Options, now: Column
 ) -> DataFrame:
     """One search-ready row per document (per part, for very long ones).
 
@@ -21,7 +21,7 @@ def document_rows(
     is a single exchange by document.
     """
     own = ["image_id", "file_path", "file_size_bytes"]
-    nested = nest_pages_by(with_metrics(pages), own, part_pages)
+    nested = nest_pages_by(with_metrics(pages), own)
     path = F.col("file_path")
     relative = paths.relative_path(path, options.input.root_path)
     base = paths.output_base(path, options.input.root_path, options.output.root_path)
@@ -32,7 +32,6 @@ def document_rows(
         paths.slashes(relative).alias("relative_path"),
         base.alias("output_base"),
         "file_size_bytes",
-        "part_number",
         "page_count",
         joined_text(F.col("pages")).alias("full_text"),
         "pages",

@@ -363,7 +363,7 @@ def _oracle_sql() -> dict[str, str]:
     doc_rows = _with(
         _and(RECOGNISED, PLACED),
         f"""
-        select image_id, cast((page_number - 1) // 4096 + 1 as integer) as part_number, p.file_path as source_path, p.file_name,
+        select image_id, p.file_path as source_path, p.file_name,
                p.rel as relative_path, p.output_base, p.file_size_bytes,
                cast(count(*) as integer) as page_count, {full_text} as full_text,
                cast(sum(word_count) as integer) as word_count,
@@ -372,17 +372,15 @@ def _oracle_sql() -> dict[str, str]:
                true as preprocessing_enabled, '2024-01-01T06:00:00+00:00' as processed_at,
                cast(sum(processing_time_ms) as bigint) as total_processing_time_ms
         from recognised r join placed p on p.id = r.image_id
-        group by image_id, (page_number - 1) // 4096, p.file_path, p.file_name, p.rel, p.output_base,
+        group by image_id, p.file_path, p.file_name, p.rel, p.output_base,
                  p.file_size_bytes""",
     )
     placed_pages = _and(RECOGNISED, PLACED)
     text_files = placed_pages + f""",
       texts as (
-        select concat(substr(any_value(output_base), 5), '-', image_id,
-                      case when (page_number - 1) // 4096 > 0
-                           then concat('.part', (page_number - 1) // 4096 + 1) else '' end) as name,
+        select concat(substr(any_value(output_base), 5), '-', image_id) as name,
                {full_text} as body, count(*) as pages
-        from recognised join placed on id = image_id group by image_id, (page_number - 1) // 4096)"""
+        from recognised join placed on id = image_id group by image_id)"""
     return {
         "scan_files": _with(FILES, """
             select file_path, file_name, file_size_bytes from files
@@ -541,17 +539,14 @@ def _oracle_sql() -> dict[str, str]:
         "text_strip": _with(TEXT_PAGES, """
             select image_id, page_number, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as stripped from text_pages"""),
         "assemble_text": _with(TEXT_PAGES, f"""
-            select image_id, cast((page_number - 1) // 4096 + 1 as integer) as part_number,
-                   {full_text} as full_text, cast(count(*) as integer) as page_count
-            from text_pages group by 1, 2"""),
+            select image_id, {full_text} as full_text, cast(count(*) as integer) as page_count
+            from text_pages group by 1"""),
         "assemble_chat": f"""
-            select conv_id as image_id, cast(turn // 4096 + 1 as integer) as part_number,
-                   {full_text.replace("page_number", "turn")} as full_text,
+            select conv_id as image_id, {full_text.replace("page_number", "turn")} as full_text,
                    cast(count(*) as integer) as page_count
-            from conversations group by 1, 2""",
+            from conversations group by 1""",
         "document_json": _with(RECOGNISED, """
-            select image_id, cast((page_number - 1) // 4096 + 1 as integer) as part_number,
-                   cast(count(*) over (partition by image_id, (page_number - 1) // 4096) as integer) as page_count,
+            select image_id, cast(count(*) over (partition by image_id) as integer) as page_count,
                    page_number, text, confidence, word_count, char_count, processing_time_ms from recognised"""),
         "doc_time": _with(RECOGNISED, """
             select image_id, cast(count(*) as integer) as page_count,
@@ -560,7 +555,7 @@ def _oracle_sql() -> dict[str, str]:
         "document_index": doc_rows,
         "docs_roundtrip": _with(placed_pages, """
             select rel as relative_path, cast(sum(processing_time_ms) over (
-                     partition by image_id, (page_number - 1) // 4096) as bigint) as total_processing_time_ms, '2024-01-01T06:00:00+00:00' as processed_at,
+                     partition by image_id) as bigint) as total_processing_time_ms, '2024-01-01T06:00:00+00:00' as processed_at,
                    page_number, text, confidence, word_count, char_count, processing_time_ms
             from recognised join placed on id = image_id"""),
         "sink_txt": _with(text_files, """

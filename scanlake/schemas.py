@@ -52,14 +52,12 @@ PAGE = T.StructType(
     ]
 )
 
-# part_number is 1 for every document that fits one row; see operators.pages.
 DOCUMENT = T.StructType(
     [
         T.StructField("source_path", T.StringType()),
         T.StructField("file_name", T.StringType()),
         T.StructField("relative_path", T.StringType()),
         T.StructField("file_size_bytes", T.LongType()),
-        T.StructField("part_number", T.IntegerType()),
         T.StructField("page_count", T.IntegerType()),
         T.StructField("full_text", T.StringType()),
         T.StructField("pages", T.ArrayType(PAGE)),

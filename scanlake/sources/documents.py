@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.schemas import DOCUMENT
+from scanlake.sources.stores import filesystem
 
 
 def write_json_lines(documents: DataFrame, path: str) -> None:
@@ -33,34 +34,45 @@ def json_bodies(documents: DataFrame) -> DataFrame:
 
 
 def _file(extension: str) -> Column:
-    part = F.when(F.col("part_number") > 1, F.concat(F.lit(".part"), F.col("part_number")))
-    return F.concat("output_base", F.coalesce(part, F.lit("")), F.lit("." + extension))
+    return F.concat("output_base", F.lit("." + extension))
 
 
 def write_files(bodies: DataFrame) -> DataFrame:
-    """Write one file per row, text as UTF-8, and return the manifest (output_path, bytes).
+    """Write one file per row, text as UTF-8, and return the manifest (output_path, bytes, error).
 
     Line-based writers would split the text. Each file is written aside and
     moved into place, so a repeated task only replaces it with equal content.
+    A file that cannot be written has an error and no bytes; the others are written.
     The write happens when the manifest is evaluated.
     """
-    return bodies.mapInPandas(_write_batches, "output_path string, bytes bigint")
+    return bodies.mapInPandas(_write_batches, "output_path string, bytes bigint, error string")
 
 
-def _write_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _write_one(target: str, body: str | bytes) -> int:
     import uuid
 
-    from pyarrow import fs as arrow_fs
+    fs, path = filesystem(target)
+    data = body.encode("utf-8") if isinstance(body, str) else bytes(body)
+    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    aside = f"{path}.{uuid.uuid4().hex}"
+    try:
+        with fs.open_output_stream(aside) as out:
+            out.write(data)
+        fs.move(aside, path)
+    except Exception:
+        if fs.get_file_info(aside).is_file:
+            fs.delete_file(aside)
+        raise
+    return len(data)
+
 
+def _write_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        sizes = []
+        rows = []
         for target, body in zip(batch["output_path"], batch["body"]):
-            fs, path = arrow_fs.FileSystem.from_uri(target)
-            data = body.encode("utf-8") if isinstance(body, str) else bytes(body)
-            fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-            aside = f"{path}.{uuid.uuid4().hex}"
-            with fs.open_output_stream(aside) as out:
-                out.write(data)
-            fs.move(aside, path)
-            sizes.append(len(data))
-        yield pd.DataFrame({"output_path": batch["output_path"], "bytes": sizes})
+            try:
+                rows.append((target, _write_one(target, body), None))
+            except Exception as problem:
+                rows.append((target, None, f"{type(problem).__name__}: {problem}"))
+        found = pd.DataFrame(rows, columns=["output_path", "bytes", "error"])
+        yield found.astype({"bytes": "Int64"})

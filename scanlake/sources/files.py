@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from scanlake.operators.registering import matching_files
 from scanlake.options import InputOptions
+from scanlake.sources.stores import filesystem
 
 
 def _name_glob(extensions: tuple[str, ...]) -> str:
@@ -73,20 +74,6 @@ def stream_files(spark: SparkSession, options: InputOptions) -> DataFrame:
 Decoder = Callable[[bytes], Iterator[tuple[bytes, int, int, list[str] | None]]]
 
 
-def multipage_images(content: bytes) -> Iterator[tuple[bytes, int, int, list[str] | None]]:
-    """Pages of any image file the imaging library of the workers can open."""
-    import io
-
-    from PIL import Image, ImageSequence
-
-    for frame in ImageSequence.Iterator(Image.open(io.BytesIO(content))):
-        page = io.BytesIO()
-        frame.convert("L").save(page, format="PNG")
-        dpi = frame.info.get("dpi")
-        values = dpi if isinstance(dpi, (tuple, list)) else [dpi]
-        yield page.getvalue(), *frame.size, None if dpi is None else [str(v) for v in values]
-
-
 def text_pages(content: bytes) -> Iterator[tuple[bytes, int, int, list[str] | None]]:
     """Pages of a UTF-8 text file separated by form feeds."""
     for page in content.decode("utf-8").split("\f"):
@@ -100,7 +87,7 @@ _DECODED = "page_number int, image binary, width int, height int, dpi array<stri
 
 
 def decode_pages(
-    files: DataFrame, decoder: Decoder = multipage_images, tasks: int | None = None
+    files: DataFrame, decoder: Decoder, tasks: int | None = None
 ) -> DataFrame:
     """One row per page of each file; the other columns are repeated.
 
@@ -144,9 +131,7 @@ def decode_pages(
 
 
 def _read_file(path: str) -> bytes:
-    from pyarrow import fs as arrow_fs
-
-    fs, inner = arrow_fs.FileSystem.from_uri(path)
+    fs, inner = filesystem(path)
     with fs.open_input_file(inner) as source:
         return source.read()
 

@@ -40,12 +40,22 @@ def test_claim_takes_first_by_id_and_never_overlaps(spark):
     assert got[2]["started_at"] == NOW and got[9]["status"] == "pending" and got[1]["status"] == "pending"
 
 
-def test_claims_beyond_one_task_agree_with_claims_within(spark, monkeypatch):
+def test_claims_go_by_id(spark):
     ledger = ledger_of(spark, *[row(i, "pending") for i in range(50, 0, -1)])
-    small = {r["id"]: r["worker"] for r in steps.claim_picks(ledger, ["a", "b", "c"], 7, 3).collect()}
-    monkeypatch.setattr(steps, "ONE_TASK_ROWS", 1)
-    large = {r["id"]: r["worker"] for r in steps.claim_picks(ledger, ["a", "b", "c"], 7, 3).collect()}
-    assert small == large and len(small) == 21
+    got = {r["id"]: r["worker"] for r in steps.claim_picks(ledger, ["a", "b", "c"], 7, 3).collect()}
+    assert got == {i: "abc"[(i - 1) // 7] for i in range(1, 22)}
+
+
+def test_repeated_outcomes_keep_one_row_per_id(spark):
+    ledger = ledger_of(spark, row(1, "processing"), row(2, "processing"))
+    outcomes = spark.createDataFrame(
+        [(1, None, "/out/a", 2), (1, None, "/out/a", 2), (2, None, "/out/b", 1), (2, "bad", None, None)],
+        "id long, error_message string, output_path string, page_count int",
+    )
+    got = {r["id"]: r["status"] for r in steps.record_outcomes(ledger, outcomes, 3, moment(NOW)).collect()}
+    assert got == {1: "complete", 2: "pending"}
+    done = steps.mark_complete(ledger, outcomes.where("id = 1"), moment(NOW))
+    assert done.count() == 2
 
 
 def test_stale_reset_is_strict_and_skips_null(spark):

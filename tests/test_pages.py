@@ -33,11 +33,11 @@ def test_blank_pages_count_but_add_no_text(spark):
     }
 
 
-def test_long_documents_continue_in_parts(spark):
-    got = pages.assemble_text(pages_of(spark, *[(1, n, str(n)) for n in range(1, 6)]), part_pages=2).collect()
-    parts = {r["part_number"]: (r["full_text"], r["page_count"]) for r in got}
-    joined = "\n\n--- Page Break ---\n\n"
-    assert parts == {1: (f"1{joined}2", 2), 2: (f"3{joined}4", 2), 3: ("5", 1)}
+def test_long_documents_are_one_row(spark):
+    many = 9000
+    got = pages.assemble_text(pages_of(spark, *[(1, n, str(n)) for n in range(many, 0, -1)])).collect()
+    joined = "\n\n--- Page Break ---\n\n".join(str(n) for n in range(1, many + 1))
+    assert [(r["full_text"], r["page_count"]) for r in got] == [(joined, many)]
 
 
 def test_percent_scores(spark):
@@ -101,11 +101,22 @@ def test_own_engine_joins_its_tokens(spark):
     assert (got["text"], got["confidence"]) == ("line one\nfr", 0.8833)
 
 
-def test_missing_engine_library_is_reported(spark):
-    with pytest.raises(Exception, match="easyocr"):
+def test_unknown_engine_is_reported(spark):
+    with pytest.raises(ValueError, match="easyocr"):
         recognising.recognise(images_of(spark, (1, 1, b"x")), RecogniserOptions(engine="easyocr")).collect()
 
 
+def test_odd_names_and_bad_targets(spark, tmp_path):
+    (tmp_path / "file").write_text("in the way")
+    names = ["a b.txt", "a#1.txt", "a#2.txt", "e?f.txt", "c%20d.txt", "ü/ß.txt"]
+    targets = [f"file:{tmp_path}/{n}" for n in names] + [f"file:{tmp_path}/file/below.txt"]
+    bodies = spark.createDataFrame([(t, t) for t in targets], "output_path string, body string")
+    got = {r["output_path"]: r for r in document_files.write_files(bodies).collect()}
+    for name, target in zip(names, targets):
+        assert (tmp_path / name).read_text() == target and got[target]["error"] is None
+    assert got[targets[-1]]["error"] and got[targets[-1]]["bytes"] is None
+
+
 def test_pdf_needs_its_engine(spark):
     with pytest.warns(UserWarning):
         assert outputs.written_formats(["pdf", "txt"], "easyocr") == ["txt"]

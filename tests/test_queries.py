@@ -41,7 +41,6 @@ def skewed(tmp_path_factory):
     def longest(docs):
         rows = docs.to_pylist()
         lines = [line for r in rows for line in r["text"].split("\n")]
-        # Longer than one part, so the document continues in further rows.
         rows[5]["text"] = "\n".join((lines * 10)[: max(9000, len(lines) // 2)])
         rows[5]["n_chars"] = len(rows[5]["text"])
         return pa.Table.from_pylist(rows, docs.schema)
