@@ -1,22 +1,5 @@
 """Opening files of any store from a task, by the path as Spark names it."""
 
-from __future__ import annotations
+from scanlake.sources.stores import filesystem
 
-from pyarrow import fs
-
-
-def filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    """The store of a qualified path, and the path within it.
-
-    Scheme and authority alone name the store; the rest is passed on as it is, so names may have any
-    characters.
-    """
-    scheme, colon, rest = path.partition(":")
-    if not colon or "/" in scheme:
-        return fs.LocalFileSystem(), path
-    if scheme == "file":
-        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    authority, _, inner = rest.removeprefix("//").partition("/")
-    if scheme in ("s3", "s3a", "s3n"):
-        return fs.S3FileSystem(), f"{authority}/{inner}"
-    return fs.FileSystem.from_uri(f"{scheme}://{authority}/")[0], "/" + inner
+__all__ = ["filesystem"]
