@@ -9,12 +9,13 @@
 * *Banding*. ``BANDS`` keys of ``ROWS`` places each: documents at similarity 0.75 share a key with a chance of
   over 0.99999. In each bucket every member is paired with the smallest one only: no all-pairs.
 * *Verification*. Pairs meet their full sets, and ``100 * intersection >= 75 * union`` decides.
-* *Rest*. A bucket that still spans several components may hide links between its other members. Buckets of up
-  to ``SMALL_BUCKET`` members are paired across components. In larger ones a bound goes first: with ``k``
-  elements shared with the bucket's smallest member c, and ``r`` elements outside c that any other member
-  compared with c has too, a member shares at most ``k + r`` elements with any other. Members that cannot
-  reach the similarity so are closed; the rest is paired across components, at least one side outside the
-  component of c. No link of a bucket is lost, and a group of mutual near-copies costs one pair a member.
+* *Rest*. A bucket that still spans several components may hide links between its other members. In buckets
+  of more than ``SMALL_BUCKET`` members a bound goes first: with ``k`` elements shared with the bucket's
+  smallest member c, and ``r`` elements outside c that any other member compared with c has too, a member
+  shares at most ``k + r`` elements with any other. Members that cannot reach the similarity so are closed.
+  Of the rest, those outside the component of c ask all others, full set against full set, in blocks of
+  bounded size; no pair becomes a row unless it is a link. No link of a bucket is lost, and a group of mutual
+  near-copies costs one pair a member.
 * *Grouping*. Union-find on links as joins: every node points to its smallest neighbour, pointers are jumped,
   links are contracted to the ends' pointers until none is left. Each round is written to the shared folder.
 
@@ -41,6 +42,8 @@ BANDS, ROWS = 32, 4
 PLACES = BANDS * ROWS
 SHARE = 75
 SMALL_BUCKET = 8
+# A block of a bucket holds about so many sets, and shingles, on each side.
+BLOCK_SETS, BLOCK_SHINGLES = 512, 500_000
 PIECE_CHARS = 1_000_000
 UNSET = np.int64(2**62)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -170,6 +173,35 @@ def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _linked(block: pa.Table) -> pa.Table:
+    """Similar (a, b) of one block, one row that asks at a time against all that are asked.
+
+    Only links that join components not yet joined here are given, so a block has fewer links than members.
+    """
+    ids, label, asks = (block.column(n).to_numpy() for n in ("doc_id", "component", "asks"))
+    label = label.copy()
+    sets = [np.frombuffer(s, np.uint64) for s in block.column("shingles").to_pylist()]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    codes = np.split(codes, np.cumsum(sizes)[:-1])
+    asked = np.flatnonzero(~asks)
+    links: list[tuple[int, int]] = []
+    if len(asked):
+        rows = np.concatenate([codes[j] for j in asked])
+        starts = np.concatenate(([0], np.cumsum(sizes[asked])[:-1]))
+        flags = np.zeros(int(sizes.sum()), bool)
+        for i in np.flatnonzero(asks):
+            flags[codes[i]] = True
+            both = np.add.reduceat(flags[rows], starts, dtype=np.int64)
+            flags[codes[i]] = False
+            near = 100 * both >= SHARE * (sizes[i] + sizes[asked] - both)
+            while (new := near & (label[asked] != label[i])).any():
+                j = asked[new.argmax()]
+                links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                label[label == label[j]] = label[i]
+    return pa.table({n: pa.array([x[k] for x in links], pa.int64()) for k, n in enumerate("ab")})
+
+
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return (
         pairs.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
@@ -195,7 +227,7 @@ def similar(pairs: DataFrame) -> DataFrame:
 
 
 def rest(members: DataFrame, stars: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) that may yet link components of one bucket.
+    """Further links (a, b) between components of one bucket; written.
 
     ``members``: bucket, doc_id, n_shingles, component, low (the bucket's smallest member) and
     low_component. ``stars``: all pairs (member, low) as compared.
@@ -217,19 +249,25 @@ def rest(members: DataFrame, stars: DataFrame, sets: DataFrame) -> DataFrame:
     )
     least = large.groupBy("bucket").agg(F.min("n_shingles").alias("least"))
     large = large.join(least, "bucket").where(f"reach >= least and reach >= div({SHARE}L * n_shingles + 99, 100L)").drop("least")
-    small = members.where(F.col("many") <= SMALL_BUCKET).withColumn("reach", F.expr(f"div(100L * n_shingles, {SHARE}L)"))
-    names = ["bucket", "doc_id", "n_shingles", "component", "low_component", "reach"]
+    small = members.where(F.col("many") <= SMALL_BUCKET)
+    names = ["bucket", "doc_id", "n_shingles", "component", "low_component"]
     still = written(large.select(names).unionByName(small.select(names)), "open-members")
-    split = still.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
-    still = still.join(split.select("bucket"), "bucket", "left_semi")
-    x = still.where("component <> low_component").select(
-        "bucket", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"), F.col("reach").alias("reach_a"))
-    y = still.select(
-        "bucket", F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"), F.col("reach").alias("reach_b"))
-    return (
-        x.join(y, "bucket").where("c_a <> c_b and n_b <= reach_a and n_a <= reach_b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
+    asks = F.expr("component <> low_component")
+    blocks = lambda mine: F.ceil(F.greatest(
+        F.sum(F.when(mine, F.col("n_shingles"))) / BLOCK_SHINGLES, F.count_if(mine) / BLOCK_SETS)).cast("int")
+    split = still.groupBy("bucket").agg(
+        F.min("component").alias("c"), F.max("component").alias("d"),
+        blocks(asks).alias("rows"), blocks(F.lit(True)).alias("columns"),
+    ).where("c < d").select("bucket", "rows", "columns")
+    dealt = still.join(split, "bucket")
+    own = lambda n: F.pmod(F.xxhash64("doc_id"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    of = ["bucket", "doc_id", "component"]
+    askers = dealt.where(asks).select(*of, F.lit(True).alias("asks"), own("rows").alias("row"), every("columns").alias("column"))
+    asked = dealt.select(*of, F.lit(False).alias("asks"), every("rows").alias("row"), own("columns").alias("column"))
+    with_sets = askers.unionByName(asked).join(sets, "doc_id")
+    found = with_sets.groupBy("bucket", "row", "column").applyInArrow(_linked, "a long, b long")
+    return written(found.distinct(), "more-links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -296,7 +334,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
     split = grouped.groupBy("bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d")
     grouped = grouped.join(split.select("bucket"), "bucket", "left_semi")
-    more = similar(compared(rest(grouped, stars, sets), sets))
+    more = rest(grouped, stars, sets)
     if not more.isEmpty():
         groups = components(found.unionByName(more))
     of_class = classes.join(groups.withColumnRenamed("node", "class_id"), "class_id", "left").select(
