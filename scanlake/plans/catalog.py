@@ -644,6 +644,54 @@ def image_scan(spark, sf):
     )
 
 
+@query
+def list_tree(spark, sf):
+    """Files with empty, hidden, upper-case and spaced names, written and then listed both ways."""
+    root = new_folder(spark, "tree")
+
+    def one_of(values, number):
+        return F.element_at(F.array(*map(F.lit, values)), (number + 1).cast("int"))
+
+    doc_id = F.col("doc_id")
+    name = F.concat(
+        one_of(views.ODD_FOLDERS, doc_id % 5), one_of(views.ODD_PREFIXES, doc_id % 6),
+        doc_id.cast("string"), one_of(views.ODD_SUFFIXES, doc_id % 7 % 3),
+    )
+    bodies = views.table(spark, sf, "documents").select(
+        F.concat(F.lit(root + "/"), name).alias("output_path"),
+        F.when(doc_id % 11 == 0, "").otherwise(F.coalesce("text", F.lit(""))).alias("body"),
+    )
+    written(document_files.write_files(bodies), "manifest")
+    options = InputOptions(root_path=root)
+    flat = file_sources.list_files(spark, InputOptions(root_path=root, recursive=False))
+    flat = flat.select("file_path", F.lit(True).alias("flat"))
+    found = file_sources.list_files(spark, options).join(flat, "file_path", "left")
+    return found.select(
+        F.substring_index("file_path", root.rsplit("/", 1)[-1] + "/", -1).alias("relative_path"),
+        "file_size_bytes", F.coalesce("flat", F.lit(False)).alias("in_flat"),
+    )
+
+
+@query
+def decode_scan(spark, sf):
+    """A file per document, each line a page, some no UTF-8; listed, decoded, told page by page."""
+    root = new_folder(spark, "scans")
+    bad = views.table(spark, sf, "labels").where("toxic = 1").select("doc_id", F.lit(True).alias("bad"))
+    scan = F.encode(F.translate(F.coalesce("text", F.lit("")), "\n", "\f"), "UTF-8")
+    bodies = views.table(spark, sf, "documents").join(bad, "doc_id", "left").select(
+        F.concat(F.lit(root + "/"), F.col("doc_id").cast("string"), F.lit(".tif")).alias("output_path"),
+        F.when(F.col("bad"), F.unhex(F.lit("FF"))).otherwise(scan).alias("body"),
+    )
+    written(document_files.write_files(bodies), "manifest")
+    found = file_sources.list_files(spark, InputOptions(root_path=root))
+    pages_in = file_sources.decode_pages(found, file_sources.text_pages)
+    size = F.octet_length("image").cast("bigint")
+    return _no_nulls(pages_in.withColumn("bytes", size), "bytes").select(
+        F.substring_index("file_name", ".", 1).cast("bigint").alias("image_id"), "page_number", "bytes",
+        F.col("error").isNotNull().alias("has_error"),
+    )
+
+
 # ------------------------------------------------------------------- streaming
 
 

@@ -645,6 +645,21 @@ def _oracle_sql() -> dict[str, str]:
             select concat(image_id, '-', page_number) as name, max(x) + 1 as width, max(y) + 1 as height,
                    cast(sum(v) as bigint) as gray_sum, cast(sum(v * x) as bigint) as gray_x
             from colour_gray group by image_id, page_number"""),
+        "list_tree": """
+            select concat(folder, (['', '_', '.', 'a b#', 'q?%20', 'ü'])[doc_id % 6 + 1], doc_id,
+                          (['.tif', '.TIFF', '.txt'])[doc_id % 7 % 3 + 1]) as relative_path,
+                   case when doc_id % 11 = 0 then 0 else octet_length(encode(coalesce(text, ''))) end as file_size_bytes,
+                   folder = '' as in_flat
+            from (select *, (['', 'sub/', '.hidden/', '_x/two words/', '50% #1/'])[doc_id % 5 + 1] as folder from documents)
+            where doc_id % 7 % 3 <> 2""",
+        "decode_scan": """
+            with scans as (
+              select doc_id as image_id, doc_id in (select doc_id from labels where toxic = 1) as bad,
+                     string_split(replace(coalesce(text, ''), chr(10), chr(12)), chr(12)) as l
+              from documents)
+            select image_id, cast(p as integer) as page_number, octet_length(encode(l[p])) as bytes, false as has_error
+            from (select *, unnest(range(1, len(l) + 1)) as p from scans where not bad)
+            union all select image_id, cast(0 as integer), cast(-1 as bigint), true from scans where bad""",
         "stream_discovery": _with(text_files, """
             select row_number() over (order by relative_path) as id, relative_path, file_size_bytes,
                    'pending' as status, cast(0 as integer) as retry_count

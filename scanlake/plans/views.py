@@ -94,6 +94,12 @@ def text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_pages(docs, "text")
 
 
+# Parts of file names that listings and openers may trip over.
+ODD_FOLDERS = ("", "sub/", ".hidden/", "_x/two words/", "50% #1/")
+ODD_PREFIXES = ("", "_", ".", "a b#", "q?%20", "ü")
+ODD_SUFFIXES = (".tif", ".TIFF", ".txt")
+
+
 def chat_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation is a document, each turn a page."""
     return table(spark, sf_dir, "conversations").select(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from dataclasses import replace
+from functools import reduce
+from itertools import islice
 from typing import Any
 
 import pandas as pd
@@ -14,7 +15,8 @@ from pyspark.sql import types as T
 
 from scanlake.operators.registering import matching_files
 from scanlake.options import InputOptions
-from scanlake.sources.stores import filesystem
+from scanlake.session import written
+from scanlake.sources.stores import entries, filesystem, qualified
 
 
 def _name_glob(extensions: tuple[str, ...]) -> str:
@@ -38,23 +40,41 @@ def _plain_path() -> F.Column:
     return F.regexp_replace("path", "^file:(//)?(?=/)", "")
 
 
-def _below_root(found: DataFrame, options: InputOptions) -> DataFrame:
-    root = re.sub("^file:(//)?(?=/)", "", options.root_path)
-    listing = found.select(
-        _plain_path().alias("file_path"), F.col("length").alias("file_size_bytes")
-    )
-    return matching_files(listing, replace(options, root_path=root))
-
-
 def list_files(spark: SparkSession, options: InputOptions) -> DataFrame:
     """Files under the root: file_path, file_name, file_size_bytes. Reads no content.
 
-    Spark's listing skips empty files and names that start with ``_`` or ``.``.
-    Where those must be registered too, pass an inventory table of the store to
-    ``matching_files`` instead.
+    Folders are listed in tasks, one level of the tree after the other, so neither the driver nor one
+    task holds the tree. Empty files and names that start with ``_`` or ``.`` count; a size is null where
+    it cannot be told. A flat listing takes files only, a recursive one dangling links as well. Paths are
+    absolute and carry their store unless it is the local one. A root that does not exist is an error.
     """
-    found = _binary_reader(spark.read, options).load(options.root_path)
-    return _below_root(found, options)
+    root = qualified(spark, options.root_path)
+    tasks = spark.sparkContext.defaultParallelism
+    level = spark.createDataFrame([(root,)], "file_path string")
+    found = []
+    while True:
+        listed = level.repartition(tasks).mapInPandas(_list_folders, _ENTRIES)
+        listed = written(listed, "listing")
+        found.append(listed.where("not is_folder" if options.recursive else "is_file"))
+        level = listed.where("is_folder").select("file_path")
+        if not options.recursive or level.isEmpty():
+            break
+    listing = reduce(DataFrame.unionByName, found).select("file_path", "file_size_bytes")
+    return matching_files(listing, replace(options, root_path=root))
+
+
+_ENTRIES = "file_path string, is_folder boolean, is_file boolean, file_size_bytes bigint"
+# Entries leave a listing task in batches of this many.
+LISTED_AT_ONCE = 10_000
+
+
+def _list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ["file_path", "is_folder", "is_file", "file_size_bytes"]
+    for batch in batches:
+        for folder in batch["file_path"]:
+            rows = entries(folder)
+            while some := list(islice(rows, LISTED_AT_ONCE)):
+                yield pd.DataFrame(some, columns=columns).astype({"file_size_bytes": "Int64"})
 
 
 def read_contents(spark: SparkSession, options: InputOptions) -> DataFrame:
@@ -64,10 +84,21 @@ def read_contents(spark: SparkSession, options: InputOptions) -> DataFrame:
 
 
 def stream_files(spark: SparkSession, options: InputOptions) -> DataFrame:
-    """The same listing as a stream of new files."""
+    """New files under the root as a stream, ``STREAMED_AT_ONCE`` a batch.
+
+    Spark's file stream skips empty files and names that start with ``_`` or ``.``; registering
+    ``list_files`` again finds those.
+    """
+    root = qualified(spark, options.root_path)
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    found = _binary_reader(spark.readStream, options).schema(schema).load(options.root_path)
-    return _below_root(found, options)
+    reader = _binary_reader(spark.readStream, options).option("maxFilesPerTrigger", STREAMED_AT_ONCE)
+    listing = reader.schema(schema).load(options.root_path).select(
+        _plain_path().alias("file_path"), F.col("length").alias("file_size_bytes")
+    )
+    return matching_files(listing, replace(options, root_path=root))
+
+
+STREAMED_AT_ONCE = 100_000
 
 
 # A decoder yields one (image bytes, width, height, dpi strings or None) per page.
@@ -93,15 +124,15 @@ def decode_pages(
 
     Without a ``content`` column the tasks open ``file_path`` themselves, so
     that file bytes are never shuffled; the short rows are dealt to ``tasks``
-    tasks first, by default four per core. A file that cannot be read or
-    decoded gives one row with page_number 0 and an error.
+    tasks first. By default that is four per core, or more where file_size_bytes
+    tells that a task would then read over ``TASK_BYTES``. A file that cannot be
+    read or decoded gives one row with page_number 0 and an error.
     """
     kept = [f for f in files.schema if f.name != "content"]
     names = [f.name for f in kept]
     schema = T.StructType(kept + T.StructType.fromDDL(_DECODED).fields)
     if "content" not in files.columns:
-        cores = files.sparkSession.sparkContext.defaultParallelism
-        files = files.repartition(tasks or cores * 4)
+        files = files.repartition(tasks or _tasks_for(files))
 
     def pages_of(row: dict[str, Any]) -> Iterator[dict[str, Any]]:
         own = {c: row[c] for c in names}
@@ -130,6 +161,18 @@ def decode_pages(
     return files.mapInPandas(decode, schema)
 
 
+# What a lost decoding task has to read again, about.
+TASK_BYTES = 256 << 20
+
+
+def _tasks_for(files: DataFrame) -> int:
+    least = files.sparkSession.sparkContext.defaultParallelism * 4
+    if "file_size_bytes" not in files.columns:
+        return least
+    total = files.agg(F.sum("file_size_bytes")).first()[0] or 0
+    return max(least, -(-total // TASK_BYTES))
+
+
 def _read_file(path: str) -> bytes:
     fs, inner = filesystem(path)
     with fs.open_input_file(inner) as source:

@@ -1,8 +1,55 @@
-"""Opening files of any store from a task, by the path as Spark names it."""
+"""Files and folders of any store, by the path as Spark names it."""
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Iterator
+
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The absolute path with its store and without dots; local paths without a scheme.
+
+    Raises if nothing is there.
+    """
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = given.getFileSystem(spark._jsc.hadoopConfiguration())
+    full = store.makeQualified(given)
+    if not store.exists(full):
+        raise FileNotFoundError(path)
+    return re.sub("^file:(//)?(?=/)", "", full.toString())
+
+
+def entries(folder: str) -> Iterator[tuple[str, bool, bool, int | None]]:
+    """What lies in a folder: path, is it a folder, is it a file, size (null where it cannot be told).
+
+    Links to folders are left out, so a walk ends; a dangling link is neither folder nor file.
+    A folder that went meanwhile is empty.
+    """
+    store, inner = filesystem(folder)
+    prefix = folder.rstrip("/") + "/"
+    if isinstance(store, fs.LocalFileSystem):
+        try:
+            found = list(os.scandir(inner))
+        except FileNotFoundError:
+            return
+        for entry in found:
+            if entry.is_dir():
+                if not entry.is_symlink():
+                    yield prefix + entry.name, True, False, None
+                continue
+            try:
+                size = entry.stat().st_size
+            except OSError:
+                size = None
+            yield prefix + entry.name, False, entry.is_file(), size
+        return
+    for info in store.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
+        is_folder = info.type == fs.FileType.Directory
+        yield prefix + info.base_name, is_folder, not is_folder, None if is_folder else info.size
 
 
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
