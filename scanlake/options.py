@@ -1,7 +1,8 @@
 """Options that change results, grouped the way users configure them.
 
 ``Options.from_mapping`` takes the nested dict of a settings file: a missing
-section keeps its defaults, a present section replaces the whole section.
+section keeps its defaults, a present section replaces the whole section. Names of
+settings files stand for ours; what Spark has no use for is left out, other names raise.
 """
 
 from __future__ import annotations
@@ -10,6 +11,17 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, fields
 
 
+# Section and field names of settings files.
+SECTIONS = {"ocr": "recogniser", "preprocessing": "prep", "pipeline": "run"}
+FIELDS = {"tesseract_config": "config", "stale_processing_minutes": "stale_minutes"}
+UNUSED_SECTIONS = {"database"}
+UNUSED_FIELDS = {
+    "ocr": {"tessdata_prefix", "tesseract_cmd", "default_dpi"},
+    "preprocessing": {"denoise", "denoise_strength"},
+    "pipeline": {"num_workers", "log_level", "log_dir"},
+}
+
+
 @dataclass(frozen=True)
 class InputOptions:
     root_path: str = ""
@@ -59,11 +71,18 @@ class Options:
     @classmethod
     def from_mapping(cls, settings: Mapping[str, Mapping] | None) -> Options:
         sections = {f.name: f.default_factory for f in fields(cls)}
-        given = {
-            name: sections[name](**_tuples(values))
-            for name, values in (settings or {}).items()
-            if name in sections
-        }
+        given = {}
+        for name, values in (settings or {}).items():
+            if name in UNUSED_SECTIONS:
+                continue
+            ours = SECTIONS.get(name, name)
+            if ours not in sections:
+                raise ValueError(f"unknown section {name!r}; known: {', '.join(sorted({*sections, *SECTIONS}))}")
+            if ours in given:
+                raise ValueError(f"section {ours!r} is given twice")
+            unused = UNUSED_FIELDS.get(name, set())
+            used = {FIELDS.get(k, k): v for k, v in values.items() if k not in unused}
+            given[ours] = sections[ours](**_tuples(used))
         return cls(**given)
 
 

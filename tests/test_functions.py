@@ -116,9 +116,17 @@ def test_scaled_size_has_no_lower_bound_on_dpi(spark):
 
 
 def test_options_replace_whole_sections():
-    options = Options.from_mapping({"input": {"root_path": "/in"}, "prep": {"min_dpi": 96}, "other": {}})
+    options = Options.from_mapping({"input": {"root_path": "/in"}, "prep": {"min_dpi": 96}, "database": {"server": "x"}})
     assert options.input.extensions == (".tif", ".tiff") and options.input.root_path == "/in"
     assert options.prep.min_dpi == 96 and options.prep.target_dpi == 300
     assert Options.from_mapping(None) == Options()
+    named = Options.from_mapping({
+        "ocr": {"engine": "plain", "tesseract_config": "c", "tesseract_cmd": None}, "preprocessing": {"denoise": True},
+        "pipeline": {"num_workers": 2, "stale_processing_minutes": 5},
+    })
+    assert (named.recogniser.engine, named.recogniser.config, named.run.stale_minutes) == ("plain", "c", 5)
+    for wrong in ({"other": {}}, {"ocr": {}, "recogniser": {}}):
+        with pytest.raises(ValueError):
+            Options.from_mapping(wrong)
     with pytest.raises(TypeError):
         Options.from_mapping({"input": {"nonsense": 1}})
