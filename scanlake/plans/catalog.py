@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from scanlake.operators import (
     tokens,
 )
 from scanlake.options import InputOptions, Options, OutputOptions, PrepOptions, RecogniserOptions
-from scanlake.plans import document_job, page_prep, rounds, views
+from scanlake.plans import document_job, job, page_prep, rounds, views
 from scanlake.session import new_folder, spread, written
 from scanlake.sources import documents as document_files
 from scanlake.sources import files as file_sources
@@ -324,7 +325,7 @@ def _queue(spark, sf):
     def process(claimed: DataFrame) -> DataFrame:
         todo = claimed.select(F.col("id").alias("image_id"))
         page_images = marked.join(todo, "image_id", "left_semi").select(
-            "image_id", "file_path", "page_number", image.alias("image")
+            "image_id", "file_path", "file_size_bytes", "page_number", image.alias("image")
         )
         return recognising.recognise(page_images, RecogniserOptions(engine="plain"))
 
@@ -354,6 +355,27 @@ def run_rounds_results(spark, sf):
     return results.select("image_id", "page_number", "extracted_text", "confidence_score", "ocr_engine")
 
 
+@query
+def run_job(spark, sf):
+    """The job with files and commits: how each row ended, its result rows, and is its text file there."""
+    root = new_folder(spark, "job")
+    options = replace(OPTIONS, output=OutputOptions(root_path=f"{root}/out"))
+    tables.commit(views.ledger(spark, sf), None, root, 0)
+    job.run_job(spark, root, _queue(spark, sf), options, "job-1", _now())
+    results = tables.committed_results(spark, root).groupBy(F.col("image_id").alias("id"))
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/out").select(
+        F.regexp_extract("path", "/out/(.*)[.]txt$", 1).alias("base"), F.lit(True).alias("there")
+    ).where("base <> ''")
+    ended = tables.read_ledger(spark, root).withColumn("base", F.regexp_extract("output_path", "/out/(.*)$", 1))
+    both = ended.join(results.agg(F.count("*").alias("n_results")), "id", "left").join(there, "base", "left")
+    return _no_nulls(both, "page_count").select(
+        "id", "status", "worker_id", "retry_count", "page_count",
+        F.col("error_message").isNotNull().alias("has_error"),
+        F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"),
+        F.coalesce("there", F.lit(False)).alias("on_disk"),
+    )
+
+
 # --------------------------------------------------------- pages and documents
 
 

@@ -349,6 +349,10 @@ def oracle_sql() -> dict[str, str]:
     sql = _oracle_sql()
     for name, column in NO_NULLS.items():
         sql[name] = f"select * replace (coalesce({column}, -1) as {column}) from (\n{sql[name]}\n)"
+    sql["run_job"] = f"""
+        select * exclude (output_path), output_path is not null as on_disk,
+               cast(case when output_path is not null then page_count else 0 end as bigint) as n_results
+        from ({sql["run_rounds"]})"""
     return sql
 
 

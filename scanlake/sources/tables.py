@@ -3,10 +3,17 @@
 The ledger is small: each folder v=N is a whole ledger and the newest counts.
 Results are large and only grow: each folder holds the rows of one run, and
 all of them count.
+
+A folder is written aside and gets its number by one rename that fails if the number is taken, so of two
+drivers only one has it. ``commit`` publishes a ledger and the results that belong to it by the same rename:
+the ledger's folder names the result folders that count.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -26,12 +33,93 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     )
 
 
-def write_snapshot(df: DataFrame, root: str) -> int:
-    """Write the next folder beside the older ones; readers never see a half-written one."""
-    version = max(_versions(df.sparkSession, root), default=0) + 1
-    # Overwrite only clears what a failed attempt at this same version left.
-    df.write.mode("overwrite").parquet(f"{root}/v={version}")
-    return version
+class VersionTaken(RuntimeError):
+    """Another driver published the version first."""
+
+
+def newest(spark: SparkSession, root: str) -> int:
+    """The newest complete version, 0 if there is none."""
+    return max(_versions(spark, root), default=0)
+
+
+def _claim(spark: SparkSession, aside: str, target: str) -> bool:
+    """Give a finished folder its name; False if another folder with content has it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(target)
+    context = hadoop.FileContext.getFileContext(
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri(),
+        spark._jsc.hadoopConfiguration(),
+    )
+    rename = getattr(hadoop, "Options$Rename")
+    # An empty folder of that name may be replaced; one with content makes the rename fail.
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    try:
+        context.rename(context.makeQualified(hadoop.Path(aside)), context.makeQualified(path), how)
+    except Py4JJavaError:
+        if context.util().exists(context.makeQualified(path)):
+            return False
+        raise
+    return True
+
+
+def write_snapshot(df: DataFrame, root: str, version: int | None = None, notes: str | None = None) -> int:
+    """Write the next folder beside the older ones; readers never see a half-written one.
+
+    With ``version`` that number or none: ``VersionTaken`` if another driver has it. ``notes`` become a
+    file of the folder, published with it.
+    """
+    spark = df.sparkSession
+    aside = f"{root}/_aside-{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = as_path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    if notes is not None:
+        out = fs.create(as_path(f"{aside}/_notes"))
+        out.write(notes.encode())
+        out.close()
+    number = version or newest(spark, root) + 1
+    while not _claim(spark, aside, f"{root}/v={number}"):
+        if version:
+            fs.delete(as_path(aside), True)
+            raise VersionTaken(f"{root}/v={version}")
+        number += 1
+    return number
+
+
+def _notes(spark: SparkSession, root: str, version: int) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v={version}/_notes")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return ""
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def committed_results(spark: SparkSession, root: str) -> DataFrame:
+    """Result rows of the runs that the newest ledger names."""
+    version = newest(spark, f"{root}/ledger")
+    runs = _notes(spark, f"{root}/ledger", version).split() if version else []
+    folders = [f"{root}/results/{run}" for run in runs]
+    return spark.read.schema(RESULTS).parquet(*folders) if folders else spark.createDataFrame([], RESULTS)
+
+
+def commit(ledger: DataFrame, results: DataFrame | None, root: str, after: int) -> int:
+    """Publish a ledger made from version ``after``, and result rows with it; the new version.
+
+    Results of a commit that did not come about are never read. ``VersionTaken`` if somebody else published
+    since ``after``.
+    """
+    spark = ledger.sparkSession
+    runs = _notes(spark, f"{root}/ledger", after).split() if after else []
+    if results is not None:
+        run = f"run-{uuid.uuid4().hex}"
+        results.write.parquet(f"{root}/results/{run}")
+        runs.append(run)
+    return write_snapshot(ledger, f"{root}/ledger", after + 1, "\n".join(runs))
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
