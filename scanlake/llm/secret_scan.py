@@ -3,8 +3,11 @@
 One pass over the table finds base spans and scores candidates; nothing but a histogram is shuffled.
 
 * *Base*: assignments, access keys and hex strings, as given.
-* *Candidates*: runs of 20 to 512 letters, digits and ``+/_=-`` that overlap no base span and mix letters with
-  digits. The encoding (hex, base32, base36, base62, base64) is the smallest alphabet that holds the run.
+* *Candidates*: runs of 20 to 512 letters, digits and ``+/_-`` that overlap no base span and mix letters with
+  digits. ``=`` ends a run and belongs to it only as padding, so names and values of ``name=value`` are judged
+  apart. The encoding (hex, base32, base36, base62, base64) is the smallest alphabet that holds the run. The
+  parts of a run between ``-_``, between ``+/`` and between all four are candidates too, so that a secret in a
+  path or behind a prefix is found whatever surrounds it; a part counts only outside what is found random.
 * *Battery*: under "uniform and independent over the encoding's alphabet", (1) chi-squared of symbol counts over
   the alphabet, (2) number of runs above and below its middle, (3) serial correlation of
   neighbouring symbols. The three p-values are combined by the Cauchy rule, which holds under dependence.
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +43,9 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A run of at least 32; shorter runs fail, and no longer run starts inside one.
 HEX = re.compile(r"[0-9a-f]{32,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,512}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]{20,512}(?:=+(?![A-Za-z0-9+/_=-]))?")
+#: What lies between signs that one of the two base64 alphabets lacks, and between all signs.
+PARTS = tuple(re.compile(r) for r in (r"[A-Za-z0-9+/]{20,}=*", r"[A-Za-z0-9_-]{20,}=*", r"[A-Za-z0-9]{20,}=*"))
 DIGIT_AND_LETTER = re.compile(r"(?=.*[0-9].*[0-9])(?=.*[A-Za-z])")
 ENCODINGS = (
     ("hex", "0123456789abcdef"),
@@ -103,14 +109,34 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
+    """Runs and their parts outside the base spans, by start, the longer first."""
+    starts, ends = [], []  # of the base spans, those that overlap joined
+    for _, start, end in base:
+        if ends and start < ends[-1]:
+            ends[-1] = max(end, ends[-1])
+        else:
+            starts.append(start)
+            ends.append(end)
     out = []
-    for m in RUN.finditer(text):
-        start, end = m.span()
-        if not DIGIT_AND_LETTER.match(m[0]) or any(s < end and start < e for _, s, e in base):
-            continue
-        if scored := battery(m[0]):
-            out.append({"start": start, "end": end, "encoding": scored[0], "size": (end - start).bit_length(),
-                        "bin": min(P_BINS - 1, int(-math.log10(scored[1]) * P_BINS / LARGEST_EXPONENT))})
+    for run in RUN.finditer(text):
+        own = {run.span(), *(m.span() for part in PARTS for m in part.finditer(text, *run.span()))}
+        for start, end in sorted(own, key=lambda s: (s[0], -s[1])):
+            near = bisect_right(ends, start)
+            if near < len(ends) and starts[near] < end or not DIGIT_AND_LETTER.match(text, start, end):
+                continue
+            if scored := battery(text[start:end]):
+                out.append({"start": start, "end": end, "encoding": scored[0], "size": (end - start).bit_length(),
+                            "bin": min(P_BINS - 1, int(-math.log10(scored[1]) * P_BINS / LARGEST_EXPONENT))})
+    return out
+
+
+def random_spans(found: list[dict], limits: dict[str, int]) -> list[tuple[int, int]]:
+    """The candidates within the limits, without those inside another."""
+    out, furthest = [], 0
+    for c in found:
+        if c["end"] > furthest and c["bin"] < limits.get(f"{c['encoding']}:{c['size']}", 0):
+            out.append((c["start"], c["end"]))
+            furthest = c["end"]
     return out
 
 
@@ -166,22 +192,26 @@ def secret_spans(docs: DataFrame) -> DataFrame:
     """doc_id, base: array of (kind, start, end), and spans: those and the random ones, by start and kind."""
     scored = _scored(docs)
     limits = _limits(scored)
-    table = F.create_map(*[F.lit(x) for pair in sorted(limits.items()) for x in pair]) if limits else None
-    random = F.lit(None).cast(_FOUND)
-    if limits:
-        random = F.filter("found", lambda c: c["bin"] < table[F.concat_ws(":", c["encoding"], c["size"].cast("string"))])
-    random = F.transform(
-        F.coalesce(random, F.expr(f"cast(array() as {_FOUND})")),
-        lambda c: F.struct(F.lit("random").alias("kind"), c["start"].alias("start"), c["end"].alias("end")),
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            random = [
+                [{"kind": "random", "start": s, "end": e} for s, e in random_spans(found, limits)]
+                for found in batch.column(2).to_pylist()
+            ]
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.array(random, _STRUCTS)], names=["doc_id", "base", "random"]
+            )
+
+    judged = scored.select("doc_id", "base", "found").mapInArrow(run, f"doc_id long, base {_SPANS}, random {_SPANS}")
     ranks = F.array(*[F.lit(k) for k in KINDS])
     ordered = F.sort_array(
         F.transform(
-            F.concat("base", random),
+            F.concat("base", "random"),
             lambda s: F.struct(s["start"].alias("start"), F.array_position(ranks, s["kind"]).alias("rank"), s.alias("s")),
         )
     )
-    return scored.select("doc_id", "base", F.transform(ordered, lambda x: x["s"]).alias("spans"))
+    return judged.select("doc_id", "base", F.transform(ordered, lambda x: x["s"]).alias("spans"))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -231,10 +261,7 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
             for n, text in enumerate(texts):
                 if text:
                     base = base_spans(text)
-                    spans = [(s, e) for _, s, e in base] + [
-                        (c["start"], c["end"]) for c in candidates(text, base)
-                        if c["bin"] < limits.get(f"{c['encoding']}:{c['size']}", 0)
-                    ]
+                    spans = [(s, e) for _, s, e in base] + random_spans(candidates(text, base), limits)
                     texts[n] = replace_spans(text, spans, mark) if spans else text
             arrays = dict(zip(columns, batch.columns, strict=True))
             arrays["text"] = pa.array(texts, arrays["text"].type)
