@@ -3,14 +3,15 @@
 One pass over the table finds base spans and scores candidates; nothing but a histogram is shuffled.
 
 * *Base*: assignments, access keys and hex strings, as given.
-* *Candidates*: runs of 20 to 512 letters, digits and ``+/_-`` that overlap no base span and mix letters with
-  digits. ``=`` ends a run and belongs to it only as padding, so names and values of ``name=value`` are judged
-  apart. The encoding (hex, base32, base36, base62, base64) is the smallest alphabet that holds the run. The
-  parts of a run between ``-_``, between ``+/`` and between all four are candidates too, so that a secret in a
-  path or behind a prefix is found whatever surrounds it; a part counts only outside what is found random.
+* *Candidates*: runs of 20 to 512 letters, digits and ``+/_-`` that overlap no base span. ``=``
+  ends a run and belongs to it only as padding, so names and values of ``name=value`` are judged apart. The
+  encoding (hex, base32, base36, base62, base64) is the smallest alphabet that holds the run. The parts of a run
+  between ``-_``, between ``+/`` and between all four are candidates too, so that a secret in a path or behind a
+  prefix is found whatever surrounds it; a part counts only outside what is found random.
 * *Battery*: under "uniform and independent over the encoding's alphabet", (1) chi-squared of symbol counts over
   the alphabet, (2) number of runs above and below its middle, (3) serial correlation of
-  neighbouring symbols. The three p-values are combined by the Cauchy rule, which holds under dependence.
+  neighbouring symbols, (4) that capitals, small letters or digits are not too few, which tells words and
+  numbers. The four p-values are combined by the Cauchy rule, which holds under dependence.
 * *False discoveries*: words and names deviate, secrets do not. Over the whole corpus, p-values are held
   against Benjamini and Hochberg's line within each stratum of encoding and length, so that a test of few
   symbols is judged among its like. Candidates beyond the line are discovered to be not random and dropped;
@@ -46,7 +47,6 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 RUN = re.compile(r"[A-Za-z0-9+/_-]{20,512}(?:=+(?![A-Za-z0-9+/_=-]))?")
 #: What lies between signs that one of the two base64 alphabets lacks, and between all signs.
 PARTS = tuple(re.compile(r) for r in (r"[A-Za-z0-9+/]{20,}=*", r"[A-Za-z0-9_-]{20,}=*", r"[A-Za-z0-9]{20,}=*"))
-DIGIT_AND_LETTER = re.compile(r"(?=.*[0-9].*[0-9])(?=.*[A-Za-z])")
 ENCODINGS = (
     ("hex", "0123456789abcdef"),
     ("HEX", "0123456789ABCDEF"),
@@ -57,6 +57,9 @@ ENCODINGS = (
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 )
+CLASSES = (ENCODINGS[5][1][:26], ENCODINGS[5][1][26:52], ENCODINGS[5][1][52:])
+#: Of the four tests. No digit in 20 signs of base36 has p 0.003, which its weight must keep under 0.01.
+WEIGHTS = (0.2, 0.2, 0.2, 0.4)
 #: Share of secrets that may be lost to the battery in a stratum.
 FALSE_DISCOVERY_RATE = 0.01
 P_BINS = 400
@@ -77,6 +80,18 @@ def chi_squared_tail(x: float, freedom: int) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def binomial_tail(few: int, n: int, share: float) -> float:
+    """Of at most ``few`` hits in n draws."""
+    if few >= n * share:
+        return 1.0
+    odds = math.log(share), math.log1p(-share)
+    logs = [
+        math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * odds[0] + (n - k) * odds[1]
+        for k in range(few, max(-1, few - 200), -1)
+    ]
+    return min(1.0, sum(map(math.exp, logs)))
+
+
 def battery(run: str) -> tuple[str, float] | None:
     """The encoding and the combined p-value of "random"; None if no encoding holds the run."""
     body = run.rstrip("=")
@@ -95,8 +110,11 @@ def battery(run: str) -> tuple[str, float] | None:
     centred = values - (size - 1) / 2
     variance = (size * size - 1) / 12
     serial = normal_tail(float((centred[1:] * centred[:-1]).sum()) / (variance * math.sqrt(n - 1)))
-    p = [min(max(x, 1e-15), 1 - 1e-9) for x in (uniform, alternate, serial)]
-    cauchy = sum(math.tan((0.5 - x) * math.pi) for x in p) / len(p)
+    shares = [sum(c in letters for c in kind) / size for kind in CLASSES]
+    few = [binomial_tail(sum(map(body.count, kind)), n, x) for kind, x in zip(CLASSES, shares) if x]
+    # A p-value of 1 would outweigh any small one.
+    p = [min(max(x, 1e-15), 0.99) for x in (uniform, alternate, serial, min(few) * len(few))]
+    cauchy = sum(w * math.tan((0.5 - x) * math.pi) for w, x in zip(WEIGHTS, p, strict=True))
     return name, max(1e-20, 0.5 - math.atan(cauchy) / math.pi)
 
 
@@ -122,7 +140,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
         own = {run.span(), *(m.span() for part in PARTS for m in part.finditer(text, *run.span()))}
         for start, end in sorted(own, key=lambda s: (s[0], -s[1])):
             near = bisect_right(ends, start)
-            if near < len(ends) and starts[near] < end or not DIGIT_AND_LETTER.match(text, start, end):
+            if near < len(ends) and starts[near] < end:
                 continue
             if scored := battery(text[start:end]):
                 out.append({"start": start, "end": end, "encoding": scored[0], "size": (end - start).bit_length(),

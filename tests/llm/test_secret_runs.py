@@ -40,3 +40,19 @@ def test_spans_inside_others_are_not_told_twice():
     limits = {"a:6": 1}
     found = [{"start": s, "end": e, "encoding": "a", "size": 6, "bin": b} for s, e, b in ((0, 60, 0), (0, 30, 0), (31, 60, 0), (70, 130, 2), (70, 99, 0))]
     assert secret_scan.random_spans(found, limits) == [(0, 60), (70, 99)]
+
+
+def test_short_keys_of_any_alphabet(spark):
+    rng = random.Random(12)
+    alphabets = [BASE62, BASE62[:26] + "234567", BASE62[26:], BASE62 + "+/"]
+    keys = {(a, n): ["".join(rng.choices(a, k=n)) for _ in range(150)] for a in alphabets for n in (20, 24)}
+    words = ["erberbeeinheitkeiter", "schverlicheinpfauung", "internationalization", "getElementsByClassNameAndTag", "AWS_SECRET_ACCESS_KEY",
+             "31415926535897932384", "27182818284590452353", "-" * 20, "_" * 31]
+    texts = [f"see {key} there" for own in keys.values() for key in own]
+    got = report(spark, texts)
+    for n, (alphabet, size) in enumerate(keys):
+        hits = sum(f"random:4:{4 + size}" in spans for spans, _ in got[n * 150 : n * 150 + 150])
+        assert hits >= 0.97 * 150, (alphabet, size, hits)
+    # Where words and numbers are most of what is long, they stay.
+    long = [f"see {w} there" for w in words * 40]
+    assert [text for _, text in report(spark, long + texts[:5])][: len(long)] == long
