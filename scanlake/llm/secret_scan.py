@@ -3,7 +3,7 @@
 One pass over the table finds base spans and scores candidates; nothing but a histogram is shuffled.
 
 * *Base*: assignments, access keys and hex strings, as given.
-* *Candidates*: runs of 20 to 512 letters, digits and ``+/_-`` that overlap no base span. ``=``
+* *Candidates*: runs of 20 or more letters, digits and ``+/_-`` that overlap no base span. ``=``
   ends a run and belongs to it only as padding, so names and values of ``name=value`` are judged apart. The
   encoding (hex, base32, base36, base62, base64) is the smallest alphabet that holds the run. The parts of a run
   between ``-_``, between ``+/`` and between all four are candidates too, so that a secret in a path or behind a
@@ -44,7 +44,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A run of at least 32; shorter runs fail, and no longer run starts inside one.
 HEX = re.compile(r"[0-9a-f]{32,}")
-RUN = re.compile(r"[A-Za-z0-9+/_-]{20,512}(?:=+(?![A-Za-z0-9+/_=-]))?")
+RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?")
 #: What lies between signs that one of the two base64 alphabets lacks, and between all signs.
 PARTS = tuple(re.compile(r) for r in (r"[A-Za-z0-9+/]{20,}=*", r"[A-Za-z0-9_-]{20,}=*", r"[A-Za-z0-9]{20,}=*"))
 ENCODINGS = (

@@ -56,3 +56,10 @@ def test_short_keys_of_any_alphabet(spark):
     # Where words and numbers are most of what is long, they stay.
     long = [f"see {w} there" for w in words * 40]
     assert [text for _, text in report(spark, long + texts[:5])][: len(long)] == long
+
+
+def test_tokens_of_any_length(spark):
+    rng = random.Random(13)
+    keys = ["".join(rng.choices(BASE62, k=n)) for n in (513, 520, 531, 600, 1041, 5000, 200_000) for _ in range(4)]
+    got = report(spark, [f"see {key} there" for key in keys])
+    assert sum(text == "see [secret] there" for _, text in got) >= len(keys) - 1
