@@ -9,17 +9,22 @@ and each part solved by itself. Four passes, each bounded by the size of a chunk
    written by Spark and names only files of tasks that ended, so retries leave unnamed files at most.
 2. *Shared anchors*. Each chunk sends its distinct anchor hashes (5 bytes each), dealt into buckets. A bucket
    returns to each chunk one bit per hash: seen in another chunk or not. An anchor of one document only cannot
-   belong to a repeated window, so the rest of the work follows the repeated part of the corpus.
+   belong to a repeated window, so the rest of the work follows the repeated part of the corpus. Anchors that
+   occur more than ``HOT`` times are told to the chunks as *hot*.
 3. *Contexts*. The windows of one shared anchor cover at most 76 bytes, its context. A chunk sends its distinct
    contexts, each with its smallest doc_id, dealt out by anchor. In a bucket equal contexts become one class
    with one smallest doc_id. Anchors with one class are done: all their windows start in that document.
    The classes of the other anchors are dealt into shards, each shard's transform is built, and the
    transforms are merged by interleave refinement (``suffix_merge``). Blocks of suffixes with 50 equal bytes
    are the repeated intervals; their smallest doc_id is compared with each context's own.
+   A phrase of 24 to 49 bytes in many documents has another context in each, all under one anchor. So for hot
+   anchors the windows are exchanged instead: a chunk sends the hash of each distinct window with its smallest
+   doc_id, dealt out by that hash, and gets back whether an earlier document has it.
 4. *Removal*. Chunks get one bit per window back, mark covered bytes and report each document.
 
 A hot passage costs one entry per chunk and anchor, however many documents hold it. Hashes of 64 bits name
-anchors and contexts; windows that decide between different contexts are compared by their bytes.
+anchors, contexts and windows of hot anchors; other windows that decide between different contexts are compared
+by their bytes.
 
 Null text is empty. Texts under 50 bytes keep everything. Rows that repeat a doc_id are one document. A null
 doc_id counts as smaller than none: its windows never remove others', and any other document's remove its own.
@@ -51,6 +56,9 @@ STEP = 1 << 21
 PLACE_BITS = np.uint64(22)
 BUCKET_BYTES = 12_000_000
 FEWEST_BUCKETS = 64
+#: An anchor with more occurrences is dealt out by its windows. Up to MANY in a chunk count as one.
+HOT = 4096
+MANY = 15
 #: Classes of a bucket that form one shard.
 SHARD_STRINGS = 4096
 LAST = np.iinfo(np.int64).max
@@ -127,15 +135,16 @@ class Chunk:
         self.hash = hashes[self.anchor]
         self._hashes = hashes
 
-    def sent(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchor hashes in the order they are sent, their buckets, and if two documents here have them."""
-        distinct, back = np.unique(self.hash, return_inverse=True)
+    def sent(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct anchor hashes in the order they are sent, their buckets, if two documents here have them, and
+        how often they occur."""
+        distinct, back, counts = np.unique(self.hash, return_inverse=True, return_counts=True)
         low = np.full(len(distinct), LAST)
         high = np.full(len(distinct), -1)
         np.minimum.at(low, back, self.owner_doc)
         np.maximum.at(high, back, self.owner_doc)
         order = np.argsort(distinct % np.uint64(buckets), kind="stable")
-        return distinct[order], (distinct % np.uint64(buckets)).astype(np.int64)[order], (low < high)[order]
+        return distinct[order], (distinct % np.uint64(buckets)).astype(np.int64)[order], (low < high)[order], counts[order]
 
     @property
     def owner_doc(self) -> np.ndarray:
@@ -166,6 +175,28 @@ class Chunk:
         }
 
 
+    def windows(self, hot: np.ndarray, buckets: int):
+        """Places and doc_ids of the windows of hot anchors, of each its entry, and the distinct windows as they
+        are sent."""
+        at = np.flatnonzero(np.isin(self.hash, hot))
+        own = self.last[at] - self.first[at] + 1
+        place = np.repeat(self.first[at] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        docs = np.repeat(self.doc_ids[self.owner[at]], own)
+        key = np.zeros(len(place), np.uint64)
+        for shift in (0, ANCHOR, WINDOW - ANCHOR):
+            key = mixed(key * np.uint64(_BASE) + self._hashes[place + shift]) if len(place) else key
+        bucket = (key % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((key, bucket))
+        new = np.ones(len(order), bool)
+        new[1:] = key[order[1:]] != key[order[:-1]]
+        entry = np.empty(len(order), np.int64)
+        entry[order] = np.cumsum(new) - 1
+        some = order[new]
+        least = np.full(len(some), LAST)
+        np.minimum.at(least, entry, docs)
+        return place, docs, entry, {"bucket": bucket[some], "key": key[some], "doc": least}
+
+
 def _slices(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     ends = np.cumsum(size)
     return data[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
@@ -181,7 +212,8 @@ def _pack(*arrays: np.ndarray) -> bytes:
 
 def _unpack(blob: bytes, *types: str) -> list[np.ndarray]:
     table = pa.ipc.open_stream(blob).read_all()
-    return [np.frombuffer(table.column(n)[0].as_py(), t) for n, t in enumerate(types)]
+    blobs = [table.column(n)[0].as_py() for n in range(table.num_columns)]
+    return [np.frombuffer(b, t) for b, t in zip(blobs + [b""] * (len(types) - len(blobs)), types, strict=True)]
 
 
 def _write_chunks(folder: str):
@@ -252,55 +284,77 @@ def _messages(chunk: list[str], bucket: list[int], blob: list[bytes]) -> pa.Reco
 def _send_anchors(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            hashes, bucket, _ = _read(row).sent(buckets)
+            hashes, bucket, _, counts = _read(row).sent(buckets)
             # Five bytes name a hash within its bucket; a chance match only makes a candidate more.
             short = mixed(hashes).view(np.uint8).reshape(-1, 8)[:, :5]
             cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, int)
             ends = np.append(cuts[1:], len(bucket))
-            yield _messages([row["chunk"]] * len(cuts), bucket[cuts].tolist(),
-                            [short[a:b].tobytes() for a, b in zip(cuts, ends)])
+            blobs = []
+            for a, b in zip(cuts, ends):
+                many = np.flatnonzero(counts[a:b] > MANY)
+                tail = np.concatenate((many, counts[a:b][many], [len(many)])).astype(np.uint32)
+                blobs.append(short[a:b].tobytes() + tail.tobytes())
+            yield _messages([row["chunk"]] * len(cuts), bucket[cuts].tolist(), blobs)
+
+    return run
+
+
+def _find_shared(hot: int):
+    def run(table: pa.Table) -> pa.Table:
+        blobs, weights = [], []
+        for blob in table.column("blob").to_pylist():
+            many = int.from_bytes(blob[-4:], "little")
+            keys, tail = blob[: len(blob) - 8 * many - 4], np.frombuffer(blob, np.uint32, 2 * many, len(blob) - 8 * many - 4) if many else None
+            blobs.append(np.frombuffer(keys, np.uint8).reshape(-1, 5))
+            weights.append(np.ones(len(blobs[-1]), np.int64))
+            if many:
+                weights[-1][tail[:many]] = tail[many:]
+        wide = np.zeros((sum(map(len, blobs)), 8), np.uint8)
+        wide[:, :5] = np.concatenate(blobs)
+        keys = wide.view(np.uint64).ravel()
+        order = np.argsort(keys, kind="stable")
+        begin = np.flatnonzero(np.append(True, keys[order[1:]] != keys[order[:-1]]))
+        counts = np.diff(np.append(begin, len(keys)))
+        often = np.add.reduceat(np.concatenate(weights)[order], begin) > hot
+        shared, many = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        shared[order] = np.repeat(counts > 1, counts)
+        many[order] = np.repeat(often, counts)
+        cuts = np.cumsum([0, *map(len, blobs)])
+        masks = [
+            np.packbits(shared[a:b]).tobytes() + np.flatnonzero(many[a:b]).astype(np.uint32).tobytes()
+            for a, b in zip(cuts, cuts[1:])
+        ]
+        return pa.table([table.column("chunk"), table.column("bucket"), pa.array(masks, pa.binary())], schema=_MESSAGE_ROW)
 
     return run
 
 
-def _find_shared(table: pa.Table) -> pa.Table:
-    blobs = [np.frombuffer(b, np.uint8).reshape(-1, 5) for b in table.column("blob").to_pylist()]
-    wide = np.zeros((sum(map(len, blobs)), 8), np.uint8)
-    wide[:, :5] = np.concatenate(blobs)
-    keys = wide.view(np.uint64).ravel()
-    order = np.argsort(keys, kind="stable")
-    same = keys[order[1:]] == keys[order[:-1]]
-    shared = np.zeros(len(keys), bool)
-    shared[order[1:][same]] = True
-    shared[order[:-1][same]] = True
-    cuts = np.cumsum([0, *map(len, blobs)])
-    masks = [np.packbits(shared[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
-    return pa.table([table.column("chunk"), table.column("bucket"), pa.array(masks, pa.binary())], schema=_MESSAGE_ROW)
-
-
-def _shared_of(chunk: Chunk, replies: list[dict], buckets: int) -> np.ndarray:
-    """The shared anchor hashes of a chunk, from what its buckets replied."""
-    hashes, bucket, here = chunk.sent(buckets)
-    shared = here.copy()
+def _shared_of(chunk: Chunk, replies: list[dict], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shared anchor hashes of a chunk, from what its buckets replied, those not hot and the hot ones."""
+    hashes, bucket, here, _ = chunk.sent(buckets)
+    shared, hot = here.copy(), np.zeros(len(here), bool)
     for reply in replies or []:
         a, b = np.searchsorted(bucket, [reply["bucket"], reply["bucket"] + 1])
-        shared[a:b] |= np.unpackbits(np.frombuffer(reply["blob"], np.uint8))[: b - a].astype(bool)
-    return hashes[shared]
+        size = -(-(b - a) // 8)
+        shared[a:b] |= np.unpackbits(np.frombuffer(reply["blob"][:size], np.uint8))[: b - a].astype(bool)
+        hot[a + np.frombuffer(reply["blob"][size:], np.uint32)] = True
+    return hashes[shared & ~hot], hashes[shared & hot]
 
 
 def _send_contexts(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             chunk = _read(row)
-            _, _, e = chunk.contexts(_shared_of(chunk, row["replies"], buckets), buckets)
-            bucket = e["bucket"]
-            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, int)
+            shared, hot = _shared_of(chunk, row["replies"], buckets)
+            _, _, e = chunk.contexts(shared, buckets)
+            _, _, _, w = chunk.windows(hot, buckets)
+            to = np.union1d(e["bucket"], w["bucket"])
             blobs = []
-            for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
+            for a, b, c, d in zip(*(np.searchsorted(x["bucket"], to, side) for x in (e, w) for side in ("left", "right"))):
                 text = _slices(chunk.data, e["first"][a:b], e["size"][a:b])
                 blobs.append(_pack(e["hash"][a:b], e["key"][a:b], e["doc"][a:b], e["left"][a:b].astype(np.uint8),
-                                   e["size"][a:b].astype(np.uint8), text))
-            yield _messages([row["chunk"]] * len(cuts), bucket[cuts].tolist(), blobs)
+                                   e["size"][a:b].astype(np.uint8), text, *([w["key"][c:d], w["doc"][c:d]] if c < d else [])))
+            yield _messages([row["chunk"]] * len(to), to.tolist(), blobs)
 
     return run
 
@@ -342,7 +396,7 @@ def earliest_windows(hashes: np.ndarray, docs: np.ndarray, sizes: np.ndarray, te
 
 
 def _solve(table: pa.Table) -> pa.Table:
-    parts = [_unpack(b, "u8", "u8", "i8", "u1", "u1", "u1") for b in table.column("blob").to_pylist()]
+    parts = [_unpack(b, "u8", "u8", "i8", "u1", "u1", "u1", "u8", "i8") for b in table.column("blob").to_pylist()]
     counts = [len(p[0]) for p in parts]
     hashes, keys, docs, left, sizes = (np.concatenate([p[k] for p in parts]) for k in range(5))
     sizes = sizes.astype(np.int64)
@@ -365,22 +419,33 @@ def _solve(table: pa.Table) -> pa.Table:
     bits = np.zeros(len(docs), np.uint32)
     if len(docs):
         bits = np.add.reduceat(before.astype(np.uint32) << bit.astype(np.uint32), np.cumsum(own) - own).astype(np.uint32)
-    cuts = np.cumsum([0, *counts])
-    return pa.table(
-        [table.column("chunk"), table.column("bucket"), pa.array([_pack(bits[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())],
-        schema=_MESSAGE_ROW,
-    )
+    keys, docs = (np.concatenate([p[k] for p in parts]) for k in (6, 7))
+    _, of_window = np.unique(keys, return_inverse=True)
+    earliest = np.full(len(keys), LAST)
+    np.minimum.at(earliest, of_window, docs)
+    earlier = earliest[of_window] < docs
+    cuts, ends = np.cumsum([0, *counts]), np.cumsum([0, *(len(p[6]) for p in parts)])
+    answers = [
+        _pack(bits[a:b], *([np.packbits(earlier[c:d])] if c < d else []))
+        for a, b, c, d in zip(cuts, cuts[1:], ends, ends[1:])
+    ]
+    return pa.table([table.column("chunk"), table.column("bucket"), pa.array(answers, pa.binary())], schema=_MESSAGE_ROW)
 
 
 def _remove(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             chunk = _read(row)
-            at, entry, e = chunk.contexts(_shared_of(chunk, row["replies"], buckets), buckets)
+            shared, hot = _shared_of(chunk, row["replies"], buckets)
+            at, entry, e = chunk.contexts(shared, buckets)
+            hot_place, hot_docs, hot_entry, w = chunk.windows(hot, buckets)
+            earlier = np.zeros(len(w["doc"]), bool)
             bits = np.zeros(len(e["doc"]), np.uint32)
             for answer in row["answers"] or []:
                 a, b = np.searchsorted(e["bucket"], [answer["bucket"], answer["bucket"] + 1])
-                bits[a:b] = _unpack(answer["blob"], "u4")[0]
+                c, d = np.searchsorted(w["bucket"], [answer["bucket"], answer["bucket"] + 1])
+                bits[a:b], of_windows = _unpack(answer["blob"], "u4", "u1")
+                earlier[c:d] = np.unpackbits(of_windows)[: d - c]
             bits = bits[entry]
             # The same context in an earlier document of this chunk covers all its windows.
             bits[chunk.doc_ids[chunk.owner[at]] > e["doc"][entry]] = 0xFFFFFFFF
@@ -388,6 +453,7 @@ def _remove(buckets: int):
             place = np.repeat(chunk.first[at], windows)
             bit = np.arange(len(place)) - np.repeat(np.cumsum(windows) - windows, windows)
             hit = (place + bit)[np.repeat(bits, windows) >> bit.astype(np.uint32) & 1 == 1]
+            hit = np.concatenate((hit, hot_place[earlier[hot_entry] | (hot_docs > w["doc"][hot_entry])]))
             n = len(chunk.data)
             steps = np.bincount(hit, minlength=n + 1) - np.bincount(hit + WINDOW, minlength=n + 1)[: n + 1]
             removed = np.cumsum(steps)[:n] > 0
@@ -410,7 +476,7 @@ def _by_chunk(messages: DataFrame, name: str) -> DataFrame:
     return messages.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "blob")).alias(name))
 
 
-def repeated_strings(docs: DataFrame) -> DataFrame:
+def repeated_strings(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """Of each document its bytes, how many are removed in how many runs, and a digest of the rest."""
     spark = docs.sparkSession
     folder = new_folder(spark, "chunk-files")
@@ -420,7 +486,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     # Chunks are few rows of much work: deal them out one by one.
     chunks = written(chunks.repartition(F.col("chunk")), "chunks-dealt")
     sent = chunks.mapInArrow(_send_anchors(buckets), _MESSAGE)
-    replies = written(_by_chunk(sent.groupBy("bucket").applyInArrow(_find_shared, _MESSAGE), "replies"), "anchor-replies")
+    replies = written(_by_chunk(sent.groupBy("bucket").applyInArrow(_find_shared(hot), _MESSAGE), "replies"), "anchor-replies")
     known = chunks.join(replies, "chunk", "left")
     sent = known.mapInArrow(_send_contexts(buckets), _MESSAGE)
     answers = written(_by_chunk(sent.groupBy("bucket").applyInArrow(_solve, _MESSAGE), "answers"), "window-answers")
