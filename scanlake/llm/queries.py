@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scanlake.llm import (
     bpe,
+    collocations,
     exact_dedup,
     near_dedup,
     packing,
@@ -73,9 +74,13 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.best_phrases(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.ORACLE}
+    return {"op4_exact_dedup": exact_dedup.ORACLE, "op11_collocations": collocations.ORACLE}
