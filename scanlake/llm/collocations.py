@@ -36,6 +36,7 @@ from scanlake.llm.features import mixed, word_hashes
 from scanlake.llm.word_chunks import (
     CHUNK_TOKENS,
     Chunk,
+    Numbers,
     bucket_number,
     by_bucket,
     chunk_rows,
@@ -60,14 +61,13 @@ _BETWEEN = b" " + _BREAK + b" "
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _tokenise(texts: list[str], labels: list[str], numbers: dict) -> list[list[int]]:
+def _tokenise(texts: list[str], labels: list[str], numbers: Numbers) -> list[list[int]]:
     """Numbers of (language, word); every piece ends with the break of its language."""
     out = []
-    number = numbers.__getitem__
     for text, lang in zip(texts, labels, strict=True):
         data = text.encode("utf-8", "surrogatepass").lower().translate(_PIECE_ENDS) + _BREAK
-        prefix = lang.encode("utf-8", "surrogatepass") + _BREAK
-        out.append([number(prefix + w) for w in data.replace(_BREAK, _BETWEEN).split()])
+        number = numbers.table(lang.encode("utf-8", "surrogatepass") + _BREAK).__getitem__
+        out.append(list(map(number, data.replace(_BREAK, _BETWEEN).split())))
     return out
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,8 +13,10 @@ from scanlake.llm import (
     bpe,
     collocations,
     exact_dedup,
+    language_model,
     near_dedup,
     packing,
+    periodic_runs,
     quality_grade,
     quality_rules,
     secret_scan,
@@ -78,6 +81,27 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.best_phrases(documents(spark, sf_dir))
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the documents whose checksum's remainder is not 1; a null doc_id counts as an empty one."""
+    remainder = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5))
+    return language_model.scored(documents(spark, sf_dir), remainder == 1)
+
+
+def with_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of every tenth document or so, by checksum, repeated periodically from some place on."""
+    n = len(words)
+    if doc_id is None or not n or (h := zlib.crc32(str(doc_id).encode())) % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (-(-(n - a) // p)))[: n - a]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(documents(spark, sf_dir), with_repeats)
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,21 +68,38 @@ class Chunk:
         self.number, self.doc_ids, self.lengths, self.tokens, self.words = number, doc_ids, lengths, tokens, words
 
 
-class _Numbers(dict):
+class _Table(dict):
+    def __init__(self, words: list[bytes], prefix: bytes):
+        self.words, self.prefix = words, prefix
+
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
+        number = self[word] = len(self.words)
+        self.words.append(self.prefix + word)
         return number
 
 
+class Numbers:
+    """One numbering of words over several tables; a word is stored with its table's prefix."""
+
+    def __init__(self):
+        self.words: list[bytes] = []
+        self.tables: dict[bytes, _Table] = {}
+
+    def table(self, prefix: bytes = b"") -> _Table:
+        if prefix not in self.tables:
+            self.tables[prefix] = _Table(self.words, prefix)
+        return self.tables[prefix]
+
+
 #: (texts, labels, numbers) to a list of word numbers for each text.
-Tokenise = Callable[[list[str], list[str], dict], list[list[int]]]
+Tokenise = Callable[[list[str], list[str], Numbers], list[list[int]]]
 
 
 def _write(folder: str, tokenise: Tokenise, chunk_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, at, count = None, 0, 0
         path = f"{folder}/words-{uuid.uuid4().hex}"
-        numbers, docs, lengths, tokens = _Numbers(), [], [], []
+        numbers, docs, lengths, tokens = Numbers(), [], [], []
         total = 0
 
         def flush() -> pa.RecordBatch:
@@ -94,12 +112,12 @@ def _write(folder: str, tokenise: Tokenise, chunk_tokens: int):
             blob = packed(
                 docs=np.array([0 if d is None else d for d in docs], np.int64), valid=valid,
                 lengths=np.array(lengths, np.int64), tokens=np.concatenate(tokens) if tokens else np.zeros(0, np.int32),
-                words=pa.array(list(numbers), pa.large_binary()),
+                words=pa.array(numbers.words, pa.large_binary()),
             )
             out.write(blob)
             row = [TaskContext.get().partitionId() << 32 | count, path, at, len(blob), total]
             at, count = at + len(blob), count + 1
-            numbers, docs, lengths, tokens, total = _Numbers(), [], [], [], 0
+            numbers, docs, lengths, tokens, total = Numbers(), [], [], [], 0
             return pa.record_batch([[v] for v in row], names=_CHUNK_NAMES)
 
         for ids, texts, labels in _pieces(batches):
@@ -107,7 +125,7 @@ def _write(folder: str, tokenise: Tokenise, chunk_tokens: int):
             own = [len(x) for x in lists]
             docs += ids
             lengths += own
-            tokens.append(np.fromiter((n for x in lists for n in x), np.int32, sum(own)))
+            tokens.append(np.fromiter(chain.from_iterable(lists), np.int32, sum(own)))
             total += sum(own)
             if total >= chunk_tokens:
                 yield flush()
