@@ -63,9 +63,11 @@ ORDER = 3
 STRENGTHS = {1: 200.0, 2: 20.0}
 #: Of the filter; 5 probes at 7.3 bits an entry find a missing entry by chance once in 32.
 BITS_PER_ENTRY, PROBES = 7.3, 5
-BROADCAST_BYTES = 64_000_000
+#: Every Python worker holds a copy of what is broadcast.
+BROADCAST_BYTES = 32_000_000
+NAME_BITS = 40
 #: Tokens, for each size of n-gram, for which one segment is added.
-SEGMENT_TOKENS = 4_000_000
+SEGMENT_TOKENS = 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL = 0xD1B54A32D192ED03
 _END, _BEGIN = np.uint64(0x632BE59BD9B4E019), np.uint64(0x8CB92BA72F3D8DD7)
@@ -112,17 +114,14 @@ class _Tokens:
             out[at[at <= self.ends]] = self.end + 1
         return out
 
-    def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct n-grams of the chunk as hashes, and of each token the one that ends there."""
-        local = self.tokens
-        keys = self.hashes[self.tokens]
-        for back in range(1, size):
-            before = self.before(back)
-            pairs, local = np.unique(before << 32 | local, return_inverse=True)
-            keys = mixed(keys * _MIX + self.hashes[before])
-        first = np.zeros(int(local.max(initial=-1)) + 1, np.int64)
-        first[local] = np.arange(len(local))
-        return keys[first] + np.uint64(size), local
+    def grams(self, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For two to ``order`` words: the distinct n-grams as hashes, and of each token the one that ends there."""
+        local, keys = self.tokens, self.hashes
+        for back in range(1, order):
+            pairs, local = np.unique(self.before(back) << 32 | local, return_inverse=True)
+            keys = mixed(keys[pairs & 0xFFFFFFFF] * _MIX + self.hashes[pairs >> 32])
+            local = local.astype(np.int32)
+            yield keys + np.uint64(back), local
 
 
 def _send_words(buckets: int):
@@ -158,15 +157,27 @@ def _counts_of(row: dict, t: _Tokens, buckets: int, documents: int) -> np.ndarra
     return counts
 
 
-def _short(hashes: np.ndarray) -> np.ndarray:
-    """Forty bits of each name, as bytes."""
-    return np.ascontiguousarray(mixed(hashes).view(np.uint8).reshape(-1, 8)[:, :5]).ravel()
+def _dealt(hashes: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """An order by segment and name, the names in it, and of each segment its number and its part of the order."""
+    segment = hashes % np.uint64(segments)
+    names = mixed(hashes) >> np.uint64(64 - NAME_BITS)
+    order = np.argsort(segment << np.uint64(NAME_BITS) | names)
+    segment = segment[order].astype(np.int64)
+    cuts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(segment) else np.zeros(0, np.int64)
+    ends = np.append(cuts[1:], len(segment))
+    return order, names[order], [(int(segment[a]), int(a), int(b)) for a, b in zip(cuts, ends)]
 
 
-def _wide(short: np.ndarray) -> np.ndarray:
-    wide = np.zeros((len(short) // 5, 8), np.uint8)
-    wide[:, :5] = short.reshape(-1, 5)
-    return wide.view(np.uint64).ravel()
+def _gaps(names: np.ndarray) -> np.ndarray:
+    """Ascending names as the gaps between them, low bytes first, high bytes, mostly zero, last."""
+    gaps = np.diff(names, prepend=np.uint64(0))
+    return np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8)[:, : NAME_BITS // 8].T).ravel()
+
+
+def _ascending(gaps: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(gaps) * 8 // NAME_BITS, 8), np.uint8)
+    wide[:, : NAME_BITS // 8] = gaps.reshape(NAME_BITS // 8, -1).T
+    return np.cumsum(wide.view(np.uint64).ravel(), dtype=np.uint64)
 
 
 def _send_grams(order: int, segments: int, learned_only: bool):
@@ -175,19 +186,17 @@ def _send_grams(order: int, segments: int, learned_only: bool):
     def send(row: dict, chunk: Chunk) -> Iterator[tuple[int, bytes]]:
         t = _Tokens(chunk)
         keys, counts = [], []
-        for size in range(2, order + 1):
-            hashes, local = t.grams(size)
+        for hashes, local in t.grams(order):
             many = np.bincount(local[t.learned], minlength=len(hashes))
             some = many > 0 if learned_only else np.ones(len(many), bool)
             keys.append(hashes[some])
             counts.append(many[some])
-        keys, counts = np.concatenate(keys), np.concatenate(counts)
-        at, parts = by_bucket((keys % np.uint64(segments)).astype(np.int64))
+        at, names, parts = _dealt(np.concatenate(keys), segments)
+        counts = np.concatenate(counts)[at]
         for segment, a, b in parts:
-            own = at[a:b]
-            other = np.flatnonzero(counts[own] != 1)
+            other = np.flatnonzero(counts[a:b] != 1)
             yield segment, packed(
-                short=_short(keys[own]), other=other.astype(np.uint32), counts=counts[own][other].astype(np.uint64)
+                gaps=_gaps(names[a:b]), other=other.astype(np.uint32), counts=counts[a:b][other].astype(np.uint64)
             )
 
     return send
@@ -234,14 +243,14 @@ def _build(probe: bool):
     def solve(segment: int, blobs: list[bytes]) -> tuple[list[bytes], list[bytes]]:
         names, counts = [], []
         for p in map(unpacked, blobs):
-            names.append(_wide(p["short"]))
+            names.append(_ascending(p["gaps"]))
             counts.append(np.ones(len(names[-1]), np.int64))
             counts[-1][p["other"]] = p["counts"].astype(np.int64)
         ends = np.cumsum([len(n) for n in names])[:-1]
         names, counts = np.concatenate(names), np.concatenate(counts)
         distinct, back = np.unique(names, return_inverse=True)
-        total = np.zeros(len(distinct), np.int64)
-        np.add.at(total, back, counts)
+        total = np.bincount(back, counts, len(distinct)).astype(np.int64)
+        del names, counts
         data = build_segment(distinct[total > 0], total[total > 0])
         if not probe:
             return [], [data.tobytes()]
@@ -268,18 +277,15 @@ def _score(order: int, segments: int, buckets: int, about: dict, spread_filter):
             n_tokens, distinct = about["tokens"], about["distinct"]
             known = counts[t.tokens]
             base = (known + 0.5) / (n_tokens + 0.5 * (distinct + 1))
-            grams = [t.grams(size) for size in range(2, order + 1)]
-            keys = np.concatenate([g[0] for g in grams])
-            found = np.zeros(len(keys), np.uint8)
-            at, parts = by_bucket((keys % np.uint64(segments)).astype(np.int64))
+            grams = list(t.grams(order))
+            at, names, parts = _dealt(np.concatenate([g[0] for g in grams]), segments)
+            found = np.zeros(len(names), np.uint8)
             answers = {a["bucket"]: a["blob"] for a in (row.get("levels") or [])}
             for segment, a, b in parts:
-                own = at[a:b]
                 if spread_filter is None:
-                    found[own] = unpacked(answers[segment])["levels"]
+                    found[at[a:b]] = unpacked(answers[segment])["levels"]
                 elif segment in spread_filter.value:
-                    data = np.frombuffer(spread_filter.value[segment], np.uint8)
-                    found[own] = levels(data, _wide(_short(keys[own])))
+                    found[at[a:b]] = levels(np.frombuffer(spread_filter.value[segment], np.uint8), names[a:b])
             estimates = np.split(_estimate(found), np.cumsum([len(g[0]) for g in grams])[:-1])
             probability = base
             context = counts[t.before(1)].astype(np.float64)
