@@ -53,8 +53,9 @@ def assemble_text(pages: DataFrame) -> DataFrame:
 def nest_pages_by(pages: DataFrame, own: list[str]) -> DataFrame:
     """The page records of each document as one ordered array.
 
-    ``own`` are the document's columns, repeated on its pages.
+    ``own`` are the document's columns, repeated on its pages. ``prepared`` is true if every page says so.
     """
+    prepared = F.bool_and("prepared") if "prepared" in pages.columns else F.lit(False)
     ordered = F.sort_array(
         F.collect_list(
             F.struct(
@@ -66,6 +67,7 @@ def nest_pages_by(pages: DataFrame, own: list[str]) -> DataFrame:
         ordered.alias("pages"),
         F.count("*").cast("int").alias("page_count"),
         F.sum("processing_time_ms").alias("total_processing_time_ms"),
+        F.coalesce(prepared, F.lit(False)).alias("prepared"),
     )
 
 

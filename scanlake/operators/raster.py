@@ -1,24 +1,17 @@
-"""Page pixels as a table: (image_id, page_number, y, x, v), v in 0..255.
+"""What pixel filters share: fixed values, gray values and the angle of an ink distribution as columns.
 
-Every filter is a set of joins, grouped aggregates and windows over that
-table. No group is ever a whole page: histograms have at most 256 rows, sums
-are partially aggregated before the shuffle, and neighbourhood filters work on
-overlapping tiles of fixed size.
+The filters themselves work on tiles (``scanlake.operators.tiles``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scanlake.functions.numbers import div
-
 PAGE_KEY = ["image_id", "page_number"]
-CELL_KEY = [*PAGE_KEY, "y", "x"]
 
-TILE = 256
 # Weights are summed as integers so that sums do not depend on row order.
-_WEIGHT_ONE = 1 << 22
+WEIGHT_ONE = 1 << 22
 
 # Local threshold window, its two constants, fill colour.
 SAUVOLA_WINDOW = 25
@@ -35,358 +28,12 @@ def luma(red: Column, green: Column, blue: Column) -> Column:
     return F.shiftright(weighted.cast("int"), 16)
 
 
-def to_gray(pixels: DataFrame) -> DataFrame:
-    """(…, y, x, r, g, b) to (…, y, x, v)."""
-    gray = luma(F.col("r"), F.col("g"), F.col("b"))
-    return pixels.withColumn("v", gray).drop("r", "g", "b")
-
-
-def page_sizes(grid: DataFrame) -> DataFrame:
-    """Width, height and value range of every page."""
-    return grid.groupBy(PAGE_KEY).agg(
-        (F.max("x") + 1).alias("width"),
-        (F.max("y") + 1).alias("height"),
-        F.min("v").alias("v_min"),
-        F.max("v").alias("v_max"),
-    )
-
-
-# ---------------------------------------------------------------- thresholds
-
-
-def otsu_threshold(grid: DataFrame) -> DataFrame:
-    """Per page the value that best splits dark from light; a uniform page gives its value."""
-    histogram = grid.groupBy(*PAGE_KEY, "v").agg(F.count("*").alias("n"))
-    # At most 256 rows per page reach these windows.
-    page = Window.partitionBy(PAGE_KEY)
-    upto = page.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = histogram.select(
-        *PAGE_KEY,
-        "v",
-        F.sum("n").over(upto).alias("w1"),
-        F.sum(F.col("n") * F.col("v")).over(upto).alias("s1"),
-        F.sum("n").over(page).alias("w"),
-        F.sum(F.col("n") * F.col("v")).over(page).alias("s"),
-    )
-    w1, s1, w, s = (F.col(c).cast("double") for c in ("w1", "s1", "w", "s"))
-    gap = F.try_divide(s1, w1) - F.try_divide(s - s1, w - w1)
-    variance = F.when(F.col("w1") < F.col("w"), w1 * (w - w1) * gap * gap)
-    scored = sums.select(*PAGE_KEY, "v", F.coalesce(variance, F.lit(-1.0)).alias("variance"))
-    # Largest variance, and the smallest value among equals. The last value of
-    # a page splits nothing and wins only where it is the sole one.
-    best = F.max(F.struct("variance", (-F.col("v")).alias("minus_v")))
-    return scored.groupBy(PAGE_KEY).agg((-best["minus_v"]).alias("threshold"))
-
-
-def otsu_binarise(grid: DataFrame) -> DataFrame:
-    joined = grid.join(otsu_threshold(grid), PAGE_KEY)
-    white = F.when(F.col("v") > F.col("threshold"), WHITE).otherwise(0)
-    return joined.select(*PAGE_KEY, "y", "x", white.alias("v"))
-
-
-def sauvola(
-    grid: DataFrame,
-    window: int = SAUVOLA_WINDOW,
-    k: float = SAUVOLA_K,
-    r: float = SAUVOLA_R,
-    tile: int = TILE,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Local threshold from mean and deviation around each pixel, page edges mirrored.
-
-    ``sizes`` (PAGE_KEY, width, height) spares a pass over the pixels where it is known.
-
-    Pixels near a tile edge are copied into the neighbouring tiles. One
-    exchange by (page, tile) then serves both window passes, and a tile is at
-    most (tile + window - 1) squared pixels however large its page is.
-    """
-    reach = window // 2
-    if sizes is None:
-        sizes = page_sizes(grid)
-    sized = grid.join(sizes.select(*PAGE_KEY, "width", "height"), PAGE_KEY)
-    tiled = (
-        sized.withColumn("cx", F.explode(_places(F.col("x"), F.col("width"), reach, tile)))
-        .withColumn("cy", F.explode(_places(F.col("y"), F.col("height"), reach, tile)))
-        .select(
-            *PAGE_KEY,
-            "v",
-            "x",
-            "y",
-            F.col("cx.at").alias("px"),
-            F.col("cx.tile").alias("tx"),
-            F.col("cy.at").alias("py"),
-            F.col("cy.tile").alias("ty"),
-        )
-    )
-    tile_key = [*PAGE_KEY, "ty", "tx"]
-    near_x = Window.partitionBy(*tile_key, "py").orderBy("px").rangeBetween(-reach, reach)
-    near_y = Window.partitionBy(*tile_key, "px").orderBy("py").rangeBetween(-reach, reach)
-    square = F.col("v").cast("bigint") * F.col("v")
-    rows = (
-        tiled.repartition(*tile_key)
-        .select(
-            "*",
-            F.sum("v").over(near_x).alias("s1"),
-            F.sum(square).over(near_x).alias("s2"),
-            F.count("*").over(near_x).alias("n"),
-        )
-        .where((F.col("px") == F.col("x")) & (F.floor(F.col("px") / tile) == F.col("tx")))
-    )
-    sums = rows.select(
-        *PAGE_KEY,
-        "y",
-        "x",
-        "v",
-        "py",
-        "ty",
-        F.sum("s1").over(near_y).alias("s1"),
-        F.sum("s2").over(near_y).alias("s2"),
-        F.sum("n").over(near_y).alias("n"),
-    ).where((F.col("py") == F.col("y")) & (F.floor(F.col("py") / tile) == F.col("ty")))
-    n = F.col("n").cast("double")
-    means = sums.withColumns({"mean": F.col("s1") / n, "square": F.col("s2") / n})
-    mean = F.col("mean")
-    deviation = F.sqrt(F.greatest(F.col("square") - mean * mean, F.lit(0.0)))
-    threshold = mean * (F.lit(1.0) + F.lit(k) * (deviation / F.lit(r) - F.lit(1.0)))
-    white = F.when(F.col("v") > threshold, WHITE).otherwise(0)
-    return means.select(*PAGE_KEY, "y", "x", white.alias("v"))
-
-
-def _places(at: Column, size: Column, reach: int, tile: int) -> Column:
-    """Where a pixel shows up along one axis: array of struct(at, tile).
-
-    That is its own position and, near the page edge, its mirror images; each
-    in its own tile and in the tiles whose halo covers it.
-    """
-    period = (size - 1) * 2
-    turns = F.ceil(F.lit(reach) / F.greatest(period, F.lit(1))).cast("int")
-    mirrored = F.flatten(
-        F.transform(
-            F.sequence(-turns, turns),
-            lambda t: F.array(at + t * period, t * period - at),
-        )
-    )
-    inside = F.filter(mirrored, lambda p: (p >= -reach) & (p < size + reach))
-    # A one-pixel axis mirrors onto itself everywhere.
-    everywhere = F.sequence(F.lit(-reach), F.lit(reach))
-    copies = F.when(size == 1, everywhere).otherwise(F.array_distinct(inside))
-    last = F.floor((size - 1) / tile).cast("int")
-
-    def in_tiles(p: Column) -> Column:
-        low = F.greatest(F.floor((p - reach) / tile).cast("int"), F.lit(0))
-        high = F.least(F.floor((p + reach) / tile).cast("int"), last)
-        return F.transform(F.sequence(low, high), lambda t: F.struct(p.alias("at"), t.alias("tile")))
-
-    offset = at % tile
-    alone = (at > reach) & (at < size - 1 - reach) & offset.between(reach, tile - 1 - reach)
-    own = F.array(F.struct(at.alias("at"), F.floor(at / tile).cast("int").alias("tile")))
-    return F.when(alone, own).otherwise(F.flatten(F.transform(copies, in_tiles)))
-
-
-# ---------------------------------------------------------------------- skew
-
-
-def skew_angle(grid: DataFrame, thresholds: DataFrame | None = None) -> DataFrame:
-    """Per page the angle of the ink's principal axis, in degrees, folded to -45..45."""
-    if thresholds is None:
-        thresholds = otsu_threshold(grid)
-    ink = F.col("v") < F.col("threshold")
-    y, x = F.when(ink, F.col("y")).cast("bigint"), F.when(ink, F.col("x")).cast("bigint")
-    # Five integer sums per page leave the map side, so order cannot matter.
-    sums = (
-        grid.join(thresholds, PAGE_KEY)
-        .groupBy(PAGE_KEY)
-        .agg(
-            F.count(y).alias("n"),
-            F.sum(y).alias("sy"),
-            F.sum(x).alias("sx"),
-            F.sum(y * y).alias("syy"),
-            F.sum(x * x).alias("sxx"),
-            F.sum(x * y).alias("sxy"),
-        )
-    )
+def angle_of_sums() -> Column:
+    """Angle of the principal axis in degrees, folded to -45..45, from n, sy, sx, syy, sxx and sxy."""
     n, sy, sx, syy, sxx, sxy = (
         F.col(c).cast("decimal(19,0)") for c in ("n", "sy", "sx", "syy", "sxx", "sxy")
     )
     covariance = (n * sxy - sx * sy).cast("double")
     spread = ((n * sxx - sx * sx) - (n * syy - sy * sy)).cast("double")
     angle = F.degrees(F.lit(0.5) * F.atan2(F.lit(2.0) * covariance, spread))
-    folded = F.when(angle > 45, angle - 90).when(angle < -45, angle + 90).otherwise(angle)
-    enough = F.col("n") >= FEWEST_INK_PIXELS
-    return sums.select(*PAGE_KEY, F.when(enough, folded).otherwise(F.lit(0.0)).alias("angle"))
-
-
-# ------------------------------------------------------------------ geometry
-
-
-def resample(grid: DataFrame, plan: DataFrame, values: tuple[str, ...] = ("v",)) -> DataFrame:
-    """Resize pages with the Lanczos kernel (3 lobes), first along x, then along y.
-
-    ``plan``: a table of PAGE_KEY, width, height, new_width, new_height. Pages that keep
-    their size pass by without a shuffle. ``values`` names the channels.
-    """
-    sizes = ["width", "height", "new_width", "new_height"]
-    same = (F.col("width") == F.col("new_width")) & (F.col("height") == F.col("new_height"))
-    cells = grid.join(plan.select(*PAGE_KEY, *sizes), PAGE_KEY)
-    kept = cells.where(same).select(*CELL_KEY, *values)
-    # The page sizes stay grouping columns, so the second pass needs no join.
-    carry = ["height", "new_height"]
-    wide = _resample_axis(cells.where(~same), "x", "width", "new_width", values, carry)
-    tall = _resample_axis(wide, "y", "height", "new_height", values, [])
-    return kept.unionByName(tall.select(*CELL_KEY, *values))
-
-
-def _resample_axis(
-    cells: DataFrame, axis: str, size: str, new_size: str, values: tuple[str, ...], carry: list[str]
-) -> DataFrame:
-    other = "y" if axis == "x" else "x"
-    at, same = F.col(axis), F.col(size) == F.col(new_size)
-    stepped = cells.withColumn("step", F.col(size) / F.col(new_size)).withColumn(
-        "stretch", F.greatest("step", F.lit(1.0))
-    )
-    support = F.col("stretch") * 3.0
-    bounded = stepped.withColumns(
-        {
-            "low": F.floor((at - 0.5 - support) / F.col("step") - 0.5).cast("int"),
-            "high": F.ceil((at + 1.5 + support) / F.col("step") - 0.5).cast("int"),
-        }
-    )
-    targets = F.sequence(
-        F.greatest("low", F.lit(0)), F.least("high", F.col(new_size) - 1)
-    )
-    spread = bounded.select(
-        *PAGE_KEY, other, axis, *values, size, new_size, *carry, "step", "stretch",
-        F.explode(F.when(same, F.array(at)).otherwise(targets)).alias("to"),
-    ).withColumn("centre", (F.col("to") + 0.5) * F.col("step"))
-    first = F.greatest(F.floor(F.col("centre") - support + 0.5), F.lit(0))
-    last = F.least(F.floor(F.col("centre") + support + 0.5), F.col(size))
-    distance = (at + 0.5 - F.col("centre")) / F.col("stretch")
-    weight = F.when(same, F.lit(1.0)).otherwise(_lanczos(F.col("t")))
-    sums = (
-        spread.where(same | ((at >= first) & (at < last)))
-        .withColumn("t", distance)
-        .withColumn("units", F.floor(weight * _WEIGHT_ONE + 0.5))
-        .groupBy(*PAGE_KEY, *carry, F.col(other), F.col("to").alias(axis))
-        .agg(
-            F.sum("units").alias("w"),
-            *[F.sum(F.col("units") * F.col(v)).alias(f"w_{v}") for v in values],
-        )
-    )
-
-    def channel(v: str) -> Column:
-        value = div(F.col(f"w_{v}") * 2 + F.col("w"), F.col("w") * 2)
-        return F.least(F.greatest(value, F.lit(0)), F.lit(WHITE)).cast("int").alias(v)
-
-    return sums.select(*CELL_KEY, *carry, *[channel(v) for v in values])
-
-
-def _lanczos(t: Column) -> Column:
-    a = F.lit(3.141592653589793) * t
-    sinc2 = 3.0 * F.sin(a) * F.sin(a / 3.0) / (a * a)
-    return F.when(t == 0.0, F.lit(1.0)).when(F.abs(t) < 3.0, sinc2).otherwise(F.lit(0.0))
-
-
-def rotate(grid: DataFrame, angles: DataFrame) -> DataFrame:
-    """Turn pages about their centre by ``angle`` degrees, same size, white outside.
-
-    ``angles``: PAGE_KEY, angle. Pages without an angle, or with a zero one,
-    pass by without a shuffle. Interpolation is cubic (Catmull-Rom). Each pixel
-    is sent to the few target cells in reach, so there is no neighbour join;
-    cells are summed by key.
-    """
-    turning = angles.where(F.col("angle") != 0.0).select(
-        *PAGE_KEY, F.cos(F.radians("angle")).alias("c"), F.sin(F.radians("angle")).alias("s")
-    )
-    kept = grid.join(turning, PAGE_KEY, "left_anti").select(*CELL_KEY, "v")
-    moving = grid.join(turning, PAGE_KEY)
-    # Each step is a column of its own: repeated subexpressions would not fit
-    # into generated code otherwise.
-    cells = moving.join(page_sizes(moving), PAGE_KEY).withColumns(
-        {
-            "mid_x": F.col("width") / 2.0 - 0.5,
-            "mid_y": F.col("height") / 2.0 - 0.5,
-            "reach": (F.abs("c") + F.abs("s")) * 2.0,
-        }
-    )
-    dx, dy = F.col("x") - F.col("mid_x"), F.col("y") - F.col("mid_y")
-    placed = cells.withColumns(
-        {
-            "to_x": F.col("c") * dx + F.col("s") * dy + F.col("mid_x"),
-            "to_y": F.col("c") * dy - F.col("s") * dx + F.col("mid_y"),
-        }
-    ).withColumns(
-        {
-            "x_low": F.greatest(F.floor(F.col("to_x") - F.col("reach")).cast("int"), F.lit(0)),
-            "x_high": F.least(F.ceil(F.col("to_x") + F.col("reach")).cast("int"), F.col("width") - 1),
-            "y_low": F.greatest(F.floor(F.col("to_y") - F.col("reach")).cast("int"), F.lit(0)),
-            "y_high": F.least(F.ceil(F.col("to_y") + F.col("reach")).cast("int"), F.col("height") - 1),
-        }
-    )
-    # Place -1 names the pixel's own cell without weight, so that cells out of
-    # every pixel's reach exist.
-    hits = (F.col("x_low") <= F.col("x_high")) & (F.col("y_low") <= F.col("y_high"))
-    nowhere = F.array(F.lit(-1))
-    across = F.when(hits, F.concat(nowhere, F.sequence("x_low", "x_high"))).otherwise(nowhere)
-    down = F.when(F.col("px") < 0, nowhere).otherwise(F.sequence("y_low", "y_high"))
-    spread = placed.withColumn("px", F.explode(across)).withColumn("py", F.explode(down))
-    own = F.col("px") < 0
-    aimed = spread.select(
-        *PAGE_KEY, "v", "width", "height", "v_min", "v_max", "c", "s", "mid_x", "mid_y",
-        own.alias("own"),
-        F.col("x").alias("sx"), F.col("y").alias("sy"),
-        F.when(own, F.col("x")).otherwise(F.col("px")).alias("x"),
-        F.when(own, F.col("y")).otherwise(F.col("py")).alias("y"),
-    )
-    distances = _with_source(aimed).withColumns(
-        {"tx": F.abs(F.col("at_x") - F.col("sx")), "ty": F.abs(F.col("at_y") - F.col("sy"))}
-    )
-    cubic = _cubic(F.col("tx")) * _cubic(F.col("ty"))
-    weight = F.when(F.col("own"), F.lit(0.0)).otherwise(cubic)
-    inside = (
-        (F.floor("at_x") >= 1)
-        & (F.ceil("at_x") + 1 < F.col("width"))
-        & (F.floor("at_y") >= 1)
-        & (F.ceil("at_y") + 1 < F.col("height"))
-    )
-    sums = (
-        distances.where(F.col("own") | ((F.col("tx") < 2.0) & (F.col("ty") < 2.0)))
-        .select(
-            *CELL_KEY, "v", "v_min", "v_max", inside.cast("int").alias("inside"),
-            F.floor(weight * _WEIGHT_ONE + 0.5).alias("units"),
-        )
-        .groupBy(*CELL_KEY)
-        # Constant per cell or page; taken along to spare a second join of all cells.
-        .agg(
-            F.sum(F.col("units") * F.col("v")).alias("wv"),
-            F.sum("units").alias("w"),
-            F.max("inside").alias("inside"),
-            F.max("v_min").alias("v_min"),
-            F.max("v_max").alias("v_max"),
-        )
-    )
-    one = F.lit(_WEIGHT_ONE).cast("bigint")
-    value = F.when((F.col("inside") == 1) & (F.col("w") > 0), div(F.col("wv"), F.col("w"))).otherwise(
-        div(F.col("wv") + (one - F.col("w")) * WHITE, one)
-    )
-    in_range = F.least(F.greatest("value", "v_min"), "v_max")
-    shown = F.when(F.col("value") == WHITE, F.lit(WHITE)).otherwise(in_range).cast("int")
-    turned = sums.withColumn("value", value).select(*CELL_KEY, shown.alias("v"))
-    return kept.unionByName(turned)
-
-
-def _with_source(cells: DataFrame) -> DataFrame:
-    """Add at_x, at_y: where in the unturned page a cell comes from."""
-    dx, dy = F.col("x") - F.col("mid_x"), F.col("y") - F.col("mid_y")
-    return cells.withColumns(
-        {
-            "at_x": F.col("c") * dx - F.col("s") * dy + F.col("mid_x"),
-            "at_y": F.col("s") * dx + F.col("c") * dy + F.col("mid_y"),
-        }
-    )
-
-
-def _cubic(a: Column) -> Column:
-    """Catmull-Rom kernel at distance a."""
-    near = (a * 1.5 - 2.5) * a * a + 1.0
-    far = ((a * -0.5 + 2.5) * a - 4.0) * a + 2.0
-    return F.when(a < 1.0, near).when(a < 2.0, far).otherwise(F.lit(0.0))
+    return F.when(angle > 45, angle - 90).when(angle < -45, angle + 90).otherwise(angle)

@@ -19,6 +19,7 @@ from scanlake.operators import (
     recognising,
     registering,
     reports,
+    tiles,
     tokens,
 )
 from scanlake.options import InputOptions, Options, OutputOptions, PrepOptions, RecogniserOptions
@@ -418,7 +419,7 @@ def assemble_chat(spark, sf):
 
 def _nested(spark, sf):
     measured = pages.with_metrics(views.recognised_pages(spark, sf))
-    return pages.nest_pages_by(measured, ["image_id"])
+    return pages.nest_pages_by(measured, ["image_id"]).drop("prepared")
 
 
 @query
@@ -593,29 +594,29 @@ def dpi_scale(spark, sf):
 
 @query
 def grid_luma(spark, sf):
-    return raster.to_gray(views.colour_grid(spark, sf))
+    return tiles.to_pixels(tiles.to_gray(views.tiles(spark, sf, colour=True)))
 
 
 @query
 def grid_resample(spark, sf):
     plan = page_prep.size_plan(views.grid_pages(spark, sf), PREP)
-    return raster.resample(views.grid(spark, sf), plan)
+    return tiles.to_pixels(tiles.resample(views.tiles(spark, sf), plan))
 
 
 @query
 def otsu_threshold(spark, sf):
-    return raster.otsu_threshold(views.grid(spark, sf))
+    return tiles.page_statistics(views.tiles(spark, sf)).select("image_id", "page_number", "threshold")
 
 
 @query
 def otsu_binarise(spark, sf):
-    return raster.otsu_binarise(views.grid(spark, sf))
+    return tiles.to_pixels(tiles.otsu_binarise(views.tiles(spark, sf)))
 
 
 @query
 def skew_angle(spark, sf):
-    angles = raster.skew_angle(views.grid(spark, sf))
-    return angles.withColumn("angle", F.round("angle", 6))
+    angles = tiles.page_statistics(views.tiles(spark, sf))
+    return angles.select("image_id", "page_number", F.round("angle", 6).alias("angle"))
 
 
 @query
@@ -623,26 +624,40 @@ def grid_rotate(spark, sf):
     # Angles of -9..9 degrees, one per page; zero leaves a page alone.
     degrees = ((F.col("image_id") * 4 + F.col("page_number")) * 5 % 19 - 9).cast("double")
     angles = views.grid_pages(spark, sf).select("image_id", "page_number", degrees.alias("angle"))
-    return raster.rotate(views.grid(spark, sf), angles)
+    return tiles.to_pixels(tiles.rotate(views.tiles(spark, sf), angles))
 
 
 @query
 def sauvola(spark, sf):
-    return raster.sauvola(views.grid(spark, sf))
+    return tiles.to_pixels(tiles.sauvola(views.tiles(spark, sf)))
 
 
 @query
 def page_prep_pixels(spark, sf):
-    grid, _ = page_prep.prepare_pages(
-        views.colour_grid(spark, sf), views.grid_pages(spark, sf), PREP
+    clean, _ = page_prep.prepare_pages(
+        views.tiles(spark, sf, colour=True), views.grid_pages(spark, sf), PREP
     )
-    return grid
+    return tiles.to_pixels(clean)
+
+
+@query
+def recognise_clean(spark, sf):
+    """Page images cleaned and read, and the same images read as they come."""
+    images = tiles.page_images(views.tiles(spark, sf, colour=True)).drop("width", "height")
+    images = written(images.join(views.grid_pages(spark, sf).drop("width", "height"), ["image_id", "page_number"]), "images")
+    options = replace(RecogniserOptions(), engine="ink")
+    read = [
+        recognising.recognise(page_prep.prepare_images(images, prep)[0], options)
+        for prep in (PREP, replace(PREP, enabled=False))
+    ]
+    columns = ["image_id", "page_number", "prepared", "text", "confidence", "error"]
+    return read[0].select(columns).unionByName(read[1].select(columns))
 
 
 @query
 def page_prep_flags(spark, sf):
     _, flags = page_prep.prepare_pages(
-        views.colour_grid(spark, sf), views.grid_pages(spark, sf), PREP
+        views.tiles(spark, sf, colour=True), views.grid_pages(spark, sf), PREP
     )
     return flags.select(
         "image_id", "page_number", F.col("original_dpi.x").alias("x_dpi"),

@@ -14,11 +14,12 @@ from scanlake.options import Options
 def document_rows(
     pages: DataFrame, options: Options, now: Column
 ) -> DataFrame:
-    """One search-ready row per document (per part, for very long ones).
+    """One search-ready row per document.
 
     ``pages`` rows carry their file (image_id, file_path, file_size_bytes) next
     to page_number, text, confidence and processing_time_ms, so the whole job
-    is a single exchange by document.
+    is a single exchange by document. preprocessing_enabled tells what was done:
+    it is true if ``prepared``, as ``prepare_images`` sets it, is true on every page.
     """
     own = ["image_id", "file_path", "file_size_bytes"]
     nested = nest_pages_by(with_metrics(pages), own)
@@ -38,7 +39,7 @@ def document_rows(
         F.lit(options.recogniser.engine).alias("ocr_engine"),
         F.lit(options.recogniser.language).alias("ocr_language"),
         F.lit(options.recogniser.config).alias("ocr_config"),
-        F.lit(options.prep.enabled).alias("preprocessing_enabled"),
+        F.col("prepared").alias("preprocessing_enabled"),
         iso_utc(now).alias("processed_at"),
         "total_processing_time_ms",
     )

@@ -373,7 +373,7 @@ def _oracle_sql() -> dict[str, str]:
                cast(sum(word_count) as integer) as word_count,
                {CONFIDENCE.format(n="count(*)", s="cast(sum((image_id * 13 + page_number * 29) % 101) as bigint)")} as confidence,
                'tesseract' as ocr_engine, 'eng' as ocr_language, '--oem 1 --psm 3' as ocr_config,
-               true as preprocessing_enabled, '2024-01-01T06:00:00+00:00' as processed_at,
+               false as preprocessing_enabled, '2024-01-01T06:00:00+00:00' as processed_at,
                cast(sum(processing_time_ms) as bigint) as total_processing_time_ms
         from recognised r join placed p on p.id = r.image_id
         group by image_id, p.file_path, p.file_name, p.rel, p.output_base,
@@ -638,6 +638,17 @@ def _oracle_sql() -> dict[str, str]:
             PREP + "," + _rotate("gray", "turning", "ro") + "," + _sauvola("ro_grid", "sv"),
             "select image_id, page_number, y, x, v from sv_grid",
         ),
+        "recognise_clean": _with(
+            PREP + "," + _rotate("gray", "turning", "ro") + "," + _sauvola("ro_grid", "sv"), f"""
+            select image_id, page_number, prepared, string_agg(t, ' ' order by band) as text,
+                   {CONFIDENCE.format(n="count(*)", s="(cast(sum(least(length(t), 10)) as bigint) * 10)")} as confidence,
+                   cast(null as varchar) as error
+            from (select image_id, page_number, prepared, y // 16 as band,
+                         cast(count(*) filter (v < 128) as varchar) as t
+                  from (select *, true as prepared from sv_grid union all by name
+                        select image_id, page_number, y, x, v, false as prepared from colour_gray)
+                  group by all)
+            group by image_id, page_number, prepared"""),
         "page_prep_flags": _with(PREP, """
             select p.image_id, p.page_number,
                    case when (p.image_id + p.page_number) % 3 = 0 then 150.0::double else 300.0::double end as x_dpi,

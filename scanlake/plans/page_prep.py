@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanlake.functions.dpi import with_dpi, with_resample_plan
-from scanlake.operators import raster
+from scanlake.operators import tiles
+from scanlake.operators.raster import PAGE_KEY
 from scanlake.options import PrepOptions
-from scanlake.session import spread, written
+from scanlake.session import written
 
-PAGE_KEY = raster.PAGE_KEY
+#: Image bytes to pixels (height, width, channels).
+Decoder = Callable[[bytes], np.ndarray]
 
 
 def size_plan(pages: DataFrame, options: PrepOptions) -> DataFrame:
@@ -21,37 +26,57 @@ def size_plan(pages: DataFrame, options: PrepOptions) -> DataFrame:
 
 
 def prepare_pages(
-    grid: DataFrame, pages: DataFrame, options: PrepOptions
+    pixels: DataFrame, pages: DataFrame, options: PrepOptions
 ) -> tuple[DataFrame, DataFrame]:
-    """Clean pixels and one provenance row per page.
+    """Clean tiles and one provenance row per page.
 
-    ``grid`` has r, g, b or v. ``pages`` has PAGE_KEY, dpi, width and height.
-    Pixels are written once after each costly step that several later steps read.
+    ``pixels`` are tiles of one or three channels. ``pages`` has PAGE_KEY, dpi, width and height. Tiles are
+    written once where both the page statistics and the next step read them.
     """
-    colour = "v" not in grid.columns
     plan = size_plan(pages, options)
     if not options.enabled:
-        gray = raster.to_gray(grid) if colour else grid
-        return gray, _provenance(plan, None, False)
-    resized = raster.resample(grid, plan, ("r", "g", "b") if colour else ("v",))
-    clean = raster.to_gray(resized) if colour else resized
-    sizes = plan.select(*PAGE_KEY, F.col("new_width").alias("width"), F.col("new_height").alias("height"))
+        return tiles.to_gray(pixels), _provenance(plan, None, False)
+    clean = tiles.to_gray(tiles.resample(pixels, plan))
     method = (options.binarization or "none").lower()
     angles = None
     if options.deskew:
-        clean = _together(written(clean, "resampled"))
-        angles = written(raster.skew_angle(clean), "angles")
+        clean = written(clean, "resampled")
+        angles = written(tiles.page_statistics(clean), "statistics")
         turning = angles.where(F.abs("angle") >= options.deskew_threshold_degrees)
-        clean = raster.rotate(clean, turning)
+        clean = tiles.rotate(clean, turning)
     if method == "sauvola":
-        clean = raster.sauvola(clean, sizes=sizes)
+        clean = tiles.sauvola(clean)
     elif method == "otsu":
-        clean = raster.otsu_binarise(_together(written(clean, "gray")))
+        clean = tiles.otsu_binarise(written(clean, "gray"))
     return clean, _provenance(plan, angles, options.deskew, options.deskew_threshold_degrees)
 
 
-def _together(cells: DataFrame) -> DataFrame:
-    return spread(cells, *PAGE_KEY, F.floor(F.col("y") / 16))
+def prepare_images(
+    pages: DataFrame, options: PrepOptions, decode: Decoder = tiles.portable_map
+) -> tuple[DataFrame, DataFrame]:
+    """Pages with their images cleaned, and the provenance rows.
+
+    ``pages`` has PAGE_KEY, image (bytes that ``decode`` reads) and dpi, and any other columns, which stay. In the
+    result ``image`` is the clean page as a portable gray map, and ``prepared`` tells that it is. A page that
+    cannot be decoded keeps its row with an ``error`` and no image, so it fails alone.
+    """
+    if "error" in pages.columns:
+        early = pages.where("error is not null").withColumn("prepared", F.lit(False))
+        pages = pages.where("error is null").drop("error")
+    else:
+        early = None
+    cut = written(tiles.from_images(pages, decode), "tiles")
+    sizes = cut.where("ty = 0 and tx = 0").select(*PAGE_KEY, "width", "height")
+    about = pages.select(*PAGE_KEY, "dpi").join(sizes, PAGE_KEY)
+    clean, provenance = prepare_pages(cut, about, options)
+    images = tiles.page_images(clean).select(*PAGE_KEY, F.col("image").alias("__clean"))
+    bad = tiles.undecodable(pages, decode)
+    joined = pages.drop("image").join(images, PAGE_KEY, "left").join(bad, PAGE_KEY, "left")
+    joined = joined.withColumnRenamed("__clean", "image").withColumn(
+        "prepared", F.lit(options.enabled) & F.col("image").isNotNull())
+    if early is not None:
+        joined = joined.unionByName(early)
+    return joined, provenance
 
 
 def _provenance(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from scanlake.functions.paths import file_name
 from scanlake.functions.times import moment
+from scanlake.operators import tiles as tile_operators
 from scanlake.operators.pages import split_pages
 from scanlake.schemas import LEDGER, RESULTS
 from scanlake.session import spread
@@ -206,14 +207,6 @@ def _gray(value: Column) -> Column:
     return F.floor((value.cast("double") + 1) * 127.5).cast("int")
 
 
-def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gray pixels."""
-    cells = _lines(spark, sf_dir).select(
-        "image_id", "page_number", "y", F.posexplode("line").alias("x", "value")
-    )
-    return cells.select("image_id", "page_number", "y", "x", _gray(F.col("value")).alias("v"))
-
-
 def colour_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Colour pixels: a gray value and its two right-hand neighbours, wrapping around."""
     cells = _lines(spark, sf_dir).select(
@@ -227,6 +220,18 @@ def colour_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tiles(spark: SparkSession, sf_dir: str, colour: bool = False, side: int = 32) -> DataFrame:
+    """The pixel pages as tiles; small ones, so that pages of 64 scanlines have neighbours to ask."""
+    sizes = grid_pages(spark, sf_dir).select("image_id", "page_number", "width", "height")
+    lines = _vectors(spark, sf_dir).join(sizes, ["image_id", "page_number"])
+    gray = F.transform("line", _gray)
+    if colour:
+        following = [F.concat(F.slice(gray, k + 1, F.size("line") - k), F.slice(gray, 1, k)) for k in (1, 2)]
+        triples = F.arrays_zip(gray.alias("r"), following[0].alias("g"), following[1].alias("b"))
+        gray = F.flatten(F.transform(triples, lambda p: F.array(p["r"], p["g"], p["b"])))
+    return tile_operators.from_lines(lines.withColumn("line", gray), side, 3 if colour else 1)
+
+
 def grid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page sizes and recorded resolutions of the pixel pages."""
     sizes = _vectors(spark, sf_dir).groupBy("image_id", "page_number").agg(

@@ -6,24 +6,24 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scanlake.operators import raster
+from scanlake.operators import tiles
 from scanlake.options import PrepOptions
 from scanlake.plans.page_prep import prepare_pages
 
 CELL = "image_id bigint, page_number int, y int, x int, v int"
 
 
-def grid_of(spark, *arrays):
+def grid_of(spark, *arrays, side=8):
     rows = [
         (1, p, int(y), int(x), int(a[y, x]))
         for p, a in enumerate(arrays, 1) for y in range(a.shape[0]) for x in range(a.shape[1])
     ]
-    return spark.createDataFrame(rows, CELL)
+    return tiles.from_pixels(spark.createDataFrame(rows, CELL), side)
 
 
-def arrays_of(grid):
+def arrays_of(found):
     pages = {}
-    for r in grid.collect():
+    for r in tiles.to_pixels(found).collect():
         cells = pages.setdefault(r["page_number"], {})
         assert (r["y"], r["x"]) not in cells
         cells[r["y"], r["x"]] = r["v"]
@@ -54,9 +54,9 @@ def test_otsu(spark):
     uniform, two = np.full((5, 7), 255), np.array([[10] * 6 + [200] * 3])
     pages = [noise(20, 30), uniform, two]
     grid = grid_of(spark, *pages)
-    got = {r["page_number"]: r["threshold"] for r in raster.otsu_threshold(grid).collect()}
+    got = {r["page_number"]: r["threshold"] for r in tiles.page_statistics(grid).collect()}
     assert got == {p: otsu(a) for p, a in enumerate(pages, 1)}
-    binary = arrays_of(raster.otsu_binarise(grid))
+    binary = arrays_of(tiles.otsu_binarise(grid))
     assert (binary[2] == 0).all()  # a blank page turns black
     assert binary[3].tolist() == [[0] * 6 + [255] * 3]
     assert set(np.unique(binary[1])) == {0, 255}
@@ -77,11 +77,11 @@ def test_skew(spark):
     grid = grid_of(spark, line, steep, few, diagonal, flat)
     # Threshold 0 splits ink from paper only if "below" includes it; use one above it.
     thresholds = grid.select("image_id", "page_number").distinct().withColumn("threshold", F.lit(128))
-    got = {r["page_number"]: r["angle"] for r in raster.skew_angle(grid, thresholds).collect()}
+    got = {r["page_number"]: r["angle"] for r in tiles.page_statistics(grid, thresholds).collect()}
     assert got[1] == pytest.approx(7, abs=0.3)
     assert got[2] == pytest.approx(-5.7, abs=0.5)
     assert got[3] == 0.0 and got[4] == pytest.approx(45.0)
-    by_otsu = {r["page_number"]: r["angle"] for r in raster.skew_angle(grid).collect()}
+    by_otsu = {r["page_number"]: r["angle"] for r in tiles.page_statistics(grid).collect()}
     assert by_otsu[5] == 0.0
 
 
@@ -109,10 +109,10 @@ def sauvola(a, window=25, k=0.2, r=127.5):
     return out
 
 
-@pytest.mark.parametrize("tile", [16, 27, 256])
-def test_sauvola_across_tiles_and_edges(spark, tile):
+@pytest.mark.parametrize("side", [13, 16, 27, 256])
+def test_sauvola_across_tiles_and_edges(spark, side):
     pages = [noise(40, 53), noise(9, 70, 2), noise(1, 30, 3), noise(5, 1, 4), noise(2, 2, 5)]
-    got = arrays_of(raster.sauvola(grid_of(spark, *pages), tile=tile))
+    got = arrays_of(tiles.sauvola(grid_of(spark, *pages, side=side)))
     for p, a in enumerate(pages, 1):
         assert (got[p] == sauvola(a)).all()
 
@@ -138,7 +138,7 @@ def test_resample(spark, size):
         [(1, 1, 30, 20, size[1], size[0]), (1, 2, 6, 6, 6, 6)],
         "image_id bigint, page_number int, width int, height int, new_width int, new_height int",
     )
-    got = arrays_of(raster.resample(grid_of(spark, a, b), plan))
+    got = arrays_of(tiles.resample(grid_of(spark, a, b), plan))
     want = lanczos(lanczos(a, size[1], 1), size[0], 0)
     assert got[1].shape == size and (np.abs(got[1] - want) <= 1).all() and (got[1] == want).mean() > 0.99
     assert (got[2] == b).all()
@@ -168,7 +168,7 @@ def rotate(a, angle):
 def test_rotate(spark, angle):
     a, b, flat = noise(17, 23), noise(9, 9, 2), np.full((12, 15), 77)
     angles = spark.createDataFrame([(1, 1, angle), (1, 2, 0.0), (1, 3, angle)], "image_id bigint, page_number int, angle double")
-    got = arrays_of(raster.rotate(grid_of(spark, a, b, flat), angles))
+    got = arrays_of(tiles.rotate(grid_of(spark, a, b, flat), angles))
     want = np.clip(np.floor(rotate(a, angle) + 1e-4), a.min(), a.max())
     white = np.abs(rotate(a, angle) - 255) < 1e-6
     off = np.abs(np.where(white, 255, want) - got[1])
@@ -183,9 +183,9 @@ def test_turning_a_line_by_its_skew_levels_it(spark):
         y = round(30 + (x - 45) * math.tan(math.radians(6)))
         a[y - 1 : y + 2, x] = 0
     grid = grid_of(spark, a)
-    angles = raster.skew_angle(grid, grid.select("image_id", "page_number").distinct().withColumn("threshold", F.lit(128)))
-    turned = raster.rotate(grid, angles)
-    after = raster.skew_angle(turned, angles.select("image_id", "page_number", F.lit(128).alias("threshold"))).first()
+    angles = tiles.page_statistics(grid, grid.select("image_id", "page_number").distinct().withColumn("threshold", F.lit(128)))
+    turned = tiles.rotate(grid, angles)
+    after = tiles.page_statistics(turned, angles.select("image_id", "page_number", F.lit(128).alias("threshold"))).first()
     assert angles.first()["angle"] == pytest.approx(6, abs=0.4) and abs(after["angle"]) < 0.5
 
 
@@ -194,7 +194,7 @@ def test_luma_and_chain_without_filters(spark):
     colour = spark.createDataFrame(rows, "image_id bigint, page_number int, y int, x int, r int, g int, b int")
     pages = spark.createDataFrame([(1, 1, ["300"], 4, 1)], "image_id bigint, page_number int, dpi array<string>, width int, height int")
     for options in (PrepOptions(enabled=False), PrepOptions(deskew=False, binarization=None)):
-        grid, flags = prepare_pages(colour, pages, options)
+        grid, flags = prepare_pages(tiles.from_pixels(colour), pages, options)
         assert arrays_of(grid)[1].tolist() == [[76, 150, 29, 255]]
         row = flags.first()
         assert (row["was_upscaled"], row["was_deskewed"], row["skew_angle_degrees"]) == (False, False, 0.0)
@@ -207,7 +207,7 @@ def test_chain_gives_black_and_white(spark, method):
         [(1, 1, ["100", "100"], 30, 20), (1, 2, None, 25, 10)],
         "image_id bigint, page_number int, dpi array<string>, width int, height int",
     )
-    grid, flags = prepare_pages(grid_of(spark, noise(20, 30), noise(10, 25, 2)), pages, PrepOptions(binarization=method))
+    grid, flags = prepare_pages(grid_of(spark, noise(20, 30), noise(10, 25, 2), side=16), pages, PrepOptions(binarization=method))
     got = arrays_of(grid)
     assert got[1].shape == (60, 90) and got[2].shape == (10, 25)
     assert set(np.unique(got[1])) <= {0, 255}
