@@ -17,6 +17,7 @@ table gives no rows; repeated rows give repeated results; other columns are igno
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 import unicodedata
@@ -102,22 +103,32 @@ class SpeculativeBpe(CachedEncoder):
         return [self.vocab[c] for c in name]
 
     def merged(self, ids: list[int], last: list | None = None) -> list[int]:
-        """Exact merging: the earliest merge first, leftmost among equals."""
+        """Exact merging: the earliest merge first, leftmost among equals.
+
+        Pairs wait in a heap by (rank, place); places are linked, and a pair that has changed is passed over. So a
+        word of any length costs its length times the depth of the heap.
+        """
         ids = list(ids)
-        rank = self.rank.get
-        ranks = [rank(pair, NEVER) for pair in zip(ids, ids[1:])]
-        while ranks and (best := min(ranks)) != NEVER:
-            at = ranks.index(best)
-            pair = (ids[at], ids[at + 1])
-            ids[at : at + 2] = [self.made[pair]]
-            del ranks[at]
-            if at:
-                ranks[at - 1] = rank((ids[at - 1], ids[at]), NEVER)
-            if at < len(ranks):
-                ranks[at] = rank((ids[at], ids[at + 1]), NEVER)
+        n, rank = len(ids), self.rank.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, at) for at, pair in enumerate(zip(ids, ids[1:])) if (r := rank(pair)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, at = heapq.heappop(heap)
+            right = after[at]
+            if ids[at] < 0 or right >= n or rank(pair := (ids[at], ids[right])) != r:
+                continue
             if last is not None:
                 last[:] = [pair]
-        return ids
+            ids[at], ids[right] = self.made[pair], -1
+            after[at] = end = after[right]
+            if end < n:
+                before[end] = at
+                if (r := rank((ids[at], ids[end]))) is not None:
+                    heapq.heappush(heap, (r, at))
+            if (left := before[at]) >= 0 and (r := rank((ids[left], ids[at]))) is not None:
+                heapq.heappush(heap, (r, left))
+        return [i for i in ids if i >= 0]
 
     def proposed(self, word: str) -> list[int]:
         """Longest token at each place; ``word`` is in the byte alphabet, without the suffix."""
