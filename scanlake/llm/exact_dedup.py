@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlake.llm.common import SPACE_RUN, id_and_text
+from scanlake.llm.common import SPACE_RUN, id_and_text, whole_text
 from scanlake.session import written
 
 
@@ -80,9 +80,21 @@ def exact_groups(docs: DataFrame, keys=keyed) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of the table that stay; rows without a doc_id stay too."""
-    dropped = exact_groups(docs).where("not kept").select(F.col("doc_id").alias("dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped"), "left_anti")
+    """The rows of the table that stay, one of each text; rows without a doc_id stay too.
+
+    A row is named by its doc_id and text together, as ids may repeat on unlike texts. Of rows that repeat both,
+    one stays.
+    """
+    name = ["doc_id", "__sha"]
+    groups = exact_groups(docs).where("group_size > 1 and doc_id is not null")
+    groups = written(groups.select("doc_id", F.col("text_sha256").alias("__sha"), "kept"), "exact-decisions")
+    rows = docs.withColumn("__sha", F.sha2(F.encode(F.regexp_replace(whole_text(), SPACE_RUN, " "), "UTF-8"), 256))
+    rows = rows.join(groups.where("not kept").select(*name).distinct(), name, "left_anti")
+    repeated = written(groups.where("kept").groupBy(*name).agg(F.count("*").alias("n")).where("n > 1").select(*name), "repeated-rows")
+    if not repeated.isEmpty():
+        again = rows.join(repeated, name, "left_semi").dropDuplicates(name)
+        rows = rows.join(repeated, name, "left_anti").unionByName(again)
+    return rows.select(*docs.columns)
 
 
 ORACLE = r"""

@@ -20,8 +20,9 @@
   links are contracted to the ends' pointers until none is left. Each round is written to the shared folder.
 
 Null, empty and blank texts have no shingles, link with nothing and are components of their own. Texts of
-under five words have the whole sequence as one shingle. Rows that repeat a doc_id are one node. Rows without
-a doc_id get no component. An empty table gives no rows. Other columns are ignored.
+under five words have the whole sequence as one shingle. Rows that repeat a doc_id are one node with the links of all
+their texts. A row without a doc_id belongs to the component of a row with an equal set and is not kept; if there
+is none its component is null and it is kept. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlake.llm.common import id_and_text, pieces
+from scanlake.llm.common import id_and_text, pieces, whole_text
 from scanlake.llm.features import Vocabulary, mixed, word_hashes
+from scanlake.operators.ranking import number_rows
 from scanlake.session import written
 
 SHINGLE = 5
@@ -306,6 +308,56 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
+    if not repeated_ids(docs).isEmpty():
+        return _groups_of_texts(docs)
+    return _groups_of_ids(docs)
+
+
+def repeated_ids(docs: DataFrame) -> DataFrame:
+    """The doc_ids on more than one row."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    return ids.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """number, doc_id and text of each distinct (doc_id, text), numbered in order of doc_id; written."""
+    rows = id_and_text(docs).where("doc_id is not null").withColumn("digest", F.sha2(F.encode("text", "UTF-8"), 256))
+    rows = rows.dropDuplicates(["doc_id", "digest"]).withColumn("order", F.struct("doc_id", "digest"))
+    return written(number_rows(rows, "order", "number").select("number", "doc_id", "digest", "text"), "numbered-texts")
+
+
+def _groups_of_texts(docs: DataFrame) -> DataFrame:
+    """As ``near_groups`` where a doc_id may stand on unlike texts: texts are linked, then the texts of one id."""
+    texts = _numbered(docs)
+    nameless = id_and_text(docs).where("doc_id is null")
+    found = written(
+        _groups_of_ids(texts.select(F.col("number").alias("doc_id"), "text").unionByName(nameless))
+        .select(F.col("doc_id").alias("number"), "n_shingles", F.col("component_id").alias("low")),
+        "text-groups",
+    )
+    of_low = texts.select(F.col("number").alias("low"), F.col("doc_id").alias("b"))
+    linked = written(
+        found.join(of_low, "low", "left").join(texts.select("number", F.col("doc_id").alias("a"), "digest"), "number", "left"),
+        "text-links",
+    )
+    groups = components(linked.where("a is not null").select("a", "b"))
+    of_b = groups.select(F.col("node").alias("b"), "component")
+    component = F.coalesce("component", "b").alias("component")
+    rows = id_and_text(docs).where("doc_id is not null").select("doc_id", F.sha2(F.encode("text", "UTF-8"), 256).alias("digest"))
+    named = linked.where("a is not null").join(of_b, "b", "left").select(F.col("a").alias("doc_id"), "digest", "n_shingles", component)
+    named = rows.join(named, ["doc_id", "digest"]).select("doc_id", "n_shingles", "component")
+    unnamed = linked.where("a is null").join(of_b, "b", "left").select(F.col("a").alias("doc_id"), "n_shingles", component)
+    return _decided(named.unionByName(unnamed))
+
+
+def _decided(rows: DataFrame) -> DataFrame:
+    component = F.coalesce("component", "doc_id")
+    kept = F.coalesce(F.col("doc_id") == component, component.isNull())
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def _groups_of_ids(docs: DataFrame) -> DataFrame:
+    """As ``near_groups`` where no doc_id stands on two rows."""
     signed = written(id_and_text(docs).mapInArrow(
         _sign, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"), "signatures")
     key = ["n_shingles", "set_a", "set_b"]
@@ -341,12 +393,23 @@ def near_groups(docs: DataFrame) -> DataFrame:
         *key, F.coalesce("component", "class_id").alias("component")
     )
     of_class = written(of_class, "class-components")
-    rows = signed.select("doc_id", *key).join(of_class, key, "left")
-    component = F.coalesce("component", "doc_id")
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return _decided(signed.select("doc_id", *key).join(of_class, key, "left"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of the table that are the smallest of their component; rows without a doc_id stay."""
-    groups = near_groups(docs).where("not kept").select(F.col("doc_id").alias("dropped")).distinct()
-    return docs.join(groups, F.col("doc_id") == F.col("dropped"), "left_anti")
+    """The rows of the table that are the smallest of their component; rows without a doc_id stay.
+
+    Where ids repeat, texts are decided by themselves: a text stays unless one like it stays, whatever other
+    texts its doc_id stands on. Of rows that repeat doc_id and text, one stays.
+    """
+    if repeated_ids(docs).isEmpty():
+        gone = _groups_of_ids(docs).where("not kept").select(F.col("doc_id").alias("dropped")).distinct()
+        return docs.join(gone, F.col("doc_id") == F.col("dropped"), "left_anti")
+    texts = _numbered(docs)
+    kept = _groups_of_ids(texts.select(F.col("number").alias("doc_id"), "text")).where("kept")
+    kept = texts.join(kept.select(F.col("doc_id").alias("number")), "number", "left_semi").select("doc_id", "digest")
+    rows = docs.withColumn("__digest", F.sha2(F.encode(whole_text(), "UTF-8"), 256))
+    name = [F.col("doc_id") == F.col("__id"), F.col("__digest") == F.col("__own")]
+    kept = kept.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__own"))
+    stay = rows.where("doc_id is not null").join(kept, name, "left_semi").dropDuplicates(["doc_id", "__digest"])
+    return stay.unionByName(rows.where("doc_id is null")).select(*docs.columns)
