@@ -120,6 +120,8 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, grade: Column, most: int =
         ratings.select(F.col("doc_id").alias("rated"), grade.cast("int").alias("grade"))
         .where("rated is not null and grade is not null")
         .groupBy("rated").agg(F.min("grade").alias("grade"))
+        # Ratings of other documents must not use up the sample.
+        .join(docs.select(F.col("doc_id").cast("long").alias("rated")), "rated", "left_semi")
         .orderBy(F.xxhash64("rated"), "rated").limit(most)
     )
     rows = id_and_text(docs).join(F.broadcast(rated), F.col("doc_id") == F.col("rated")).select("text", "grade").collect()

@@ -283,6 +283,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.n
     known = (
         labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic")).where(fold() != 0)
+        # Labels of other documents must not use up the sample.
+        .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
     )
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     chosen = (
