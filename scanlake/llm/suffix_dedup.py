@@ -483,11 +483,12 @@ def repeated_strings(docs: DataFrame, hot: int = HOT) -> DataFrame:
     chunks = written(id_and_text(docs).mapInArrow(_write_chunks(folder), _CHUNK), "chunks")
     total = chunks.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(FEWEST_BUCKETS, total // BUCKET_BYTES)
-    # Chunks are few rows of much work: deal them out one by one.
-    chunks = written(chunks.repartition(F.col("chunk")), "chunks-dealt")
+    # Chunks are few rows of much work: with a number, Spark does not join their partitions again.
+    number = max(1, chunks.count())
+    chunks = chunks.repartition(number, "chunk")
     sent = chunks.mapInArrow(_send_anchors(buckets), _MESSAGE)
     replies = written(_by_chunk(sent.groupBy("bucket").applyInArrow(_find_shared(hot), _MESSAGE), "replies"), "anchor-replies")
-    known = chunks.join(replies, "chunk", "left")
+    known = chunks.join(replies.repartition(number, "chunk"), "chunk", "left")
     sent = known.mapInArrow(_send_contexts(buckets), _MESSAGE)
     answers = written(_by_chunk(sent.groupBy("bucket").applyInArrow(_solve, _MESSAGE), "answers"), "window-answers")
-    return known.join(answers, "chunk", "left").mapInArrow(_remove(buckets), SCHEMA)
+    return known.join(answers.repartition(number, "chunk"), "chunk", "left").mapInArrow(_remove(buckets), SCHEMA)
