@@ -40,6 +40,8 @@ FILE_IDS = 32_000_000
 PIECE_CHARS = 1_000_000
 #: Every so many boundaries the directory says where the bits of the next one are.
 SAMPLE = 256
+#: Documents whose boundaries and ids a reader holds at once.
+BLOCK = 2000
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
@@ -70,18 +72,19 @@ class EliasFano:
         return cls(count, universe, low_bits, low.tobytes(), high.tobytes(), directory.tobytes())
 
     def select(self, index: int) -> int:
-        """The number at ``index``, from the directory and a few bytes after it."""
-        place, ones = map(int, self.directory[index // SAMPLE])
-        while ones + int(_ONES[self.high[place]]) <= index:
-            ones += int(_ONES[self.high[place]])
-            place += 1
-        bits = np.flatnonzero(np.unpackbits(self.high[place : place + 1], bitorder="little"))
-        top = place * 8 + int(bits[index - ones]) - index
-        return top << self.low_bits | self._low(np.array([index]))[0]
-
-    def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.count]
-        return (ones - np.arange(self.count)) << self.low_bits | self._low(np.arange(self.count))
+        """The number at ``index``, from the directory and the bytes up to its next entry."""
+        return int(self.select_range(index, index + 1)[0])
+
+    def select_range(self, first: int, end: int) -> np.ndarray:
+        """The numbers at [first, end), from the high bits between two entries of the directory."""
+        if first >= end:
+            return np.zeros(0, np.int64)
+        place, ones = map(int, self.directory[first // SAMPLE])
+        beyond = (end - 1) // SAMPLE + 1
+        stop = int(self.directory[beyond][0]) + 1 if beyond < len(self.directory) else len(self.high)
+        bits = np.flatnonzero(np.unpackbits(self.high[place:stop], bitorder="little"))[first - ones : end - ones]
+        indexes = np.arange(first, end)
+        return (place * 8 + bits - indexes) << self.low_bits | self._low(indexes)
 
     def _low(self, indexes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(indexes), np.int64)
@@ -203,14 +206,16 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path, base in zip(*[batch.column(n).to_pylist() for n in ("path", "base")], strict=True):
                 file = TokenFile(path)
-                ends = np.concatenate(([0], file.ends.all()))
-                for at in range(0, len(file.doc_ids), 2000):
-                    own = ends[at : at + 2001]
+                last = 0
+                for at in range(0, len(file.doc_ids), BLOCK):
+                    ends = file.ends.select_range(at, min(at + BLOCK, len(file.doc_ids)))
+                    own = np.concatenate(([last], ends))
+                    last = int(own[-1])
                     ids = file.ids(int(own[0]), int(own[-1]))
                     cuts = own - own[0]
                     yield pa.record_batch(
                         [
-                            pa.array(file.doc_ids[at : at + 2000], pa.int64()),
+                            pa.array(file.doc_ids[at : at + BLOCK], pa.int64()),
                             pa.array(own[:-1] + base, pa.int64()),
                             pa.array(np.diff(own), pa.int64()),
                             pa.array([zlib.crc32(ids[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])], pa.int64()),
@@ -218,8 +223,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                         names=["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
+    # A row of a hundred bytes stands for a whole file: with a number, Spark does not join the partitions.
     return (
-        files.select("path", "base").repartition("path")
+        files.select("path", "base").repartition(max(1, manifest.count()), "path")
         .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
     )
 

@@ -15,13 +15,16 @@ from itertools import chain
 
 import numpy as np
 
-KNOWN_CHUNKS = 300_000
+KNOWN_CHUNKS = 800_000
 KNOWN_PARTS = 500_000
+#: Characters after which a table of known pieces is emptied, however few pieces they are.
+KNOWN_CHARS = 12_000_000
+#: Pieces that the library encodes as one text, a special token between them.
+JOINED = 200
 #: White space to Python that is none to the tokenizers' patterns.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACE_NOT_BEFORE_WORD = re.compile(r" (?=\s|$)")
 _CUT_BEFORE_SPACE = re.compile(r"(?= \S)")
-_PUNCTUATION = '.,;:!?)|"'
 
 
 def gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -35,16 +38,21 @@ class Known(dict):
 
     def __init__(self):
         self.fresh: list = []
+        self.chars = 0
         self.flat = np.zeros(0, np.uint32)
         self.start = self.length = np.zeros(0, np.int64)
 
     def __missing__(self, piece):
         number = self[piece] = len(self)
         self.fresh.append(piece)
+        self.chars += len(piece)
         return number
 
+    def full(self, most: int) -> bool:
+        return len(self) > most or self.chars > KNOWN_CHARS
+
     def numbers(self, lists: list[list]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, chain.from_iterable(lists)), np.int64)
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
 
     def add(self, flat: np.ndarray, length: np.ndarray) -> None:
         self.start = np.append(self.start, len(self.flat) + np.cumsum(length) - length)
@@ -61,7 +69,7 @@ class Known(dict):
 
 
 class CachedEncoder:
-    """Subclasses say how a text is cut into chunks, and a chunk into parts."""
+    """Subclasses say how a text is cut into chunks, and, if that pays, a chunk into parts."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
@@ -71,35 +79,52 @@ class CachedEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.known, self.known_parts = Known(), Known()
+        #: A special token that the library cuts at before it looks at anything else.
+        self.mark, self.mark_text = next(
+            ((n, t.content) for n, t in self.library.get_added_tokens_decoder().items()
+             if t.content.startswith("<|") and not (t.lstrip or t.rstrip or t.single_word or t.normalized)), (None, "")
+        )
 
     def chunks(self, text: str) -> list:
         raise NotImplementedError
 
-    def parts(self, chunk) -> list:
-        """A word and the plain punctuation after it: the word recurs with other punctuation."""
-        word = chunk.rstrip(_PUNCTUATION)
-        if word and len(word) < len(chunk) and word[-1].isalpha():
-            return [word, chunk[len(word) :]]
-        return [chunk]
+    #: Cuts a chunk into parts that recur more often than it, where encoding a part is the costly step.
+    parts = None
 
     def encode_parts(self, fresh: list) -> tuple[np.ndarray, np.ndarray]:
-        found = [x.ids for x in self.library.encode_batch_fast(fresh, add_special_tokens=False)]
-        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64)
+        """Ids of all pieces joined, and how many each has.
+
+        An encoding of its own costs more than the short piece in it, so pieces go in joined by a special token.
+        """
+        if self.mark is None or any("<|" in piece for piece in fresh):
+            return self._encode_single(fresh)
+        texts = [self.mark_text.join([*fresh[at : at + JOINED], ""]) for at in range(0, len(fresh), JOINED)]
+        ids, _ = self._encode_single(texts)
+        marks = np.flatnonzero(ids == self.mark)
+        return ids[ids != self.mark], np.diff(marks, prepend=-1) - 1
+
+    def _encode_single(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts joined, as unsigned 32-bit integers, and how many each text has."""
-        if len(self.known) > KNOWN_CHUNKS:
+        if self.known.full(KNOWN_CHUNKS):
             self.known = Known()
-        if len(self.known_parts) > KNOWN_PARTS:
+        if self.known_parts.full(KNOWN_PARTS):
             self.known_parts = Known()
         cut = [self.chunks(t) for t in texts]
         numbers = self.known.numbers(cut)
-        if self.known.fresh:
-            split = [self.parts(c) for c in self.known.fresh]
+        fresh = self.known.fresh
+        if fresh and self.parts:
+            split = [self.parts(c) for c in fresh]
             part_numbers = self.known_parts.numbers(split)
             if self.known_parts.fresh:
                 self.known_parts.add(*self.encode_parts(self.known_parts.fresh))
             self.known.add(*self.known_parts.ids(part_numbers, split))
+        elif fresh:
+            self.known.add(*self.encode_parts(fresh))
         return self.known.ids(numbers, cut)
 
 
