@@ -52,16 +52,20 @@ def _change(ledger: DataFrame, when: Column, **changes: Column) -> DataFrame:
     )
 
 
+def claim_slots(ledger: DataFrame, batch_size: int, max_retries: int) -> DataFrame:
+    """(id, slot) of every eligible row: batches of ``batch_size`` by id, numbered from 0."""
+    waiting = eligible(ledger, max_retries).select("id")
+    slot = F.floor((F.col("n") - 1) / F.lit(batch_size)).cast("long")
+    return number_rows(waiting, "id", "n").select("id", slot.alias("slot"))
+
+
 def claim_picks(
     ledger: DataFrame, workers: Sequence[str], batch_size: int, max_retries: int
 ) -> DataFrame:
     """(id, worker) for the first ``batch_size`` eligible rows of each worker, by id."""
-    wanted = len(workers) * batch_size
-    waiting = eligible(ledger, max_retries).select("id")
-    ranked = number_rows(waiting, "id", "n").where(F.col("n") <= wanted)
-    slot = F.floor((F.col("n") - 1) / F.lit(batch_size)).cast("int")
     names = F.array(*[F.lit(w) for w in workers])
-    return ranked.select("id", F.get(names, slot).alias("worker"))
+    slots = claim_slots(ledger, batch_size, max_retries).where(F.col("slot") < len(workers))
+    return slots.select("id", F.get(names, F.col("slot").cast("int")).alias("worker"))
 
 
 def claim_batch(

@@ -194,10 +194,9 @@ def claim_batch(spark, sf):
 
 @query
 def claim_everything(spark, sf):
-    # More batches than there are rows.
-    many = 1001
-    names = tuple(f"worker-{n}" for n in range(many))
-    return steps.claim_picks(views.ledger(spark, sf), names, BATCH, MAX_RETRIES)
+    """As many workers as there are batches."""
+    slots = steps.claim_slots(views.ledger(spark, sf), BATCH, MAX_RETRIES)
+    return slots.select("id", F.concat(F.lit("worker-"), F.col("slot")).alias("worker"))
 
 
 @query
@@ -363,7 +362,7 @@ def run_job(spark, sf):
     options = replace(OPTIONS, output=OutputOptions(root_path=f"{root}/out"))
     tables.commit(views.ledger(spark, sf), None, root, 0)
     job.run_job(spark, root, _queue(spark, sf), options, "job-1", _now())
-    results = tables.committed_results(spark, root).groupBy(F.col("image_id").alias("id"))
+    results = tables.read_results(spark, root).groupBy(F.col("image_id").alias("id"))
     there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/out").select(
         F.regexp_extract("path", "/out/(.*)[.]txt$", 1).alias("base"), F.lit(True).alias("there")
     ).where("base <> ''")

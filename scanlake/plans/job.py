@@ -3,7 +3,8 @@
 A slice is the next rows of the queue by id. Its documents are written first; then its results and the
 ledger that calls the rows complete are published together. Whatever stops the job before that leaves the
 slice as it was: the next run takes it again and replaces its files by equal ones. A document whose file
-cannot be written fails like one that cannot be read, and the others of its slice do not.
+cannot be written fails like one that cannot be read, and the others of its slice do not. So does one whose
+output belongs to another document of the same folder and stem.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from scanlake.operators import ledger as steps
 from scanlake.operators.outputs import written_formats
 from scanlake.options import Options
 from scanlake.plans.document_job import document_rows, outcomes_of
+from scanlake.schemas import RESULTS
 from scanlake.plans.rounds import Process, _every_claim
 from scanlake.session import written
 from scanlake.sources import documents as files
@@ -52,20 +54,35 @@ def run_job(
         read = outcomes_of(pages, options)
         bad = pages.where(F.col("error").isNotNull()).select("image_id").distinct()
         good = pages.join(bad, "image_id", "left_anti")
-        unwritten = _write(document_rows(good, options, now), options)
+        documents = written(document_rows(good, options, now), "documents")
+        taken = _taken(documents, ledger)
+        mine_alone = documents.join(taken.select(F.col("id").alias("image_id")), "image_id", "left_anti")
+        unwritten = _write(mine_alone, options).select("id", "problem").unionByName(taken)
         outcomes = written(_every_claim(mine, _with_unwritten(read, unwritten)), "outcomes")
         done = outcomes.where(F.col("error_message").isNull()).select(F.col("id").alias("image_id"))
         results = steps.results_of(good.join(done, "image_id", "left_semi"), now)
-        steps.check_new_results(tables.committed_results(spark, root), results)
+        # Rows that could be claimed have no committed results: only this slice can hold a page twice.
+        steps.check_new_results(spark.createDataFrame([], RESULTS), results)
         after = steps.record_outcomes(held, outcomes, retries, now)
         version = tables.commit(after, results, root, version)
         ledger = tables.read_ledger(spark, root)
     return version
 
 
+def _taken(documents: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(id, problem) of the documents whose output belongs to another: one written before, or of a smaller id."""
+    done = ledger.where(F.col("status") == steps.COMPLETE).select(
+        F.col("output_path").alias("output_base"), F.col("id").alias("before"))
+    done = done.groupBy("output_base").agg(F.min("before").alias("before"))
+    first = documents.groupBy("output_base").agg(F.min("image_id").alias("first"))
+    owner = first.join(done, "output_base", "left").select("output_base", F.coalesce("before", "first").alias("owner"))
+    clashing = documents.select("image_id", "output_base").join(owner, "output_base").where("image_id <> owner")
+    problem = F.concat(F.lit("output "), "output_base", F.lit(" belongs to image "), "owner")
+    return written(clashing.select(F.col("image_id").alias("id"), problem.alias("problem")), "taken")
+
+
 def _write(documents: DataFrame, options: Options) -> DataFrame:
     """(id, problem) of the documents that could not be written in every format asked for."""
-    documents = written(documents, "documents")
     formats = [f for f in written_formats(options.output.formats, options.recogniser.engine) if f in BODIES]
     none = documents.select(F.col("output_base").alias("base"), F.lit(None).cast("string").alias("error")).limit(0)
     manifests = [

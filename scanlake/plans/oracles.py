@@ -455,8 +455,7 @@ def _oracle_sql() -> dict[str, str]:
               where status = 'pending' and retry_count < 3 qualify n <= 30) using (id)"""),
         "claim_everything": _with(LEDGER, """
             select id, concat('worker-', (row_number() over (order by id) - 1) // 10) as worker from ledger
-            where status = 'pending' and retry_count < 3
-            qualify row_number() over (order by id) <= 10010"""),
+            where status = 'pending' and retry_count < 3"""),
         "reset_stale": _with(
             LEDGER,
             f"""

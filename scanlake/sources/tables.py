@@ -99,11 +99,12 @@ def _notes(spark: SparkSession, root: str, version: int) -> str:
         stream.close()
 
 
-def committed_results(spark: SparkSession, root: str) -> DataFrame:
-    """Result rows of the runs that the newest ledger names."""
+def read_results(spark: SparkSession, root: str) -> DataFrame:
+    """All result rows that count: of the runs that the newest ledger names, and of numbered folders."""
     version = newest(spark, f"{root}/ledger")
     runs = _notes(spark, f"{root}/ledger", version).split() if version else []
     folders = [f"{root}/results/{run}" for run in runs]
+    folders += [f"{root}/results/v={number}" for number in _versions(spark, f"{root}/results")]
     return spark.read.schema(RESULTS).parquet(*folders) if folders else spark.createDataFrame([], RESULTS)
 
 
@@ -140,10 +141,6 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     return read_snapshot(spark, f"{root}/ledger", LEDGER)
 
 
-def read_results(spark: SparkSession, root: str) -> DataFrame:
-    return read_all(spark, f"{root}/results", RESULTS)
-
-
 def init_tables(spark: SparkSession, root: str) -> None:
     """Create the empty tables that do not exist yet; safe to repeat."""
     for name, schema in (("ledger", LEDGER), ("results", RESULTS)):

@@ -43,7 +43,7 @@ def collection(spark, root, blocked=False):
 
 def state(spark, work, out):
     rows = tables.read_ledger(spark, work).select("file_name", "status", "retry_count", "page_count").collect()
-    keys = tables.committed_results(spark, work).select("image_id", "page_number", "extracted_text").orderBy("image_id", "page_number").collect()
+    keys = tables.read_results(spark, work).select("image_id", "page_number", "extracted_text").orderBy("image_id", "page_number").collect()
     # JSON files hold measured times and the input's folder, so their names alone are compared.
     found = [p for p in out.rglob("*") if p.is_file()]
     written = {str(p.relative_to(out)): p.read_text() if p.suffix == ".txt" else None for p in found}
@@ -60,7 +60,7 @@ def test_job_ends_the_same_after_a_stop_at_any_step(spark, tmp_path, monkeypatch
     ]
     assert sorted(written) == ["a.json", "a.txt", "d.json", "d.txt", "sub/b c#1.json", "sub/b c#1.txt"]
     assert len(results) == 5
-    integrity.check(tables.read_ledger(spark, work), tables.committed_results(spark, work))
+    integrity.check(tables.read_ledger(spark, work), tables.read_results(spark, work))
 
     for step, (where, name) in enumerate([(job, "_write"), (tables, "write_snapshot")]):
         work, out, run = collection(spark, tmp_path / str(step))
@@ -72,7 +72,7 @@ def test_job_ends_the_same_after_a_stop_at_any_step(spark, tmp_path, monkeypatch
             patched.setattr(where, name, stop)
             with pytest.raises(KeyboardInterrupt):
                 run()
-        assert tables.committed_results(spark, work).count() == 0
+        assert tables.read_results(spark, work).count() == 0
         run()
         assert state(spark, work, out) == expected
 
@@ -95,3 +95,26 @@ def test_a_version_is_given_once(spark, tmp_path):
     with pytest.raises(tables.VersionTaken):
         tables.commit(first.where(F.lit(False)), None, work, 1)
     assert [p.name for p in (tmp_path / "ledger").iterdir() if p.name.startswith("_aside")] == []
+
+
+def test_of_two_files_with_one_output_the_later_fails(spark, tmp_path):
+    work, out, run = collection(spark, tmp_path)
+    run()
+    inbox = tmp_path / "in"
+    (inbox / "a.tiff").write_bytes(b"the same stem as a file that is done")
+    (inbox / "e.tif").write_bytes(b"first")
+    (inbox / "e.TIFF").write_bytes(b"second")
+    known = tables.read_ledger(spark, work)
+    options = InputOptions(root_path=str(inbox))
+    new = registering.register_files(file_sources.list_files(spark, options), known, moment(NOW))
+    tables.commit(known.unionByName(new), None, work, tables.newest(spark, f"{work}/ledger"))
+    run()
+    rows = {r.file_name: r for r in tables.read_ledger(spark, work).collect()}
+    assert rows["a.tif"].status == "complete" and rows["a.tiff"].status == "failed"
+    assert rows["a.tiff"].error_message == f"output {out}/a belongs to image {rows['a.tif'].id}"
+    first, second = sorted((rows["e.tif"], rows["e.TIFF"]), key=lambda r: r.id)
+    assert (first.status, second.status) == ("complete", "failed")
+    assert (out / "e.txt").read_text() == ("first" if first.file_name == "e.tif" else "second")
+    assert (out / "a.txt").read_text().startswith("Hello")
+    ids = {r.image_id for r in tables.read_results(spark, work).collect()}
+    assert rows["a.tif"].id in ids and not ids & {rows["a.tiff"].id, second.id}
