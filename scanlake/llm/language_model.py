@@ -40,7 +40,6 @@ from pyspark.sql import functions as F
 from scanlake.llm.common import whole_text
 from scanlake.llm.features import mixed, word_hashes
 from scanlake.llm.word_chunks import (
-    CHUNK_TOKENS,
     FEWEST_BUCKETS,
     Chunk,
     Numbers,
@@ -66,6 +65,8 @@ BITS_PER_ENTRY, PROBES = 7.3, 5
 #: Every Python worker holds a copy of what is broadcast.
 BROADCAST_BYTES = 32_000_000
 NAME_BITS = 40
+#: Scoring holds some twenty numbers for each token of a chunk.
+CHUNK_TOKENS = 2_000_000
 #: Tokens, for each size of n-gram, for which one segment is added.
 SEGMENT_TOKENS = 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -279,13 +280,14 @@ def _score(order: int, segments: int, buckets: int, about: dict, spread_filter):
             base = (known + 0.5) / (n_tokens + 0.5 * (distinct + 1))
             grams = list(t.grams(order))
             at, names, parts = _dealt(np.concatenate([g[0] for g in grams]), segments)
-            found = np.zeros(len(names), np.uint8)
+            found = np.zeros(len(at), np.uint8)
             answers = {a["bucket"]: a["blob"] for a in (row.get("levels") or [])}
             for segment, a, b in parts:
                 if spread_filter is None:
                     found[at[a:b]] = unpacked(answers[segment])["levels"]
                 elif segment in spread_filter.value:
                     found[at[a:b]] = levels(np.frombuffer(spread_filter.value[segment], np.uint8), names[a:b])
+            del at, names
             estimates = np.split(_estimate(found), np.cumsum([len(g[0]) for g in grams])[:-1])
             probability = base
             context = counts[t.before(1)].astype(np.float64)
