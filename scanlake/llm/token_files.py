@@ -86,6 +86,10 @@ class EliasFano:
         indexes = np.arange(first, end)
         return (place * 8 + bits - indexes) << self.low_bits | self._low(indexes)
 
+    def all(self) -> np.ndarray:
+        """Every number, for tests and small lists; readers take blocks by ``select_range``."""
+        return self.select_range(0, self.count)
+
     def _low(self, indexes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(indexes), np.int64)
         for bit in range(self.low_bits):
