@@ -1,15 +1,17 @@
 """Packing documents into windows of at most 2048 ids, in order, cut where it costs least.
 
 Each task takes the documents of its partition in order of doc_id as one stream of ids. It may cut after a
-document (free), after a sentence (a small penalty, as the document is truncated) or, in long sentences,
-elsewhere (a larger one). Dynamic programming over these places minimises padding plus penalties: the best
-cost up to a place is its own penalty plus the least ``cost + position`` among the places of one window
-before it, which a monotone queue gives in constant time. Windows follow each other without gaps in the
-stream, so order is kept and every id lies in one piece.
-
-The stream is solved in runs of about ``RUN_IDS``. All windows of a run but the last are emitted, the last
-begins the next run: only the end of a partition is padded because the stream ends. That rest is cut into
-powers of two, which need no padding, where this costs less. No exchange; a task holds one run.
+document (free), after a sentence (a small penalty, as the document is truncated) and, only in sentences longer
+than a window, elsewhere (a larger one). Dynamic programming over these places minimises padding plus
+penalties: the best cost up to a place is its own penalty plus the least ``cost + position`` among the places of
+one window before it, which a monotone queue gives in constant time. A sequence whose length is a power of two is not
+padded: places that lie exactly such a length (of at least ``SHORTEST``) before are tried beside the queue.
+Sequences follow each other without gaps in the stream, so order is kept and every id lies in one piece.
+
+The stream is solved in runs of about ``RUN_IDS``. All sequences of a run but the last are emitted, the last
+begins the next run: only the end of a partition is padded because the stream ends. That one rest is cut into
+powers of two, within a sentence if need be, where this costs less than its padding; these few cuts a partition
+do not grow with the documents. No exchange; a task holds one run.
 
 Null text is empty text: the end id alone. Repeated rows are packed each. Null doc_ids come first. An empty
 table gives no rows. Other columns are ignored. sequence_id is the partition's number times 2^32 plus a count.
@@ -33,23 +35,27 @@ WINDOW = 2048
 RUN_IDS = 400_000
 SENTENCE_PENALTY = 4
 OTHER_PENALTY = 12
-#: In sentences longer than this, further places this far apart may be cut.
-LONG_SENTENCE = 16
+#: Sentences longer than a window may also be cut at places this far apart.
+INNER_STEP = 16
+#: Shortest sequence that is cut for its power of two.
+SHORTEST = 64
 PIECE_CHARS = 600_000
 COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 SCHEMA = ", ".join(f"{c} long" for c in COLUMNS)
 
 
-def cut_places(document_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cut_places(
+    document_ends: np.ndarray, sentence_ends: np.ndarray, window: int = WINDOW
+) -> tuple[np.ndarray, np.ndarray]:
     """Places that may be cut, ascending, 0 first and the end last, and the penalty of each."""
     total = int(document_ends[-1])
     marks = np.unique(np.concatenate(([0], document_ends, sentence_ends)))
     gaps = np.diff(marks)
-    long = np.flatnonzero(gaps > LONG_SENTENCE)
-    more = (gaps[long] - 1) // LONG_SENTENCE
+    long = np.flatnonzero(gaps > window)
+    more = (gaps[long] - 1) // INNER_STEP
     extra = np.repeat(marks[long], more)
     step = np.arange(len(extra)) - np.repeat(np.cumsum(more) - more, more) + 1
-    places = np.sort(np.concatenate((marks, extra + step * LONG_SENTENCE)))
+    places = np.sort(np.concatenate((marks, extra + step * INNER_STEP)))
     penalty = np.full(len(places), OTHER_PENALTY)
     penalty[np.isin(places, sentence_ends)] = SENTENCE_PENALTY
     penalty[np.isin(places, document_ends)] = 0
@@ -57,10 +63,23 @@ def cut_places(document_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple[np
     return places[places <= total], penalty[places <= total]
 
 
-def best_cuts(places: list[int], penalties: list[int], window: int, last_cost=None) -> list[int]:
+def unpadded_before(places: np.ndarray, window: int) -> list[list[int]]:
+    """Of each place the indexes of those before it by a power of two, from ``SHORTEST`` to under a window."""
+    found = [[] for _ in places]
+    size = SHORTEST
+    while size < window:
+        at = np.searchsorted(places, places - size)
+        for j in np.flatnonzero(places[at] == places - size).tolist():
+            found[j].append(int(at[j]))
+        size *= 2
+    return found
+
+
+def best_cuts(places: list[int], penalties: list[int], window: int, unpadded=None, last_cost=None) -> list[int]:
     """Indexes of the chosen places, first and last included. No two neighbours are over a window apart.
 
-    ``last_cost`` gives the cost of a last window by its length, if that is not its padding.
+    ``unpadded`` lists for each place those before it from which a sequence has no padding.
+    ``last_cost`` gives the cost of a last sequence by its length, if that is not its padding.
     """
     cost = [0] * len(places)
     came = [0] * len(places)
@@ -70,7 +89,12 @@ def best_cuts(places: list[int], penalties: list[int], window: int, last_cost=No
         while queue[0][1] < place - window:
             queue.popleft()
         least, _, came[j] = queue[0]
-        cost[j] = least + window - place + penalties[j]
+        best = least + window - place
+        if unpadded:
+            for i in unpadded[j]:
+                if cost[i] < best:
+                    best, came[j] = cost[i], i
+        cost[j] = best + penalties[j]
         key = cost[j] + place
         while queue and queue[-1][0] >= key:
             queue.pop()
@@ -111,11 +135,12 @@ class Packer:
         document_ends = np.array([e for *_, e in self.docs])
         known = self.is_sentence_end
         sentence_ends = np.flatnonzero(known[np.minimum(self.ids, len(known) - 1)]) + 1
-        places, penalties = cut_places(document_ends, sentence_ends)
+        places, penalties = cut_places(document_ends, sentence_ends, self.window)
+        unpadded = unpadded_before(places, self.window)
         places = places.tolist()
-        # The last window begins the next run and costs nothing yet; at the end it may become powers of two.
+        # The last sequence begins the next run and costs nothing yet; at the end it may become powers of two.
         cost = self._rest_cost if last else lambda rest: 0
-        cuts = [places[i] for i in best_cuts(places, penalties.tolist(), self.window, cost)]
+        cuts = [places[i] for i in best_cuts(places, penalties.tolist(), self.window, unpadded, cost)]
         rest = cuts[-1] - cuts[-2]
         if not last:
             cuts.pop()

@@ -258,6 +258,32 @@ def test_op7_cuts_cost_least():
         assert sum(60 - places[b] + places[a] + penalty[b] for a, b in zip(cuts, cuts[1:])) == cost[-1]
 
 
+def test_op7_cuts_at_ends_alone_and_unpadded_lengths_cost_nothing():
+    rng = random.Random(5)
+    for _ in range(20):
+        places = np.array(sorted({0, *(rng.randrange(1, 3000) for _ in range(120)), 3000}))
+        penalty = [rng.randint(0, 9) for _ in places]
+        unpadded = packing.unpadded_before(places, 512)
+        assert unpadded == [[i for i in range(j - 1, -1, -1) if b - places[i] in (64, 128, 256)] for j, b in enumerate(places)]
+
+        def price(length):
+            return 0 if length in (64, 128, 256, 512) else 512 - length
+
+        cost = [0] + [10**9] * (len(places) - 1)
+        for j in range(1, len(places)):
+            for i in range(j):
+                if places[j] - places[i] <= 512:
+                    cost[j] = min(cost[j], cost[i] + price(places[j] - places[i]) + penalty[j])
+        cuts = packing.best_cuts(places.tolist(), penalty, 512, unpadded)
+        assert sum(price(places[b] - places[a]) + penalty[b] for a, b in zip(cuts, cuts[1:])) == cost[-1]
+    # Sentences up to a window long are whole; a longer one may be cut inside.
+    ends, sentences = np.array([2000, 9000]), np.array([30, 1990, 2000, 2100, 4148])
+    places, _ = packing.cut_places(ends, sentences, 2048)
+    marks = [0, 30, 1990, 2000, 2100, 4148]
+    assert places[:6].tolist() == marks and places[-1] == 9000 and np.diff(places).max() <= 2048
+    assert set(np.diff(places[5:-1]).tolist()) == {packing.INNER_STEP}
+
+
 def test_op8(docs, labels, empty):
     want = Counter()
     for d, t in texts_of(docs):
