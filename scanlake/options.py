@@ -40,6 +40,8 @@ class RecogniserOptions:
     engine: str = "tesseract"
     language: str = "eng"
     config: str = "--oem 1 --psm 3"
+    #: Longest time for a page; none by default.
+    page_seconds: float | None = None
 
 
 @dataclass(frozen=True)

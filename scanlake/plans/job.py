@@ -4,27 +4,25 @@ A slice is the next rows of the queue by id. Its documents are written first; th
 ledger that calls the rows complete are published together. Whatever stops the job before that leaves the
 slice as it was: the next run takes it again and replaces its files by equal ones. A document whose file
 cannot be written fails like one that cannot be read, and the others of its slice do not. So does one whose
-output belongs to another document of the same folder and stem.
+output belongs to another document of the same folder and stem. Files are written page by page, so documents
+may be larger than a row. Intermediate tables of a slice are deleted when it ends.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanlake.functions.paths import output_base
 from scanlake.operators import ledger as steps
 from scanlake.operators.outputs import written_formats
 from scanlake.options import Options
-from scanlake.plans.document_job import document_rows, outcomes_of
+from scanlake.plans.document_job import outcomes_of
 from scanlake.schemas import RESULTS
 from scanlake.plans.rounds import Process, _every_claim
-from scanlake.session import written
-from scanlake.sources import documents as files
+from scanlake.session import scratch, written
 from scanlake.sources import tables
-
-BODIES = {"txt": files.text_bodies, "json": files.json_bodies}
+from scanlake.sources.paged import write_pages
 
 
 def run_job(
@@ -44,27 +42,28 @@ def run_job(
     version = tables.newest(spark, f"{root}/ledger")
     ledger = steps.reset_stale(tables.read_ledger(spark, root), now, options.run.stale_minutes)
     while not steps.eligible(ledger, retries).isEmpty():
-        held = written(steps.claim_batch(ledger, [worker], slice_rows, retries, now), "held")
-        before = ledger.select(F.col("id"), F.col("status").alias("was"))
-        mine = held.where(F.col("status") == steps.PROCESSING).join(
-            before.where(F.col("was") == steps.PENDING).select("id"), "id", "left_semi"
-        )
-        # Recognition is the costly step: write its pages once, then read them for each use.
-        pages = written(process(mine), "pages")
-        read = outcomes_of(pages, options)
-        bad = pages.where(F.col("error").isNotNull()).select("image_id").distinct()
-        good = pages.join(bad, "image_id", "left_anti")
-        documents = written(document_rows(good, options, now), "documents")
-        taken = _taken(documents, ledger)
-        mine_alone = documents.join(taken.select(F.col("id").alias("image_id")), "image_id", "left_anti")
-        unwritten = _write(mine_alone, options).select("id", "problem").unionByName(taken)
-        outcomes = written(_every_claim(mine, _with_unwritten(read, unwritten)), "outcomes")
-        done = outcomes.where(F.col("error_message").isNull()).select(F.col("id").alias("image_id"))
-        results = steps.results_of(good.join(done, "image_id", "left_semi"), now)
-        # Rows that could be claimed have no committed results: only this slice can hold a page twice.
-        steps.check_new_results(spark.createDataFrame([], RESULTS), results)
-        after = steps.record_outcomes(held, outcomes, retries, now)
-        version = tables.commit(after, results, root, version)
+        with scratch():
+            held = written(steps.claim_batch(ledger, [worker], slice_rows, retries, now), "held")
+            before = ledger.select(F.col("id"), F.col("status").alias("was"))
+            mine = held.where(F.col("status") == steps.PROCESSING).join(
+                before.where(F.col("was") == steps.PENDING).select("id"), "id", "left_semi"
+            )
+            # Recognition is the costly step: write its pages once, then read them for each use.
+            pages = written(process(mine), "pages")
+            read = outcomes_of(pages, options)
+            bad = pages.where(F.col("error").isNotNull()).select("image_id").distinct()
+            good = pages.join(bad, "image_id", "left_anti")
+            base = output_base(F.col("file_path"), options.input.root_path, options.output.root_path)
+            taken = _taken(good.select("image_id", base.alias("output_base")).distinct(), ledger)
+            mine_alone = good.join(taken.select(F.col("id").alias("image_id")), "image_id", "left_anti")
+            unwritten = _write(mine_alone, options, now).unionByName(taken)
+            outcomes = written(_every_claim(mine, _with_unwritten(read, unwritten)), "outcomes")
+            done = outcomes.where(F.col("error_message").isNull()).select(F.col("id").alias("image_id"))
+            results = steps.results_of(good.join(done, "image_id", "left_semi"), now)
+            # Rows that could be claimed have no committed results: only this slice can hold a page twice.
+            steps.check_new_results(spark.createDataFrame([], RESULTS), results)
+            after = steps.record_outcomes(held, outcomes, retries, now)
+            version = tables.commit(after, results, root, version)
         ledger = tables.read_ledger(spark, root)
     return version
 
@@ -81,19 +80,12 @@ def _taken(documents: DataFrame, ledger: DataFrame) -> DataFrame:
     return written(clashing.select(F.col("image_id").alias("id"), problem.alias("problem")), "taken")
 
 
-def _write(documents: DataFrame, options: Options) -> DataFrame:
+def _write(pages: DataFrame, options: Options, now: Column) -> DataFrame:
     """(id, problem) of the documents that could not be written in every format asked for."""
-    formats = [f for f in written_formats(options.output.formats, options.recogniser.engine) if f in BODIES]
-    none = documents.select(F.col("output_base").alias("base"), F.lit(None).cast("string").alias("error")).limit(0)
-    manifests = [
-        written(files.write_files(BODIES[f](documents)), "manifest").select(
-            F.expr(f"left(output_path, char_length(output_path) - {len(f) + 1})").alias("base"), "error"
-        )
-        for f in formats
-    ]
-    failed = reduce(DataFrame.unionByName, manifests, none).where("error is not null")
-    failed = failed.groupBy("base").agg(F.min("error").alias("problem"))
-    return documents.select(F.col("image_id").alias("id"), F.col("output_base").alias("base")).join(failed, "base")
+    formats = written_formats(options.output.formats, options.recogniser.engine)
+    manifest = written(write_pages(pages, formats, options, now), "manifest")
+    failed = manifest.where("error is not null").groupBy(F.col("image_id").alias("id"))
+    return failed.agg(F.min("error").alias("problem"))
 
 
 def _with_unwritten(outcomes: DataFrame, unwritten: DataFrame) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -43,7 +47,57 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for folders in _scratch[-1:]:
+        folders.append((spark, path))
+    return path
+
+
+#: Of each open ``scratch`` block the folders named inside it.
+_scratch: list[list[tuple[SparkSession, str]]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Delete the intermediate folders of the block when it ends, also by an error.
+
+    What is to be kept must be written elsewhere by then; nothing lazy may outlive the block.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _scratch.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; none there is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folders_with_age(spark: SparkSession, parent: str) -> list[tuple[str, float]]:
+    """Names of the folders in ``parent`` and the seconds since each was changed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    now = time.time()
+    found = [s for s in fs.listStatus(path) if s.isDirectory()]
+    return [(s.getPath().getName(), now - s.getModificationTime() / 1000) for s in found]
+
+
+def sweep_scratch(spark: SparkSession, older_than: float) -> list[str]:
+    """Delete intermediate folders that were last changed over ``older_than`` seconds ago; their names.
+
+    For folders that drivers left behind when they were lost. The age must exceed the longest job that still runs.
+    """
+    root = shared_folder(spark)
+    old = [n for n, age in folders_with_age(spark, root) if age >= older_than and re.search("-[0-9a-f]{32}$", n)]
+    for name in old:
+        delete(spark, f"{root}/{name}")
+    return sorted(old)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from scanlake.schemas import LEDGER, RESULTS
+from scanlake.session import delete, folders_with_age
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
@@ -123,6 +124,32 @@ def commit(ledger: DataFrame, results: DataFrame | None, root: str, after: int)
     return write_snapshot(ledger, f"{root}/ledger", after + 1, "\n".join(runs))
 
 
+def sweep(spark: SparkSession, root: str, keep: int = 2, older_than: float = 86_400.0) -> list[str]:
+    """Delete what no reader needs below ``root``; the paths that went, relative to it.
+
+    Kept are the newest ``keep`` ledgers and all result folders that one of them names, and every numbered
+    result folder. Result folders are listed before the ledgers are read, so one published in between is kept. Folders that no ledger names yet, and
+    unfinished ones, stay until ``older_than`` seconds have passed since their last change: a running commit
+    must take less. A stop within the sweep leaves folders over, which the next one deletes.
+    """
+    if keep < 1:
+        raise ValueError("at least the newest ledger is kept")
+    results = folders_with_age(spark, f"{root}/results")
+    ledgers = folders_with_age(spark, f"{root}/ledger")
+    versions = _versions(spark, f"{root}/ledger")
+    kept = versions[-keep:]
+    named = {run for version in kept for run in _notes(spark, f"{root}/ledger", version).split()}
+    gone = [f"ledger/v={version}" for version in versions[:-keep]]
+    gone += [f"ledger/{n}" for n, age in ledgers if n.startswith("_aside-") and age >= older_than]
+    gone += [
+        f"results/{n}" for n, age in results
+        if n not in named and n.startswith(("run-", "_aside-")) and age >= older_than
+    ]
+    for name in gone:
+        delete(spark, f"{root}/{name}")
+    return sorted(gone)
+
+
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """The newest complete version; an empty table if there is none."""
     versions = _versions(spark, root)
