@@ -24,10 +24,12 @@ from scanlake.operators import (
 )
 from scanlake.options import InputOptions, Options, OutputOptions, PrepOptions, RecogniserOptions
 from scanlake.plans import document_job, job, page_prep, rounds, views
+from scanlake.schemas import DOCUMENT
 from scanlake.session import new_folder, spread, written
 from scanlake.sources import documents as document_files
 from scanlake.sources import files as file_sources
 from scanlake.sources import tables
+from scanlake.sources.paged import write_pages
 from scanlake.streaming import discovery, feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -301,6 +303,21 @@ def snapshot_roundtrip(spark, sf):
     return tables.read_ledger(spark, root).select("id", "file_path", "status", "retry_count")
 
 
+@query
+def retention(spark, sf):
+    """Commits, results whose commit never came, and a sweep: the results that are left, and folders beside them."""
+    root = new_folder(spark, "retention")
+    ledger, results = views.ledger(spark, sf), views.results(spark, sf)
+    tables.commit(ledger, None, root, 0)
+    tables.commit(ledger, results.where("image_id % 2 = 0"), root, 1)
+    tables.commit(ledger, results.where("image_id % 2 = 1"), root, 2)
+    results.write.parquet(f"{root}/results/run-lost")
+    gone = tables.sweep(spark, root, keep=1, older_than=0)
+    return tables.read_results(spark, root).select(
+        "image_id", "page_number", "ocr_engine", F.lit(" ".join(gone)).alias("swept")
+    )
+
+
 @query
 def init_ledger(spark, sf):
     """A first run: create the empty tables, register every file, read the ledger back."""
@@ -498,14 +515,44 @@ def sink_json(spark, sf):
     root = new_folder(spark, "json")
     named = _documents(spark, sf).withColumn("output_base", F.concat_ws("-", "output_base", "image_id"))
     manifest = written(document_files.write_files(document_files.json_bodies(_into(named, root))), "manifest")
-    back = document_files.read_documents(spark, root)
-    sizes = manifest.agg(F.count("*").alias("files_written"))
-    texts = back.agg(
-        F.count("*").alias("files_read"),
-        F.sum("page_count").alias("pages"),
-        F.sum(F.char_length("full_text")).alias("characters"),
+    return _read_back(spark, root, manifest)
+
+
+def _read_back(spark, root, manifest):
+    """Each JSON file by itself: pages and text it holds, and whether it has the size its writer says."""
+    on_disk = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+    sizes = on_disk.load(root).select(_below(root, "path").alias("relative_path"), "length")
+    said = manifest.select(_below(root, "output_path").alias("relative_path"), "bytes")
+    reader = spark.read.schema(DOCUMENT).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+    held = reader.json(root).select(
+        _below(root, "_metadata.file_path").alias("relative_path"), "page_count",
+        F.size("pages").alias("n_pages"), F.sha2("full_text", 256).alias("text_sha256"),
+    )
+    return held.join(said, "relative_path", "left").join(sizes, "relative_path", "left").select(
+        "relative_path", "page_count", "n_pages", "text_sha256",
+        F.coalesce(F.col("bytes") == F.col("length"), F.lit(False)).alias("size_as_said"),
     )
-    return texts.withColumn("files_written", sizes.scalar())
+
+
+def _below(root, column):
+    return F.url_decode(F.replace(F.substring_index(column, root.rsplit("/", 1)[-1], -1), F.lit("+"), F.lit("%2B")))
+
+
+@query
+def sink_paged(spark, sf):
+    """Files written page by page: text files as in sink_txt, and what the JSON files hold."""
+    root = new_folder(spark, "paged")
+    options = replace(OPTIONS, output=replace(OPTIONS.output, root_path=root))
+    named = views.recognised_pages(spark, sf).withColumn(
+        "file_path", F.regexp_replace("file_path", "([.][^./]*)$", F.concat(F.lit("-"), "image_id", F.lit("$1")))
+    )
+    manifest = written(write_pages(named, options.output.formats, options, _now()), "manifest").withColumn(
+        "output_path", F.concat_ws(".", "output_base", "format")
+    )
+    texts = manifest.where("format = 'txt'").select(
+        F.concat(_below(root, "output_base"), F.lit(".json")).alias("relative_path"), F.col("bytes").alias("txt_bytes")
+    )
+    return _read_back(spark, root, manifest.where("format = 'json'")).join(texts, "relative_path", "left")
 
 
 # ----------------------------------------------------------------- recognition
@@ -565,6 +612,17 @@ def recognise_stub(spark, sf):
     return recognising.recognise(images, RecogniserOptions(engine="plain")).drop("processing_time_ms")
 
 
+@query
+def recognise_guarded(spark, sf):
+    """Pages of toxic documents end the engine's process; they fail and all others are read."""
+    bad = views.table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").alias("image_id")).distinct()
+    marked = views.text_pages(spark, sf).join(bad.withColumn("bad", F.lit(True)), "image_id", "left")
+    image = F.when(F.col("bad"), F.unhex(F.lit("FF"))).otherwise(F.encode("text", "UTF-8"))
+    images = marked.select("image_id", "page_number", image.alias("image"))
+    options = RecogniserOptions(engine="abrupt", page_seconds=60.0)
+    return recognising.recognise(images, options).drop("processing_time_ms", "ocr_engine")
+
+
 # ---------------------------------------------------------------------- pixels
 
 

@@ -565,8 +565,22 @@ def _oracle_sql() -> dict[str, str]:
             select concat(name, '.txt') as relative_path,
                    octet_length(encode(body)) as bytes, octet_length(encode(body)) as bytes_on_disk from texts"""),
         "sink_json": _with(text_files, """
-            select count(*) as files_read, cast(sum(pages) as bigint) as pages,
-                   cast(sum(length(body)) as bigint) as characters, count(*) as files_written from texts"""),
+            select concat(name, '.json') as relative_path, cast(pages as integer) as page_count,
+                   cast(pages as integer) as n_pages, sha256(body) as text_sha256, true as size_as_said from texts"""),
+        "sink_paged": _with(text_files, """
+            select concat(name, '.json') as relative_path, cast(pages as integer) as page_count,
+                   cast(pages as integer) as n_pages, sha256(body) as text_sha256, true as size_as_said,
+                   octet_length(encode(body)) as txt_bytes from texts"""),
+        "retention": _with(RECOGNISED, """
+            select image_id, page_number, ocr_engine, 'ledger/v=1 ledger/v=2 results/run-lost' as swept
+            from recognised"""),
+        "recognise_guarded": _with(TEXT_PAGES, f"""
+            select image_id, page_number, case when not bad then text end as text,
+                   case when not bad then {CONFIDENCE.format(n="n", s="(s * 10)")} end as confidence,
+                   case when bad then 'engine ended with code 3' end as error
+            from (select *, image_id in (select doc_id from labels where toxic = 1) as bad, len(w) as n,
+                         coalesce(list_sum(list_transform(w, lambda t: least(length(t), 10))), 0)::bigint as s
+                  from (select *, list_filter({ocr_words}, lambda t: t <> '') as w from text_pages))"""),
         "conf_percent": _with(TOKENS, f"""
             select p.image_id, p.page_number, regexp_replace(p.text, '^\\s+|\\s+$', '', 'g') as text,
                    coalesce({CONFIDENCE.format(n="t.n", s="t.s")}, 0.0) as confidence
