@@ -17,14 +17,14 @@ and each part solved by itself. Four passes, each bounded by the size of a chunk
    The classes of the other anchors are dealt into shards, each shard's transform is built, and the
    transforms are merged by interleave refinement (``suffix_merge``). Blocks of suffixes with 50 equal bytes
    are the repeated intervals; their smallest doc_id is compared with each context's own.
-   A phrase of 24 to 49 bytes in many documents has another context in each, all under one anchor. So for hot
-   anchors the windows are exchanged instead: a chunk sends the hash of each distinct window with its smallest
-   doc_id, dealt out by that hash, and gets back whether an earlier document has it.
+   A phrase of 24 to 49 bytes in many documents has another context in each, all under one anchor. So a hot
+   anchor's context is cut into its windows, each a string of its own under an anchor of 50 bytes: a chunk sends
+   its distinct ones with their bytes, dealt out by their hashes, so a bucket gets at most one of each per chunk.
 4. *Removal*. Chunks get one bit per window back, mark covered bytes and report each document.
 
-A hot passage costs one entry per chunk and anchor, however many documents hold it. Hashes of 64 bits name
-anchors, contexts and windows of hot anchors; other windows that decide between different contexts are compared
-by their bytes.
+A hot passage costs one entry per chunk and anchor, however many documents hold it. Hashes of 64 bits deal the
+work out and put equal strings side by side, but decide nothing: contexts and windows of hot anchors are one class
+only if their bytes are equal, and different ones under one hash are told apart by the merge.
 
 Null text is empty. Texts under 50 bytes keep everything. Rows that repeat a doc_id are one document. A null
 doc_id counts as smaller than none: its windows never remove others', and any other document's remove its own.
@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +60,10 @@ FEWEST_BUCKETS = 64
 #: An anchor with more occurrences is dealt out by its windows. Up to MANY in a chunk count as one.
 HOT = 4096
 MANY = 15
+#: Pairs of neighbours whose bytes are compared at once.
+COMPARED = 1 << 17
+#: A chunk's messages are passed on when they have so many bytes.
+SENT_BYTES = 1 << 25
 #: Classes of a bucket that form one shard.
 SHARD_STRINGS = 4096
 LAST = np.iinfo(np.int64).max
@@ -162,11 +167,8 @@ class Chunk:
         bucket = self.hash[at] % np.uint64(buckets)
         order = np.lexsort((key, self.hash[at], bucket))
         sorted_key, sorted_hash = key[order], self.hash[at][order]
-        new = np.ones(len(order), bool)
-        new[1:] = (sorted_key[1:] != sorted_key[:-1]) | (sorted_hash[1:] != sorted_hash[:-1])
-        entry = np.empty(len(order), np.int64)
-        entry[order] = np.cumsum(new) - 1
-        some = order[new]
+        same = (sorted_key[1:] == sorted_key[:-1]) & (sorted_hash[1:] == sorted_hash[:-1])
+        entry, some = classes(order, same, self.data, self.first[at], size)
         least = np.full(len(some), LAST)
         np.minimum.at(least, entry, self.doc_ids[self.owner[at]])
         return at, entry, {
@@ -187,14 +189,37 @@ class Chunk:
             key = mixed(key * np.uint64(_BASE) + self._hashes[place + shift]) if len(place) else key
         bucket = (key % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((key, bucket))
-        new = np.ones(len(order), bool)
-        new[1:] = key[order[1:]] != key[order[:-1]]
-        entry = np.empty(len(order), np.int64)
-        entry[order] = np.cumsum(new) - 1
-        some = order[new]
+        same = key[order[1:]] == key[order[:-1]]
+        entry, some = classes(order, same, self.data, place, np.full(len(place), WINDOW))
         least = np.full(len(some), LAST)
         np.minimum.at(least, entry, docs)
-        return place, docs, entry, {"bucket": bucket[some], "key": key[some], "doc": least}
+        return place, docs, entry, {"bucket": bucket[some], "key": key[some], "first": place[some], "doc": least}
+
+
+def classes(
+    order: np.ndarray, same: np.ndarray, data: np.ndarray, first: np.ndarray, size: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of each string the number of its class, and of each class one string.
+
+    ``same`` tells of every two neighbours in ``order`` if their hashes are equal; only neighbours whose bytes are
+    equal too share a class. Different strings under one hash may part equal ones into several classes.
+    """
+    new = np.ones(len(order), bool)
+    new[1:] = ~same
+    pairs = np.flatnonzero(same)
+    for at in range(0, len(pairs), COMPARED):
+        now = pairs[at : at + COMPARED]
+        a, b = order[now], order[now + 1]
+        differs = size[a] != size[b]
+        new[now[differs] + 1] = True
+        now, a, b = now[~differs], a[~differs], b[~differs]
+        if len(now):
+            unequal = _slices(data, first[a], size[a]) != _slices(data, first[b], size[a])
+            starts = np.cumsum(size[a]) - size[a]
+            new[now[np.logical_or.reduceat(unequal, starts)] + 1] = True
+    of_class = np.empty(len(order), np.int64)
+    of_class[order] = np.cumsum(new) - 1
+    return of_class, order[new]
 
 
 def _slices(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -220,19 +245,21 @@ def _write_chunks(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, at = None, 0
         path = f"{folder}/chunks-{uuid.uuid4().hex}"
+        number = TaskContext.get().partitionId() << 32
         ids, texts, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal out, at, ids, texts, size
+            nonlocal out, at, number, ids, texts, size
             if out is None:
                 store, inner = filesystem(path)
                 store.create_dir(inner.rpartition("/")[0], recursive=True)
                 out = store.open_output_stream(inner)
             blob = pa.compress(b"".join(texts), _CODEC, asbytes=True)
             out.write(blob)
-            row = {"chunk": f"{path}:{at}", "path": path, "offset": at, "stored": len(blob), "bytes": size,
+            row = {"chunk": number, "path": path, "offset": at, "stored": len(blob), "bytes": size,
                    "doc_ids": ids, "lengths": [len(t) for t in texts]}
             at += len(blob)
+            number += 1
             ids, texts, size = [], [], 0
             return pa.RecordBatch.from_pylist([row], _CHUNK_ROW)
 
@@ -253,10 +280,10 @@ def _write_chunks(folder: str):
 
 
 _CHUNK_ROW = pa.schema([
-    ("chunk", pa.string()), ("path", pa.string()), ("offset", pa.int64()), ("stored", pa.int64()), ("bytes", pa.int64()),
+    ("chunk", pa.int64()), ("path", pa.string()), ("offset", pa.int64()), ("stored", pa.int64()), ("bytes", pa.int64()),
     ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
 ])
-_CHUNK = "chunk string, path string, offset long, stored long, bytes long, doc_ids array<long>, lengths array<long>"
+_CHUNK = "chunk long, path string, offset long, stored long, bytes long, doc_ids array<long>, lengths array<long>"
 
 
 def _read(row: dict) -> Chunk:
@@ -273,11 +300,11 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(n, 1).to_pylist()[0]
 
 
-_MESSAGE = "chunk string, bucket long, blob binary"
-_MESSAGE_ROW = pa.schema([("chunk", pa.string()), ("bucket", pa.int64()), ("blob", pa.binary())])
+_MESSAGE = "chunk long, bucket long, blob binary"
+_MESSAGE_ROW = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("blob", pa.binary())])
 
 
-def _messages(chunk: list[str], bucket: list[int], blob: list[bytes]) -> pa.RecordBatch:
+def _messages(chunk: list[int], bucket: list[int], blob: list[bytes]) -> pa.RecordBatch:
     return pa.record_batch([chunk, bucket, blob], _MESSAGE_ROW)
 
 
@@ -349,12 +376,19 @@ def _send_contexts(buckets: int):
             _, _, e = chunk.contexts(shared, buckets)
             _, _, _, w = chunk.windows(hot, buckets)
             to = np.union1d(e["bucket"], w["bucket"])
-            blobs = []
-            for a, b, c, d in zip(*(np.searchsorted(x["bucket"], to, side) for x in (e, w) for side in ("left", "right"))):
+            sent, blobs, size = [], [], 0
+            for bucket, a, b, c, d in zip(to.tolist(), *(np.searchsorted(x["bucket"], to, side) for x in (e, w) for side in ("left", "right"))):
                 text = _slices(chunk.data, e["first"][a:b], e["size"][a:b])
-                blobs.append(_pack(e["hash"][a:b], e["key"][a:b], e["doc"][a:b], e["left"][a:b].astype(np.uint8),
-                                   e["size"][a:b].astype(np.uint8), text, *([w["key"][c:d], w["doc"][c:d]] if c < d else [])))
-            yield _messages([row["chunk"]] * len(to), to.tolist(), blobs)
+                whole = _slices(chunk.data, w["first"][c:d], np.full(d - c, WINDOW))
+                sent.append(bucket)
+                blobs.append(_pack(e["hash"][a:b], e["key"][a:b], e["doc"][a:b], e["left"][a:b].astype(np.uint8), e["size"][a:b].astype(np.uint8),
+                                   text, *([w["key"][c:d], w["doc"][c:d], whole] if c < d else [])))
+                size += len(blobs[-1])
+                if size > SENT_BYTES:
+                    yield _messages([row["chunk"]] * len(sent), sent, blobs)
+                    sent, blobs, size = [], [], 0
+            if sent:
+                yield _messages([row["chunk"]] * len(sent), sent, blobs)
 
     return run
 
@@ -396,18 +430,15 @@ def earliest_windows(hashes: np.ndarray, docs: np.ndarray, sizes: np.ndarray, te
 
 
 def _solve(table: pa.Table) -> pa.Table:
-    parts = [_unpack(b, "u8", "u8", "i8", "u1", "u1", "u1", "u8", "i8") for b in table.column("blob").to_pylist()]
+    parts = [_unpack(b, "u8", "u8", "i8", "u1", "u1", "u1", "u8", "i8", "u1") for b in table.column("blob").to_pylist()]
     counts = [len(p[0]) for p in parts]
     hashes, keys, docs, left, sizes = (np.concatenate([p[k] for p in parts]) for k in range(5))
     sizes = sizes.astype(np.int64)
     text = np.concatenate([p[5] for p in parts])
     starts = np.cumsum(sizes) - sizes
     order = np.lexsort((keys, hashes))
-    new = np.ones(len(order), bool)
-    new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (hashes[order[1:]] != hashes[order[:-1]])
-    of_class = np.empty(len(order), np.int64)
-    of_class[order] = np.cumsum(new) - 1
-    some = order[new]
+    same = (keys[order[1:]] == keys[order[:-1]]) & (hashes[order[1:]] == hashes[order[:-1]])
+    of_class, some = classes(order, same, text, starts, sizes)
     earliest = np.full(len(some), LAST)
     np.minimum.at(earliest, of_class, docs)
     least = earliest_windows(hashes[some], earliest, sizes[some], _slices(text, starts[some], sizes[some]))
@@ -420,10 +451,15 @@ def _solve(table: pa.Table) -> pa.Table:
     if len(docs):
         bits = np.add.reduceat(before.astype(np.uint32) << bit.astype(np.uint32), np.cumsum(own) - own).astype(np.uint32)
     keys, docs = (np.concatenate([p[k] for p in parts]) for k in (6, 7))
-    _, of_window = np.unique(keys, return_inverse=True)
-    earliest = np.full(len(keys), LAST)
+    text = np.concatenate([p[8] for p in parts])
+    sizes = np.full(len(keys), WINDOW)
+    starts = np.cumsum(sizes) - sizes
+    order = np.argsort(keys, kind="stable")
+    of_window, some = classes(order, keys[order[1:]] == keys[order[:-1]], text, starts, sizes)
+    earliest = np.full(len(some), LAST)
     np.minimum.at(earliest, of_window, docs)
-    earlier = earliest[of_window] < docs
+    least = earliest_windows(keys[some], earliest, sizes[some], _slices(text, starts[some], sizes[some]))
+    earlier = least[of_window] < docs
     cuts, ends = np.cumsum([0, *counts]), np.cumsum([0, *(len(p[6]) for p in parts)])
     answers = [
         _pack(bits[a:b], *([np.packbits(earlier[c:d])] if c < d else []))
