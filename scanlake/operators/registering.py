@@ -9,6 +9,7 @@ from scanlake.functions import paths
 from scanlake.operators.ranking import number_rows
 from scanlake.options import InputOptions
 from scanlake.schemas import LEDGER, PENDING
+from scanlake.session import written
 
 
 def matching_files(listing: DataFrame, options: InputOptions) -> DataFrame:
@@ -32,7 +33,10 @@ def _once_per_path(files: DataFrame) -> DataFrame:
 
 def unregistered_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """One row per path that the ledger does not hold yet."""
-    new = _once_per_path(files).join(ledger.select("file_path"), "file_path", "left_anti")
+    # Stored, so that its size is known: a small listing is broadcast to the ledger's scan, which needs no exchange.
+    listed = written(_once_per_path(files), "listed")
+    known = ledger.select("file_path").join(listed.select("file_path"), "file_path", "left_semi")
+    new = listed.join(known, "file_path", "left_anti")
     return new.select(
         "file_path", paths.file_name(F.col("file_path")).alias("file_name"), "file_size_bytes"
     )

@@ -318,6 +318,21 @@ def retention(spark, sf):
     )
 
 
+@query
+def ledger_changes(spark, sf):
+    """Four commits of changed and new rows alone, each on what the last one left, and a sweep: the ledger after it."""
+    root = new_folder(spark, "changes")
+    version = tables.commit(views.ledger(spark, sf), None, root, 0)
+    for n in range(4):
+        now = tables.read_ledger(spark, root).where("id < 1000000000")
+        changed = now.where((F.col("id") % 8).isin(n, n + 1)).withColumns({
+            "retry_count": F.col("retry_count") + n + 1, "error_message": F.lit(f"change {n}")})
+        new = now.where("id % 8 = 5").withColumn("id", F.col("id") + 1_000_000_000 * (n + 1))
+        version = tables.commit_changes(changed.unionByName(new), None, root, version)
+    tables.sweep(spark, root, keep=1, older_than=0)
+    return tables.read_ledger(spark, root).select("id", "file_path", "status", "retry_count", "error_message")
+
+
 @query
 def init_ledger(spark, sf):
     """A first run: create the empty tables, register every file, read the ledger back."""

@@ -1,7 +1,8 @@
 """The whole job: claim, process, assemble, write files, record; committed slice by slice.
 
-A slice is the next rows of the queue by id. Its documents are written first; then its results and the
-ledger that calls the rows complete are published together. Whatever stops the job before that leaves the
+The queue is numbered once a pass and stored by slice; rows that may be tried again are the next pass's queue. A
+slice is the next rows by id. Its documents are written first; then its results and the ledger rows it changed are
+published together, so a slice writes its own rows and not the ledger. Whatever stops the job before that leaves the
 slice as it was: the next run takes it again and replaces its files by equal ones. A document whose file
 cannot be written fails like one that cannot be read, and the others of its slice do not. So does one whose
 output belongs to another document of the same folder and stem. Files are written page by page, so documents
@@ -10,17 +11,20 @@ may be larger than a row. Intermediate tables of a slice are deleted when it end
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.functions.paths import output_base
 from scanlake.operators import ledger as steps
 from scanlake.operators.outputs import written_formats
+from scanlake.operators.ranking import number_rows
 from scanlake.options import Options
 from scanlake.plans.document_job import outcomes_of
-from scanlake.schemas import RESULTS
+from scanlake.schemas import LEDGER, RESULTS
 from scanlake.plans.rounds import Process, _every_claim
-from scanlake.session import scratch, written
+from scanlake.session import new_folder, scratch, written
 from scanlake.sources import tables
 from scanlake.sources.paged import write_pages
 
@@ -40,38 +44,59 @@ def run_job(
     """
     retries = options.run.max_retries
     version = tables.newest(spark, f"{root}/ledger")
-    ledger = steps.reset_stale(tables.read_ledger(spark, root), now, options.run.stale_minutes)
-    while not steps.eligible(ledger, retries).isEmpty():
+    stale = steps.stale(tables.read_ledger(spark, root), now, options.run.stale_minutes)
+    if not stale.isEmpty():
+        free = steps.reset_stale(stale, now, options.run.stale_minutes)
+        version = tables.commit_changes(free, None, root, version)
+    while not (waiting := steps.eligible(tables.read_ledger(spark, root), retries)).isEmpty():
         with scratch():
-            held = written(steps.claim_batch(ledger, [worker], slice_rows, retries, now), "held")
-            before = ledger.select(F.col("id"), F.col("status").alias("was"))
-            mine = held.where(F.col("status") == steps.PROCESSING).join(
-                before.where(F.col("was") == steps.PENDING).select("id"), "id", "left_semi"
-            )
-            # Recognition is the costly step: write its pages once, then read them for each use.
-            pages = written(process(mine), "pages")
-            read = outcomes_of(pages, options)
-            bad = pages.where(F.col("error").isNotNull()).select("image_id").distinct()
-            good = pages.join(bad, "image_id", "left_anti")
-            base = output_base(F.col("file_path"), options.input.root_path, options.output.root_path)
-            taken = _taken(good.select("image_id", base.alias("output_base")).distinct(), ledger)
-            mine_alone = good.join(taken.select(F.col("id").alias("image_id")), "image_id", "left_anti")
-            unwritten = _write(mine_alone, options, now).unionByName(taken)
-            outcomes = written(_every_claim(mine, _with_unwritten(read, unwritten)), "outcomes")
-            done = outcomes.where(F.col("error_message").isNull()).select(F.col("id").alias("image_id"))
-            results = steps.results_of(good.join(done, "image_id", "left_semi"), now)
-            # Rows that could be claimed have no committed results: only this slice can hold a page twice.
-            steps.check_new_results(spark.createDataFrame([], RESULTS), results)
-            after = steps.record_outcomes(held, outcomes, retries, now)
-            version = tables.commit(after, results, root, version)
-        ledger = tables.read_ledger(spark, root)
+            for queued in _slices(waiting, slice_rows):
+                mine = steps.claim_all(queued, worker, retries, now)
+                version = _run_slice(spark, root, process, options, mine, now, version)
     return version
 
 
+def _slices(waiting: DataFrame, rows: int) -> Iterator[DataFrame]:
+    """The queue by id in slices, numbered and stored once. Whoever else changes a row meanwhile takes the version."""
+    spark = waiting.sparkSession
+    path = new_folder(spark, "queue")
+    slot = F.floor((F.col("n") - 1) / F.lit(rows)).cast("long")
+    # Range partitions by id hold few slots each, so there are about as many files as partitions and slots.
+    number_rows(waiting, "id", "n").withColumn("slot", slot).drop("n").write.partitionBy("slot").parquet(path)
+    last = spark.read.parquet(path).agg(F.max("slot")).first()[0]
+    for n in range(0 if last is None else last + 1):
+        yield spark.read.schema(LEDGER).parquet(f"{path}/slot={n}")
+
+
+def _run_slice(
+    spark: SparkSession, root: str, process: Process, options: Options, mine: DataFrame, now: Column, version: int
+) -> int:
+    with scratch():
+        # Recognition is the costly step: write its pages once, then read them for each use.
+        pages = written(process(mine), "pages")
+        read = outcomes_of(pages, options)
+        bad = pages.where(F.col("error").isNotNull()).select("image_id").distinct()
+        good = pages.join(bad, "image_id", "left_anti")
+        base = output_base(F.col("file_path"), options.input.root_path, options.output.root_path)
+        taken = _taken(good.select("image_id", base.alias("output_base")).distinct(), tables.read_ledger(spark, root))
+        mine_alone = good.join(taken.select(F.col("id").alias("image_id")), "image_id", "left_anti")
+        unwritten = _write(mine_alone, options, now).unionByName(taken)
+        outcomes = written(_every_claim(mine, _with_unwritten(read, unwritten)), "outcomes")
+        done = outcomes.where(F.col("error_message").isNull()).select(F.col("id").alias("image_id"))
+        results = steps.results_of(good.join(done, "image_id", "left_semi"), now)
+        # Rows that could be claimed have no committed results: only this slice can hold a page twice.
+        steps.check_new_results(spark.createDataFrame([], RESULTS), results)
+        after = steps.record_outcomes(mine, outcomes, options.run.max_retries, now)
+        return tables.commit_changes(after, results, root, version)
+
+
 def _taken(documents: DataFrame, ledger: DataFrame) -> DataFrame:
     """(id, problem) of the documents whose output belongs to another: one written before, or of a smaller id."""
     done = ledger.where(F.col("status") == steps.COMPLETE).select(
         F.col("output_path").alias("output_base"), F.col("id").alias("before"))
+    # Stored, so that a small slice goes to the ledger and not the ledger through an exchange.
+    documents = written(documents, "bases")
+    done = done.join(documents.select("output_base"), "output_base", "left_semi")
     done = done.groupBy("output_base").agg(F.min("before").alias("before"))
     first = documents.groupBy("output_base").agg(F.min("image_id").alias("first"))
     owner = first.join(done, "output_base", "left").select("output_base", F.coalesce("before", "first").alias("owner"))

@@ -571,6 +571,16 @@ def _oracle_sql() -> dict[str, str]:
             select concat(name, '.json') as relative_path, cast(pages as integer) as page_count,
                    cast(pages as integer) as n_pages, sha256(body) as text_sha256, true as size_as_said,
                    octet_length(encode(body)) as txt_bytes from texts"""),
+        "ledger_changes": _with(LEDGER + """,
+            counted as (
+              select *, case id % 8 when 0 then 1 when 1 then 3 when 2 then 5 when 3 then 7 when 4 then 4 else 0 end as more,
+                     case id % 8 when 0 then 'change 0' when 1 then 'change 1' when 2 then 'change 2'
+                                 when 3 then 'change 3' when 4 then 'change 3' else error_message end as message
+              from ledger)""", """
+            select id, file_path, status, cast(retry_count + more as integer) as retry_count, message as error_message
+            from counted union all
+            select id + 1000000000::bigint * n, file_path, status, retry_count, error_message
+            from ledger, (select unnest([1, 2, 3, 4]) as n) where id % 8 = 5"""),
         "retention": _with(RECOGNISED, """
             select image_id, page_number, ocr_engine, 'ledger/v=1 ledger/v=2 results/run-lost' as swept
             from recognised"""),

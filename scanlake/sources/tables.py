@@ -1,8 +1,9 @@
 """Ledger and result tables as numbered Parquet folders.
 
-The ledger is small: each folder v=N is a whole ledger and the newest counts.
-Results are large and only grow: each folder holds the rows of one run, and
-all of them count.
+A ledger version v=N is a whole ledger, or the rows that changed together with the names of the older folders it
+builds on: ``commit_changes`` writes in proportion to the change, and merges small parts into larger ones, so that
+each part is over twice as large as the next and their number is logarithmic. The newest version counts.
+Results are large and only grow: each folder holds the rows of one run, and all of them count.
 
 A folder is written aside and gets its number by one rename that fails if the number is taken, so of two
 drivers only one has it. ``commit`` publishes a ledger and the results that belong to it by the same rename:
@@ -12,9 +13,11 @@ the ledger's folder names the result folders that count.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scanlake.schemas import LEDGER, RESULTS
@@ -70,9 +73,16 @@ def write_snapshot(df: DataFrame, root: str, version: int | None = None, notes:
     With ``version`` that number or none: ``VersionTaken`` if another driver has it. ``notes`` become a
     file of the folder, published with it.
     """
-    spark = df.sparkSession
+    return _publish(df.sparkSession, _write_aside(df, root), root, version, notes)
+
+
+def _write_aside(df: DataFrame, root: str) -> str:
     aside = f"{root}/_aside-{uuid.uuid4().hex}"
     df.write.parquet(aside)
+    return aside
+
+
+def _publish(spark: SparkSession, aside: str, root: str, version: int | None, notes: str | None) -> int:
     as_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = as_path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     if notes is not None:
@@ -100,11 +110,45 @@ def _notes(spark: SparkSession, root: str, version: int) -> str:
         stream.close()
 
 
+def _runs(spark: SparkSession, root: str, version: int) -> list[str]:
+    """The result folders a ledger version names."""
+    words = _notes(spark, f"{root}/ledger", version).split() if version else []
+    return [w for w in words if w.startswith("run-")]
+
+
+def _parts(spark: SparkSession, root: str, version: int) -> list[str]:
+    """The folders that make up a ledger version, oldest first."""
+    words = _notes(spark, f"{root}/ledger", version).split() if version else []
+    return [w for w in words if w.startswith("v=")] + [f"v={version}"] * bool(version)
+
+
+def _bytes(spark: SparkSession, folder: str) -> int:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def _merged(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """Of every id the row in the latest of the folders, which are given oldest first.
+
+    Only changed rows are grouped. The oldest folder is read once and loses the changed ids, which Spark
+    broadcasts where their files are small.
+    """
+    base, *later = (spark.read.schema(LEDGER).parquet(folder) for folder in folders)
+    if not later:
+        return base
+    changed = later[0]
+    if len(later) > 1:
+        tagged = reduce(DataFrame.unionByName, [part.withColumn("part", F.lit(n)) for n, part in enumerate(later)])
+        row = F.max_by(F.struct(*LEDGER.names), "part").alias("row")
+        changed = tagged.groupBy("id").agg(row).select("row.*")
+    kept = base.join(reduce(DataFrame.unionByName, [part.select("id") for part in later]), "id", "left_anti")
+    return kept.select(LEDGER.names).unionByName(changed)
+
+
 def read_results(spark: SparkSession, root: str) -> DataFrame:
     """All result rows that count: of the runs that the newest ledger names, and of numbered folders."""
     version = newest(spark, f"{root}/ledger")
-    runs = _notes(spark, f"{root}/ledger", version).split() if version else []
-    folders = [f"{root}/results/{run}" for run in runs]
+    folders = [f"{root}/results/{run}" for run in _runs(spark, root, version)]
     folders += [f"{root}/results/v={number}" for number in _versions(spark, f"{root}/results")]
     return spark.read.schema(RESULTS).parquet(*folders) if folders else spark.createDataFrame([], RESULTS)
 
@@ -115,20 +159,45 @@ def commit(ledger: DataFrame, results: DataFrame | None, root: str, after: int)
     Results of a commit that did not come about are never read. ``VersionTaken`` if somebody else published
     since ``after``.
     """
-    spark = ledger.sparkSession
-    runs = _notes(spark, f"{root}/ledger", after).split() if after else []
-    if results is not None:
-        run = f"run-{uuid.uuid4().hex}"
-        results.write.parquet(f"{root}/results/{run}")
-        runs.append(run)
+    runs = _runs_with(results, ledger.sparkSession, root, after)
     return write_snapshot(ledger, f"{root}/ledger", after + 1, "\n".join(runs))
 
 
+def _runs_with(results: DataFrame | None, spark: SparkSession, root: str, after: int) -> list[str]:
+    """Write result rows aside; the result folders of the version to come."""
+    runs = _runs(spark, root, after)
+    if results is not None:
+        runs.append(f"run-{uuid.uuid4().hex}")
+        results.write.parquet(f"{root}/results/{runs[-1]}")
+    return runs
+
+
+def commit_changes(changes: DataFrame, results: DataFrame | None, root: str, after: int) -> int:
+    """Like ``commit``, from the rows alone that changed or came since version ``after``; one row an id.
+
+    Written are the changes and, with them, the trailing parts that are not over twice as large; if that takes
+    in all of them, the version is a whole ledger again. Over many commits a row is rewritten about as often
+    as there are parts, a logarithm. Rows are never removed; use ``commit`` for that.
+    """
+    spark, ledger = changes.sparkSession, f"{root}/ledger"
+    runs = _runs_with(results, spark, root, after)
+    parts = _parts(spark, root, after)
+    aside = _write_aside(changes, ledger)
+    size, taken = _bytes(spark, aside), []
+    while parts and _bytes(spark, f"{ledger}/{parts[-1]}") <= 2 * size:
+        taken.insert(0, parts.pop())
+        size += _bytes(spark, f"{ledger}/{taken[0]}")
+    if taken:
+        alone, aside = aside, _write_aside(_merged(spark, [*(f"{ledger}/{part}" for part in taken), aside]), ledger)
+        delete(spark, alone)
+    return _publish(spark, aside, ledger, after + 1, "\n".join(parts + runs))
+
+
 def sweep(spark: SparkSession, root: str, keep: int = 2, older_than: float = 86_400.0) -> list[str]:
     """Delete what no reader needs below ``root``; the paths that went, relative to it.
 
-    Kept are the newest ``keep`` ledgers and all result folders that one of them names, and every numbered
-    result folder. Result folders are listed before the ledgers are read, so one published in between is kept. Folders that no ledger names yet, and
+    Kept are the newest ``keep`` ledgers, all ledger and result folders that one of them names, and every
+    numbered result folder. Result folders are listed before the ledgers are read, so one published in between is kept. Folders that no ledger names yet, and
     unfinished ones, stay until ``older_than`` seconds have passed since their last change: a running commit
     must take less. A stop within the sweep leaves folders over, which the next one deletes.
     """
@@ -138,8 +207,9 @@ def sweep(spark: SparkSession, root: str, keep: int = 2, older_than: float = 86_
     ledgers = folders_with_age(spark, f"{root}/ledger")
     versions = _versions(spark, f"{root}/ledger")
     kept = versions[-keep:]
-    named = {run for version in kept for run in _notes(spark, f"{root}/ledger", version).split()}
-    gone = [f"ledger/v={version}" for version in versions[:-keep]]
+    named = {run for version in kept for run in _runs(spark, root, version)}
+    parts = {part for version in kept for part in _parts(spark, root, version)}
+    gone = [f"ledger/v={version}" for version in versions if f"v={version}" not in parts]
     gone += [f"ledger/{n}" for n, age in ledgers if n.startswith("_aside-") and age >= older_than]
     gone += [
         f"results/{n}" for n, age in results
@@ -165,7 +235,9 @@ def read_all(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
-    return read_snapshot(spark, f"{root}/ledger", LEDGER)
+    """The newest version, put together from its parts; an empty table if there is none."""
+    parts = _parts(spark, root, newest(spark, f"{root}/ledger"))
+    return _merged(spark, [f"{root}/ledger/{part}" for part in parts]) if parts else spark.createDataFrame([], LEDGER)
 
 
 def init_tables(spark: SparkSession, root: str) -> None:

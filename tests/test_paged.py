@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import re
 import time
 
 import pytest
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 
 from scanlake.functions.times import moment
 from scanlake.operators import recognising
+from scanlake.operators.registering import unregistered_files
 from scanlake.options import InputOptions, Options, OutputOptions, RecogniserOptions
 from scanlake.plans.document_job import document_rows
+from scanlake.schemas import LEDGER, RESULTS
 from scanlake.session import folders_with_age, new_folder, scratch, shared_folder, sweep_scratch, written
 from scanlake.sources import documents as document_files
 from scanlake.sources import tables
@@ -103,6 +106,63 @@ def test_sweep_keeps_what_ledgers_name(spark, tmp_path):
         tables.sweep(spark, root, keep=0)
 
 
+def test_changes_are_written_as_parts_and_read_back_whole(spark, tmp_path):
+    root, rng = str(tmp_path), random.Random(6)
+
+    def table(rows):
+        data = [(i, f"/in/{i}", str(i), 1, s, None, None, None, None, n, None, None, NOW) for i, (s, n) in rows.items()]
+        names = ", ".join(f.name + " " + ("string" if "time" in f.dataType.typeName() else f.dataType.simpleString()) for f in LEDGER)
+        frame = spark.createDataFrame(data, names)
+        return frame.select([F.col(f.name).cast(f.dataType) for f in LEDGER]).coalesce(1)
+
+    def read():
+        rows = tables.read_ledger(spark, root).collect()
+        assert len({r.id for r in rows}) == len(rows)
+        return {r.id: (r.status, r.retry_count) for r in rows}
+
+    def size(folder):
+        return sum(p.stat().st_size for p in (tmp_path / "ledger" / folder).iterdir())
+
+    model = {i: ("pending", rng.randrange(1 << 30)) for i in range(20_000)}
+    assert tables.commit_changes(table(model), None, root, 0) == 1 and read() == model
+    results = spark.createDataFrame([], RESULTS)
+    for version in range(1, 10):
+        ids = rng.sample(sorted(model), 40) + [100_000 + version] * (version % 3 == 0)
+        change = {i: ("complete", rng.randrange(1 << 30)) for i in ids}
+        model |= change
+        assert tables.commit_changes(table(change), results if version == 2 else None, root, version) == version + 1
+        assert size(f"v={version + 1}") < size("v=1") / 2
+    assert read() == model
+    parts = tables._parts(spark, root, 10)
+    assert parts[0] == "v=1" and parts[-1] == "v=10" and len(parts) < 6
+    assert len(tables._runs(spark, root, 10)) == 1
+    with pytest.raises(tables.VersionTaken):
+        tables.commit_changes(table({1: ("failed", 1)}), None, root, 9)
+    tables.sweep(spark, root, keep=1, older_than=0)
+    assert read() == model and len(list((tmp_path / "ledger").iterdir())) == len(parts)
+    # A change as large as half the ledger makes the version a whole ledger again.
+    change = {i: ("failed", rng.randrange(1 << 30)) for i in range(0, 20_000, 2)}
+    model |= change
+    tables.commit_changes(table(change), None, root, 10)
+    assert tables._parts(spark, root, 11) == ["v=11"] and read() == model
+    tables.commit_changes(table({}), None, root, 11)
+    assert read() == model
+
+
+def test_a_small_listing_needs_no_exchange_of_the_ledger(spark, tmp_path):
+    files = spark.range(20).selectExpr("concat('/in/', sha(cast(id AS string))) AS file_path", "id AS file_size_bytes")
+    spark.range(10, 20_000).selectExpr("concat('/in/', sha(cast(id AS string))) AS file_path").write.parquet(f"{tmp_path}/l")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        new = unregistered_files(files, spark.read.parquet(f"{tmp_path}/l"))
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"BroadcastHashJoin .*LeftSemi, BuildRight", plan), plan
+        assert new.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_scratch_folders_go_and_others_stay(spark, tmp_path):
     def names() -> set[str]:
         return {name for name, _ in folders_with_age(spark, shared_folder(spark))}

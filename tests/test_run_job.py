@@ -62,7 +62,7 @@ def test_job_ends_the_same_after_a_stop_at_any_step(spark, tmp_path, monkeypatch
     assert len(results) == 5
     integrity.check(tables.read_ledger(spark, work), tables.read_results(spark, work))
 
-    for step, (where, name) in enumerate([(job, "_write"), (tables, "write_snapshot")]):
+    for step, (where, name) in enumerate([(job, "_write"), (tables, "_publish")]):
         work, out, run = collection(spark, tmp_path / str(step))
 
         def stop(*args, **kwargs):
@@ -87,6 +87,31 @@ def test_one_file_that_cannot_be_written(spark, tmp_path):
     assert "last" not in {r[2] for r in results}
 
 
+def test_retries_and_stale_rows_go_by_passes(spark, tmp_path):
+    work, out, _ = collection(spark, tmp_path)
+    ledger = tables.read_ledger(spark, work)
+    left = F.when(F.col("file_name") == "d.tif", "processing").otherwise(F.col("status"))
+    begun = F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")
+    changed = ledger.withColumn("status", left).withColumn("started_at", begun).where("status = 'processing'")
+    version = tables.commit_changes(changed, None, work, 1)
+    tries = []
+
+    def process(claimed):
+        tries.append(sorted(r.file_name for r in claimed.collect()))
+        pages = file_sources.decode_pages(
+            claimed.selectExpr("id AS image_id", "file_path", "file_size_bytes"), file_sources.text_pages, tasks=2)
+        return recognising.recognise(pages, RecogniserOptions(engine="plain"))
+
+    options = Options(
+        input=InputOptions(root_path=str(tmp_path / "in")), output=OutputOptions(root_path=str(out)),
+        recogniser=RecogniserOptions(engine="plain"), run=RunOptions(max_retries=2),
+    )
+    assert job.run_job(spark, work, process, options, "job", moment(NOW), slice_rows=2) == version + 4
+    assert tries == [["a.tif", "bad.tif"], ["b c#1.tiff", "d.tif"], ["bad.tif"]]
+    rows = {r.file_name: (r.status, r.retry_count) for r in tables.read_ledger(spark, work).collect()}
+    assert rows == {"a.tif": ("complete", 0), "b c#1.tiff": ("complete", 0), "bad.tif": ("failed", 2), "d.tif": ("complete", 1)}
+
+
 def test_a_version_is_given_once(spark, tmp_path):
     work = str(tmp_path)
     tables.init_tables(spark, work)
