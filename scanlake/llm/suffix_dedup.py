@@ -14,7 +14,8 @@ and each part solved by itself. Four passes, each bounded by the size of a chunk
 3. *Contexts*. The windows of one shared anchor cover at most 76 bytes, its context. A chunk sends its distinct
    contexts, each with its smallest doc_id, dealt out by anchor. In a bucket equal contexts become one class
    with one smallest doc_id. Anchors with one class are done: all their windows start in that document.
-   The classes of the other anchors are dealt into shards, each shard's transform is built, and the
+   The classes of the other anchors that agree with another one in 13 bytes beside the anchor, without which no
+   window can be equal, are dealt into shards, each shard's transform is built, and the
    transforms are merged by interleave refinement (``suffix_merge``). Blocks of suffixes with 50 equal bytes
    are the repeated intervals; their smallest doc_id is compared with each context's own.
    A phrase of 24 to 49 bytes in many documents has another context in each, all under one anchor. So a hot
@@ -51,6 +52,8 @@ from scanlake.session import new_folder, written
 
 WINDOW, ANCHOR = 50, 24
 SPAN = WINDOW - ANCHOR + 1
+#: So many bytes of a window lie on one side of its anchor at least; two words of eight bytes cover them.
+HALF = (SPAN - 1) // 2
 CHUNK_BYTES = 2_000_000
 #: Longer texts are searched in steps of so many windows.
 STEP = 1 << 21
@@ -168,6 +171,7 @@ class Chunk:
         order = np.lexsort((key, self.hash[at], bucket))
         sorted_key, sorted_hash = key[order], self.hash[at][order]
         same = (sorted_key[1:] == sorted_key[:-1]) & (sorted_hash[1:] == sorted_hash[:-1])
+        same &= left[order[1:]] == left[order[:-1]]
         entry, some = classes(order, same, self.data, self.first[at], size)
         least = np.full(len(some), LAST)
         np.minimum.at(least, entry, self.doc_ids[self.owner[at]])
@@ -207,21 +211,28 @@ def classes(
     new = np.ones(len(order), bool)
     new[1:] = ~same
     pairs = np.flatnonzero(same)
+    # Eight bytes at a time; the last eight of a string overlap those before.
+    words = _words(data)
     for at in range(0, len(pairs), COMPARED):
         now = pairs[at : at + COMPARED]
         a, b = order[now], order[now + 1]
         differs = size[a] != size[b]
+        last = np.minimum(size[a], size[b]) - 8
+        a, b = first[a], first[b]
+        for step in range(0, int(last.max()) + 8, 8):
+            place = np.minimum(last, step)
+            differs |= words[a + place] != words[b + place]
         new[now[differs] + 1] = True
-        now, a, b = now[~differs], a[~differs], b[~differs]
-        if len(now):
-            unequal = _slices(data, first[a], size[a]) != _slices(data, first[b], size[a])
-            starts = np.cumsum(size[a]) - size[a]
-            new[now[np.logical_or.reduceat(unequal, starts)] + 1] = True
     of_class = np.empty(len(order), np.int64)
     of_class[order] = np.cumsum(new) - 1
     return of_class, order[new]
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes at every place, as one number each, without a copy."""
+    return np.ndarray(max(0, len(data) - 7), "<u8", np.ascontiguousarray(data), strides=(1,))
+
+
 def _slices(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     ends = np.cumsum(size)
     return data[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
@@ -379,7 +390,7 @@ def _send_contexts(buckets: int):
             sent, blobs, size = [], [], 0
             for bucket, a, b, c, d in zip(to.tolist(), *(np.searchsorted(x["bucket"], to, side) for x in (e, w) for side in ("left", "right"))):
                 text = _slices(chunk.data, e["first"][a:b], e["size"][a:b])
-                whole = _slices(chunk.data, w["first"][c:d], np.full(d - c, WINDOW))
+                whole = np.lib.stride_tricks.sliding_window_view(chunk.data, WINDOW)[w["first"][c:d]] if c < d else None
                 sent.append(bucket)
                 blobs.append(_pack(e["hash"][a:b], e["key"][a:b], e["doc"][a:b], e["left"][a:b].astype(np.uint8), e["size"][a:b].astype(np.uint8),
                                    text, *([w["key"][c:d], w["doc"][c:d], whole] if c < d else [])))
@@ -393,10 +404,37 @@ def _send_contexts(buckets: int):
     return run
 
 
-def earliest_windows(hashes: np.ndarray, docs: np.ndarray, sizes: np.ndarray, text: np.ndarray) -> np.ndarray:
+def may_share(
+    hashes: np.ndarray, left: np.ndarray, sizes: np.ndarray, text: np.ndarray, starts: np.ndarray
+) -> np.ndarray:
+    """Which contexts may have a window in common with another of the same anchor; all others surely have none.
+
+    A window has ``SPAN - 1`` bytes beside its anchor, so at least half of them on one side: equal windows agree in
+    the ``HALF`` bytes before the anchor or in those behind it. ``left``: the place of the anchor in its context.
+    """
+    out = np.zeros(len(hashes), bool)
+    words = _words(text)
+    for has, place in (
+        (left >= HALF, starts + left - HALF), (sizes - left - ANCHOR >= HALF, starts + left + ANCHOR)
+    ):
+        own = np.flatnonzero(has)
+        a, b = words[place[own]], words[place[own] + HALF - 8]
+        order = np.lexsort((b, a, hashes[own]))
+        a, b, anchor, own = a[order], b[order], hashes[own][order], own[order]
+        equal = (a[1:] == a[:-1]) & (b[1:] == b[:-1]) & (anchor[1:] == anchor[:-1])
+        out[own[1:][equal]] = True
+        out[own[:-1][equal]] = True
+    return out
+
+
+def earliest_windows(
+    hashes: np.ndarray, docs: np.ndarray, sizes: np.ndarray, text: np.ndarray, starts: np.ndarray,
+    left: np.ndarray | None = None,
+) -> np.ndarray:
     """Of every window of some distinct contexts the smallest doc_id of all contexts that hold its 50 bytes.
 
-    ``hashes`` are the contexts' anchors, equal ones next to each other; ``text`` their bytes joined.
+    ``hashes`` are the contexts' anchors, equal ones next to each other; ``starts`` their places in ``text``.
+    With ``left`` the merge takes only contexts that ``may_share``.
     """
     windows = sizes - WINDOW + 1
     least = np.repeat(docs, windows)
@@ -406,9 +444,10 @@ def earliest_windows(hashes: np.ndarray, docs: np.ndarray, sizes: np.ndarray, te
         alone[1:] &= differs
         alone[:-1] &= differs
     some = np.flatnonzero(~alone)
+    if left is not None and len(some):
+        some = some[may_share(hashes[some], left[some], sizes[some], text, starts[some])]
     if not len(some):
         return least
-    starts = np.cumsum(sizes) - sizes
     window_starts = np.cumsum(windows) - windows
     shards = [
         Shard(_slices(text, starts[own], sizes[own]), sizes[own])
@@ -433,15 +472,16 @@ def _solve(table: pa.Table) -> pa.Table:
     parts = [_unpack(b, "u8", "u8", "i8", "u1", "u1", "u1", "u8", "i8", "u1") for b in table.column("blob").to_pylist()]
     counts = [len(p[0]) for p in parts]
     hashes, keys, docs, left, sizes = (np.concatenate([p[k] for p in parts]) for k in range(5))
-    sizes = sizes.astype(np.int64)
+    left, sizes = left.astype(np.int64), sizes.astype(np.int64)
     text = np.concatenate([p[5] for p in parts])
     starts = np.cumsum(sizes) - sizes
     order = np.lexsort((keys, hashes))
     same = (keys[order[1:]] == keys[order[:-1]]) & (hashes[order[1:]] == hashes[order[:-1]])
+    same &= left[order[1:]] == left[order[:-1]]
     of_class, some = classes(order, same, text, starts, sizes)
     earliest = np.full(len(some), LAST)
     np.minimum.at(earliest, of_class, docs)
-    least = earliest_windows(hashes[some], earliest, sizes[some], _slices(text, starts[some], sizes[some]))
+    least = earliest_windows(hashes[some], earliest, sizes[some], text, starts[some], left[some])
     windows = sizes[some] - WINDOW + 1
     window_starts = np.cumsum(windows) - windows
     own = windows[of_class]
@@ -458,7 +498,7 @@ def _solve(table: pa.Table) -> pa.Table:
     of_window, some = classes(order, keys[order[1:]] == keys[order[:-1]], text, starts, sizes)
     earliest = np.full(len(some), LAST)
     np.minimum.at(earliest, of_window, docs)
-    least = earliest_windows(keys[some], earliest, sizes[some], _slices(text, starts[some], sizes[some]))
+    least = earliest_windows(keys[some], earliest, sizes[some], text, starts[some])
     earlier = least[of_window] < docs
     cuts, ends = np.cumsum([0, *counts]), np.cumsum([0, *(len(p[6]) for p in parts)])
     answers = [
