@@ -24,7 +24,6 @@ from scanlake.operators import (
 )
 from scanlake.options import InputOptions, Options, OutputOptions, PrepOptions, RecogniserOptions
 from scanlake.plans import document_job, job, page_prep, rounds, views
-from scanlake.schemas import DOCUMENT
 from scanlake.session import new_folder, spread, written
 from scanlake.sources import documents as document_files
 from scanlake.sources import files as file_sources
@@ -395,8 +394,9 @@ def run_job(spark, sf):
     tables.commit(views.ledger(spark, sf), None, root, 0)
     job.run_job(spark, root, _queue(spark, sf), options, "job-1", _now())
     results = tables.read_results(spark, root).groupBy(F.col("image_id").alias("id"))
-    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/out").select(
-        F.regexp_extract("path", "/out/(.*)[.]txt$", 1).alias("base"), F.lit(True).alias("there")
+    texts = file_sources.list_files(spark, InputOptions(root_path=f"{root}/out", extensions=(".txt",)))
+    there = texts.select(
+        F.regexp_extract("file_path", "/out/(.*)[.]txt$", 1).alias("base"), F.lit(True).alias("there")
     ).where("base <> ''")
     ended = tables.read_ledger(spark, root).withColumn("base", F.regexp_extract("output_path", "/out/(.*)$", 1))
     both = ended.join(results.agg(F.count("*").alias("n_results")), "id", "left").join(there, "base", "left")
@@ -535,22 +535,20 @@ def sink_json(spark, sf):
 
 def _read_back(spark, root, manifest):
     """Each JSON file by itself: pages and text it holds, and whether it has the size its writer says."""
-    on_disk = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-    sizes = on_disk.load(root).select(_below(root, "path").alias("relative_path"), "length")
+    listed = file_sources.list_files(spark, InputOptions(root_path=root, extensions=(".json",)))
     said = manifest.select(_below(root, "output_path").alias("relative_path"), "bytes")
-    reader = spark.read.schema(DOCUMENT).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-    held = reader.json(root).select(
-        _below(root, "_metadata.file_path").alias("relative_path"), "page_count",
+    held = document_files.read_document_files(listed).select(
+        _below(root, "file_path").alias("relative_path"), "page_count", "bytes_on_disk",
         F.size("pages").alias("n_pages"), F.sha2("full_text", 256).alias("text_sha256"),
     )
-    return held.join(said, "relative_path", "left").join(sizes, "relative_path", "left").select(
+    return held.join(said, "relative_path", "left").select(
         "relative_path", "page_count", "n_pages", "text_sha256",
-        F.coalesce(F.col("bytes") == F.col("length"), F.lit(False)).alias("size_as_said"),
+        F.coalesce(F.col("bytes") == F.col("bytes_on_disk"), F.lit(False)).alias("size_as_said"),
     )
 
 
 def _below(root, column):
-    return F.url_decode(F.replace(F.substring_index(column, root.rsplit("/", 1)[-1], -1), F.lit("+"), F.lit("%2B")))
+    return F.substring_index(column, root.rsplit("/", 1)[-1], -1)
 
 
 @query

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.schemas import DOCUMENT
+from scanlake.sources.files import BATCH_BYTES, _read_file, _tasks_for
 from scanlake.sources.stores import filesystem
 
 
@@ -17,11 +19,47 @@ def write_json_lines(documents: DataFrame, path: str) -> None:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Documents below a folder, be it JSON Lines or a tree with one file per document."""
+    """Documents below a folder, be it JSON Lines or a tree with one file per document.
+
+    The driver holds the list of files; ``read_document_files`` is for trees of many.
+    """
     reader = spark.read.schema(DOCUMENT).option("recursiveFileLookup", "true")
     return reader.option("pathGlobFilter", "*.json").json(path)
 
 
+def read_document_files(files: DataFrame) -> DataFrame:
+    """The documents in listed JSON files: file_path, bytes_on_disk and the document's fields.
+
+    Takes rows as ``list_files`` gives them. Tasks open the files, so the driver holds neither their names nor
+    a task for every few of them. A file has one document a line; what cannot be parsed has null fields.
+    """
+    rows = files.select("file_path", "file_size_bytes")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, size = [], 0
+            for path, length in zip(*(c.to_pylist() for c in batch.columns)):
+                for line in _read_file(path).splitlines():
+                    if line.strip():
+                        held.append((path, length, line.decode("utf-8", "replace")))
+                        size += len(line)
+                if size > BATCH_BYTES:
+                    yield _lines(held)
+                    held, size = [], 0
+            if held:
+                yield _lines(held)
+
+    lines = rows.repartition(_tasks_for(files)).mapInArrow(read, "file_path string, file_size_bytes bigint, line string")
+    parsed = lines.select("file_path", "file_size_bytes", F.from_json("line", DOCUMENT).alias("document"))
+    return parsed.select("file_path", F.col("file_size_bytes").alias("bytes_on_disk"), "document.*")
+
+
+def _lines(held: list[tuple]) -> pa.RecordBatch:
+    types = (pa.string(), pa.int64(), pa.string())
+    columns = [pa.array(c, t) for c, t in zip(zip(*held), types)]
+    return pa.record_batch(columns, names=["file_path", "file_size_bytes", "line"])
+
+
 def text_bodies(documents: DataFrame) -> DataFrame:
     """(output_path, body) of the text files."""
     return documents.select(_file("txt").alias("output_path"), F.col("full_text").alias("body"))
