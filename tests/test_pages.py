@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,3 +192,24 @@ def test_golden_document_and_files(spark, tmp_path):
     lines = document_files.read_documents(spark, str(tmp_path / "lines"))
     assert lines.first()["relative_path"] == "s/d.tif"
     assert pages.explode_pages(lines.select("relative_path", "pages")).count() == 3
+
+
+def test_tokens_in_any_order_with_repeated_and_null_numbers(spark):
+    draw = random.Random(3)
+    rows = [(i, p, n, f"w{i}-{p}-{n}", 0.5 if n % 7 else None) for i in (1, 2, None) for p in (1, 2) for n in range(1, 9000, 1 + p)]
+    rows += [(1, 1, 4095, "z", 0.25), (1, 1, 4095, "a", -1.0), (1, 1, None, "null", 1.0), (1, 1, None, "nil", 1.0), (1, 2, 5, None, 1.0)]
+    draw.shuffle(rows)
+    found = spark.createDataFrame(rows, "image_id long, page_number int, token_no int, text string, conf double")
+    keys = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 1), (2, 9), (None, 1)], "image_id long, page_number int")
+    for tokens_in in (found.repartition(5), found.coalesce(1).sortWithinPartitions("image_id", "page_number", "token_no")):
+        got = tokens.pages_from_tokens(keys, tokens_in, " ").collect()
+        expected = []
+        for image, page in [(1, 1), (1, 2), (2, 1), (2, 1), (2, 9), (None, 1)]:
+            own = [r for r in rows if image and r[:2] == (image, page) and r[3] is not None]
+            own.sort(key=lambda r: (r[2] is not None, r[2] or 0, r[3]))
+            scores = [r[4] for r in own if r[4] is not None and r[4] >= 0]
+            expected.append((image, page, " ".join(r[3] for r in own), round(sum(scores) / len(scores), 4) if scores else 0.0))
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
+    plan = tokens.pages_from_tokens(keys, found, " ")._jdf.queryExecution().sparkPlan().toString()
+    executed = tokens.pages_from_tokens(keys, found, " ")._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and executed.count("Exchange hashpartitioning") == 2
