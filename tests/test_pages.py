@@ -213,3 +213,19 @@ def test_tokens_in_any_order_with_repeated_and_null_numbers(spark):
     plan = tokens.pages_from_tokens(keys, found, " ")._jdf.queryExecution().sparkPlan().toString()
     executed = tokens.pages_from_tokens(keys, found, " ")._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and executed.count("Exchange hashpartitioning") == 2
+
+
+def test_answers_of_many_pages_are_not_held_together(spark):
+    class Wordy:
+        def read(self, image):
+            with open("/proc/self/statm") as sizes:
+                held = int(sizes.read().split()[1]) * 4 // 1024
+            return str(held), [(f"word {n}", 0.5) for n in range(400)]
+
+    recognising.register_engine("wordy", recognising.EngineSpec(lambda options: Wordy(), 1, " "))
+    images = spark.range(9000).select(F.col("id").alias("image_id"), F.lit(1).alias("page_number"), F.lit(b"x").alias("image"))
+    read = recognising.recognise(images.coalesce(1), RecogniserOptions(engine="wordy"))
+    least, most, rows, score = read.agg(
+        F.min(F.col("text").cast("int")), F.max(F.col("text").cast("int")), F.count("*"), F.min("confidence")
+    ).first()
+    assert (rows, score) == (9000, 0.5) and most - least < 200
