@@ -14,9 +14,8 @@ and each part solved by itself. Four passes, each bounded by the size of a chunk
 3. *Contexts*. The windows of one shared anchor cover at most 76 bytes, its context. A chunk sends its distinct
    contexts, each with its smallest doc_id, dealt out by anchor. In a bucket equal contexts become one class
    with one smallest doc_id. Anchors with one class are done: all their windows start in that document.
-   The classes of the other anchors that agree with another one in 13 bytes beside the anchor, without which no
-   window can be equal, are dealt into shards, each shard's transform is built, and the
-   transforms are merged by interleave refinement (``suffix_merge``). Blocks of suffixes with 50 equal bytes
+   The classes of the other anchors that agree with another one in 24 bytes beside the anchor, without which no
+   window can be equal, are dealt into shards, each shard's transform is built, and the transforms are merged by interleave refinement (``suffix_merge``). Blocks of suffixes with 50 equal bytes
    are the repeated intervals; their smallest doc_id is compared with each context's own.
    A phrase of 24 to 49 bytes in many documents has another context in each, all under one anchor. So a hot
    anchor's context is cut into its windows, each a string of its own under an anchor of 50 bytes: a chunk sends
@@ -37,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -52,12 +52,12 @@ from scanlake.session import new_folder, written
 
 WINDOW, ANCHOR = 50, 24
 SPAN = WINDOW - ANCHOR + 1
-#: So many bytes of a window lie on one side of its anchor at least; two words of eight bytes cover them.
-HALF = (SPAN - 1) // 2
+#: Windows of an anchor are told apart by so many different places of it.
+PLACES = 3
 CHUNK_BYTES = 2_000_000
-#: Longer texts are searched in steps of so many windows.
-STEP = 1 << 21
-PLACE_BITS = np.uint64(22)
+#: Texts are searched in steps of so many windows; their arrays stay in a core's cache.
+STEP = 1 << 14
+PLACE_BITS = np.uint64(15)
 BUCKET_BYTES = 12_000_000
 FEWEST_BUCKETS = 64
 #: An anchor with more occurrences is dealt out by its windows. Up to MANY in a chunk count as one.
@@ -72,7 +72,6 @@ SHARD_STRINGS = 4096
 LAST = np.iinfo(np.int64).max
 _BASE = 0x9E3779B97F4A7C15
 _M = 0xFFFFFFFFFFFFFFFF
-_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 _CODEC = "zstd"
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -81,36 +80,44 @@ def _power(n: int) -> np.uint64:
     return np.uint64(pow(_BASE, n, 1 << 64))
 
 
-def string_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of all strings of ANCHOR (16 + 8) bytes."""
-    h = _BYTES[data]
-    size = 1
-    for _ in range(3):
-        h = h[:-size] + h[size:] * _power(size)
-        size *= 2
-    eight = h
-    h = h[:-8] + h[8:] * _power(8)
-    n = len(data) - ANCHOR + 1
-    return mixed(h[:n] + eight[16 : 16 + n] * _power(16))
+def string_hashes(words: np.ndarray) -> np.ndarray:
+    """Hashes of all strings of ANCHOR (three times 8) bytes; ``words``: the eight bytes at every place."""
+    h = mixed(words)
+    return mixed(h[:-16] + h[8:-8] * _power(1) + h[16:] * _power(2))
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each window its anchor's place, and the hash at every place."""
-    hashes = string_hashes(data)
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows whose anchor differs from that of the window before, their anchors' places, and the hash at every
+    place."""
+    words = _words(data)
+    hashes = np.empty(len(data) - ANCHOR + 1, np.uint64)
     low = (np.uint64(1) << PLACE_BITS) - np.uint64(1)
+    numbers = np.arange(STEP + SPAN, dtype=np.uint64)
     windows = len(data) - WINDOW + 1
-    out = np.empty(windows, np.int64)
+    begins, places, before = [], [], -1
     for at in range(0, windows, STEP):
         end = min(windows, at + STEP)
-        keys = hashes[at : end + SPAN - 1] & ~low
-        keys |= np.arange(len(keys), dtype=np.uint64)
+        hashes[at : end + SPAN - 1] = keys = string_hashes(words[at : end + SPAN + 15])
+        keys &= ~low
+        keys |= numbers[: len(keys)]
         size = 1
         while size * 2 <= SPAN:
             keys = np.minimum(keys[:-size], keys[size:])
             size *= 2
-        least = np.minimum(keys[: end - at], keys[SPAN - size : SPAN - size + end - at])
-        out[at:end] = (least & low).astype(np.int64) + at
-    return out, hashes
+        place = (np.minimum(keys[: end - at], keys[SPAN - size : SPAN - size + end - at]) & low).astype(np.int64) + at
+        new = np.ones(len(place), bool)
+        new[0] = place[0] != before
+        new[1:] = place[1:] != place[:-1]
+        new = np.flatnonzero(new)
+        begins.append(new + at)
+        places.append(place[new])
+        before = place[-1]
+    return np.concatenate(begins), np.concatenate(places), hashes
+
+
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each hash; of greater hashes no smaller one."""
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 class Chunk:
@@ -126,49 +133,47 @@ class Chunk:
         self.hash = np.zeros(0, np.uint64)
         if n < WINDOW:
             return
-        anchor, hashes = anchors(self.data)
+        begin, place, hashes = anchors(self.data)
         ends = np.cumsum(self.lengths)
-        owner = np.repeat(np.arange(len(ends)), self.lengths)[: len(anchor)]
-        window = np.flatnonzero(np.arange(len(anchor)) + WINDOW <= ends[owner])
-        if not len(window):
-            return
-        anchor = anchor[window]
-        new = np.ones(len(window), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (owner[window[1:]] != owner[window[:-1]])
-        begin = np.flatnonzero(new)
-        self.anchor = anchor[begin]
-        self.first = window[begin]
-        self.last = window[np.append(begin[1:], len(window)) - 1]
-        self.owner = owner[self.first]
-        self.hash = hashes[self.anchor]
+        # Runs of windows with one anchor, cut where documents begin and end.
+        starts = (ends - self.lengths)[self.lengths >= WINDOW]
+        at = np.searchsorted(begin, starts)
+        inner = begin[np.minimum(at, len(begin) - 1)] != starts
+        begin, place = np.insert(begin, at[inner], starts[inner]), np.insert(place, at[inner], place[at[inner] - 1])
+        owner = np.repeat(np.arange(len(ends)), np.diff(np.searchsorted(begin, ends), prepend=0))
+        last = np.minimum(np.append(begin[1:], n - WINDOW + 1) - 1, ends[owner] - WINDOW)
+        inside = begin <= last
+        self.first, self.last, self.owner, self.anchor = begin[inside], last[inside], owner[inside], place[inside]
+        # Anchors are those with the least hashes; mixed again they spread over the buckets.
+        self.hash = mixed(hashes[self.anchor])
         self._hashes = hashes
 
+    @cached_property
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct anchor hashes in order, of each anchor its hash's number, and how often each occurs."""
+        return np.unique(self.hash, return_inverse=True, return_counts=True)
+
     def sent(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct anchor hashes in the order they are sent, their buckets, if two documents here have them, and
         how often they occur."""
-        distinct, back, counts = np.unique(self.hash, return_inverse=True, return_counts=True)
+        distinct, back, counts = self.distinct
         low = np.full(len(distinct), LAST)
         high = np.full(len(distinct), -1)
-        np.minimum.at(low, back, self.owner_doc)
-        np.maximum.at(high, back, self.owner_doc)
-        order = np.argsort(distinct % np.uint64(buckets), kind="stable")
-        return distinct[order], (distinct % np.uint64(buckets)).astype(np.int64)[order], (low < high)[order], counts[order]
-
-    @property
-    def owner_doc(self) -> np.ndarray:
-        return np.unique(self.doc_ids, return_inverse=True)[1][self.owner]
+        doc = np.unique(self.doc_ids, return_inverse=True)[1][self.owner]
+        np.minimum.at(low, back, doc)
+        np.maximum.at(high, back, doc)
+        return distinct, _bucket(distinct, buckets), low < high, counts
 
     def contexts(self, shared: np.ndarray, buckets: int):
         """Occurrences of shared anchors by context: the entries in the order they are sent, and of each
-        occurrence its entry."""
-        at = np.flatnonzero(np.isin(self.hash, shared))
+        occurrence its entry. ``shared``: of each distinct hash if it is one."""
+        at = np.flatnonzero(shared[self.distinct[1]])
         left = self.anchor[at] - self.first[at]
         size = self.last[at] - self.first[at] + WINDOW
         key = self.hash[at] ^ (left * 128 + size).astype(np.uint64) * np.uint64(_BASE)
         for place in (np.zeros(len(at), np.int64), np.full(len(at), ANCHOR), np.minimum(2 * ANCHOR, size - ANCHOR), size - ANCHOR):
             key = mixed(key * np.uint64(_BASE) + self._hashes[self.first[at] + place]) if len(at) else key
-        bucket = self.hash[at] % np.uint64(buckets)
-        order = np.lexsort((key, self.hash[at], bucket))
+        order = np.lexsort((key, self.hash[at]))
         sorted_key, sorted_hash = key[order], self.hash[at][order]
         same = (sorted_key[1:] == sorted_key[:-1]) & (sorted_hash[1:] == sorted_hash[:-1])
         same &= left[order[1:]] == left[order[:-1]]
@@ -176,28 +181,26 @@ class Chunk:
         least = np.full(len(some), LAST)
         np.minimum.at(least, entry, self.doc_ids[self.owner[at]])
         return at, entry, {
-            "bucket": bucket[some].astype(np.int64), "hash": self.hash[at][some], "key": key[some],
+            "bucket": _bucket(self.hash[at][some], buckets), "hash": self.hash[at][some], "key": key[some],
             "left": left[some], "size": size[some], "first": self.first[at][some], "doc": least,
         }
 
-
     def windows(self, hot: np.ndarray, buckets: int):
         """Places and doc_ids of the windows of hot anchors, of each its entry, and the distinct windows as they
         are sent."""
-        at = np.flatnonzero(np.isin(self.hash, hot))
+        at = np.flatnonzero(hot[self.distinct[1]])
         own = self.last[at] - self.first[at] + 1
         place = np.repeat(self.first[at] - (np.cumsum(own) - own), own) + np.arange(own.sum())
         docs = np.repeat(self.doc_ids[self.owner[at]], own)
         key = np.zeros(len(place), np.uint64)
         for shift in (0, ANCHOR, WINDOW - ANCHOR):
             key = mixed(key * np.uint64(_BASE) + self._hashes[place + shift]) if len(place) else key
-        bucket = (key % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((key, bucket))
+        order = np.argsort(key, kind="stable")
         same = key[order[1:]] == key[order[:-1]]
         entry, some = classes(order, same, self.data, place, np.full(len(place), WINDOW))
         least = np.full(len(some), LAST)
         np.minimum.at(least, entry, docs)
-        return place, docs, entry, {"bucket": bucket[some], "key": key[some], "first": place[some], "doc": least}
+        return place, docs, entry, {"bucket": _bucket(key[some], buckets), "key": key[some], "first": place[some], "doc": least}
 
 
 def classes(
@@ -239,16 +242,16 @@ def _slices(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    table = pa.table({str(n): pa.array([a.tobytes()], pa.binary()) for n, a in enumerate(arrays)})
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=_CODEC)) as out:
-        out.write_table(table)
-    return sink.getvalue().to_pybytes()
+    """The arrays in one blob, compressed together: many messages are short."""
+    sizes = np.array([a.nbytes for a in arrays], "<i8")
+    return bytes([len(arrays)]) + sizes.tobytes() + pa.compress(b"".join(a.tobytes() for a in arrays), _CODEC, asbytes=True)
 
 
 def _unpack(blob: bytes, *types: str) -> list[np.ndarray]:
-    table = pa.ipc.open_stream(blob).read_all()
-    blobs = [table.column(n)[0].as_py() for n in range(table.num_columns)]
+    sizes = np.frombuffer(blob, "<i8", blob[0], 1)
+    ends = np.cumsum(sizes).tolist()
+    data = pa.decompress(memoryview(blob)[1 + sizes.nbytes :], ends[-1], _CODEC, asbytes=True)
+    blobs = [data[end - size : end] for end, size in zip(ends, sizes.tolist())]
     return [np.frombuffer(b, t) for b, t in zip(blobs + [b""] * (len(types) - len(blobs)), types, strict=True)]
 
 
@@ -368,15 +371,16 @@ def _find_shared(hot: int):
 
 
 def _shared_of(chunk: Chunk, replies: list[dict], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shared anchor hashes of a chunk, from what its buckets replied, those not hot and the hot ones."""
-    hashes, bucket, here, _ = chunk.sent(buckets)
+    """Of each distinct anchor hash of a chunk, from what its buckets replied, if it is shared and not hot, and if it
+    is shared and hot."""
+    _, bucket, here, _ = chunk.sent(buckets)
     shared, hot = here.copy(), np.zeros(len(here), bool)
     for reply in replies or []:
         a, b = np.searchsorted(bucket, [reply["bucket"], reply["bucket"] + 1])
         size = -(-(b - a) // 8)
         shared[a:b] |= np.unpackbits(np.frombuffer(reply["blob"][:size], np.uint8))[: b - a].astype(bool)
         hot[a + np.frombuffer(reply["blob"][size:], np.uint32)] = True
-    return hashes[shared & ~hot], hashes[shared & hot]
+    return shared & ~hot, shared & hot
 
 
 def _send_contexts(buckets: int):
@@ -409,21 +413,23 @@ def may_share(
 ) -> np.ndarray:
     """Which contexts may have a window in common with another of the same anchor; all others surely have none.
 
-    A window has ``SPAN - 1`` bytes beside its anchor, so at least half of them on one side: equal windows agree in
-    the ``HALF`` bytes before the anchor or in those behind it. ``left``: the place of the anchor in its context.
+    A window has ``SPAN - 1`` bytes beside its anchor. Of ``PLACES`` neighbouring places of the anchor, all windows
+    have the first one's bytes before it and the last one's behind it: only contexts that agree in them may share.
+    ``left``: the place of the anchor in its context.
     """
     out = np.zeros(len(hashes), bool)
     words = _words(text)
-    for has, place in (
-        (left >= HALF, starts + left - HALF), (sizes - left - ANCHOR >= HALF, starts + left + ANCHOR)
-    ):
-        own = np.flatnonzero(has)
-        a, b = words[place[own]], words[place[own] + HALF - 8]
-        order = np.lexsort((b, a, hashes[own]))
-        a, b, anchor, own = a[order], b[order], hashes[own][order], own[order]
-        equal = (a[1:] == a[:-1]) & (b[1:] == b[:-1]) & (anchor[1:] == anchor[:-1])
-        out[own[1:][equal]] = True
-        out[own[:-1][equal]] = True
+    for before in range(0, SPAN, PLACES):
+        behind = max(0, SPAN - before - PLACES)
+        own = np.flatnonzero((left >= before) & (sizes - left - ANCHOR >= behind))
+        begin, key = (starts + left)[own] - before, hashes[own]
+        size = before + ANCHOR + behind
+        for place in range(0, size, 8):
+            key = mixed(key * np.uint64(_BASE) + words[begin + min(place, size - 8)])
+        order = np.argsort(key)
+        equal = key[order[1:]] == key[order[:-1]]
+        out[own[order[1:][equal]]] = True
+        out[own[order[:-1][equal]]] = True
     return out
 
 

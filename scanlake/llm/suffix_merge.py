@@ -21,27 +21,25 @@ def suffix_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """
     n = len(text)
     places = np.arange(n)
-    key = np.zeros(n, np.int64)
-    for k in range(7):
-        at = places + k
-        symbol = np.where(at <= ends, text[np.minimum(at, n - 1)], 0)
-        key = key << 9 | symbol
-    order = np.argsort(key, kind="stable")
-    rank = _ranks(key[order], order)
+    # Seven symbols of nine bits; those behind a terminator are cut off.
+    symbols = np.zeros(n + 6, np.int64)
+    symbols[:n] = text
+    pairs = symbols[:-1] << 9 | symbols[1:]
+    key = pairs[:n] << 45 | pairs[2 : n + 2] << 27 | pairs[4 : n + 4] << 9 | symbols[6:]
+    key &= np.array([~0 << 9 * (7 - k) for k in range(8)])[np.minimum(ends - places + 1, 7)]
+    rank = _ranks(key)
     step = 7
-    while step < 1 << 40:
-        longest = int((ends - places).max(initial=0)) + 1
-        if step >= longest or int(rank.max(initial=0)) == n - 1:
-            break
+    longest = int((ends - places).max(initial=0)) + 1
+    while step < longest and int(rank.max(initial=0)) < n - 1:
         behind = np.where(places + step <= ends, rank[np.minimum(places + step, n - 1)] + 1, 0)
-        key = rank * (n + 2) + behind
-        order = np.argsort(key, kind="stable")
-        rank = _ranks(key[order], order)
+        rank = _ranks(rank * (n + 2) + behind)
         step *= 2
-    return order
+    return np.argsort(rank * n + places)
 
 
-def _ranks(ordered: np.ndarray, order: np.ndarray) -> np.ndarray:
+def _ranks(key: np.ndarray) -> np.ndarray:
+    order = np.argsort(key)
+    ordered = key[order]
     rank = np.empty(len(order), np.int64)
     rank[order] = np.cumsum(np.concatenate(([False], ordered[1:] != ordered[:-1])))
     return rank
@@ -74,14 +72,16 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray, np.n
     sizes = [len(s.order) for s in shards]
     n = sum(sizes)
     symbols = np.concatenate([s.transform for s in shards]) if shards else np.zeros(0, np.uint16)
-    interleave = np.repeat(np.arange(len(shards), dtype=np.uint16), sizes)
+    if n and symbols.max() < 256:  # always so for UTF-8
+        symbols = symbols.astype(np.uint8)
+    interleave = np.repeat(np.arange(len(shards), dtype=np.uint8 if len(shards) < 256 else np.uint16), sizes)
     block = np.zeros(n, np.int32)
     common = np.full(n, depth, np.int32)
     if n:
         common[0] = 0
     blocks = 1
     for done in range(depth):
-        read = np.empty(n, np.uint16)
+        read = np.empty(n, symbols.dtype)
         read[np.argsort(interleave, kind="stable")] = symbols
         order = np.argsort(read, kind="stable")
         new = interleave[order]
