@@ -33,19 +33,20 @@ def entries(folder: str) -> Iterator[tuple[str, bool, bool, int | None]]:
     prefix = folder.rstrip("/") + "/"
     if isinstance(store, fs.LocalFileSystem):
         try:
-            found = list(os.scandir(inner))
+            found = os.scandir(inner)
         except FileNotFoundError:
             return
-        for entry in found:
-            if entry.is_dir():
-                if not entry.is_symlink():
-                    yield prefix + entry.name, True, False, None
-                continue
-            try:
-                size = entry.stat().st_size
-            except OSError:
-                size = None
-            yield prefix + entry.name, False, entry.is_file(), size
+        with found:  # one entry at a time: a folder may hold as many as there are documents
+            for entry in found:
+                if entry.is_dir():
+                    if not entry.is_symlink():
+                        yield prefix + entry.name, True, False, None
+                    continue
+                try:
+                    size = entry.stat().st_size
+                except OSError:
+                    size = None
+                yield prefix + entry.name, False, entry.is_file(), size
         return
     for info in store.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
         is_folder = info.type == fs.FileType.Directory

@@ -1,11 +1,13 @@
 """Listing folders of a local tree."""
 
 import os
+import tracemalloc
 
 import pytest
 
 from scanlake.options import InputOptions
 from scanlake.sources.files import list_files
+from scanlake.sources.stores import entries
 
 
 def sizes(spark, root, **kind):
@@ -34,3 +36,16 @@ def test_empty_and_missing_roots(spark, tmp_path):
     assert sizes(spark, str(tmp_path)) == {}
     with pytest.raises(FileNotFoundError):
         list_files(spark, InputOptions(root_path=f"{tmp_path}/none"))
+
+
+def test_a_large_folder_is_not_held_while_it_is_listed(tmp_path):
+    for n in range(10_000):
+        (tmp_path / f"{n}.txt").touch()
+    tracemalloc.start()
+    try:
+        found = sum(size == 0 for _, _, is_file, size in entries(str(tmp_path)) if is_file)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 10_000 and most < 1_000_000
+    assert list(entries(f"{tmp_path}/gone")) == []
