@@ -77,6 +77,12 @@ def delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder that is not there yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def folders_with_age(spark: SparkSession, parent: str) -> list[tuple[str, float]]:
     """Names of the folders in ``parent`` and the seconds since each was changed."""
     path = spark._jvm.org.apache.hadoop.fs.Path(parent)

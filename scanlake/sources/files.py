@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import replace
-from functools import reduce
+from functools import partial, reduce
 from itertools import islice
 from typing import Any
 
@@ -13,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanlake.operators.registering import matching_files
+from scanlake.operators.registering import matching_files, unregistered_files
 from scanlake.options import InputOptions
-from scanlake.session import written
-from scanlake.sources.stores import entries, filesystem, qualified
+from scanlake.session import make_folder, written
+from scanlake.sources import tables
+from scanlake.sources.stores import entries, filesystem, opens, qualified
 
 
 def _name_glob(extensions: tuple[str, ...]) -> str:
@@ -48,19 +50,36 @@ def list_files(spark: SparkSession, options: InputOptions) -> DataFrame:
     it cannot be told. A flat listing takes files only, a recursive one dangling links as well. Paths are
     absolute and carry their store unless it is the local one. A root that does not exist is an error.
     """
-    root = qualified(spark, options.root_path)
+    return _walked(spark, replace(options, root_path=qualified(spark, options.root_path)), _list_folders)
+
+
+def visible_files(spark: SparkSession, options: InputOptions) -> DataFrame:
+    """The files of ``list_files`` that Spark's file sources find as well.
+
+    Empty files, hidden ones and hidden folders are left out. Links to folders are entered, unless they lead
+    back to a folder on their way. A store that tasks cannot open by themselves is listed by Spark, whose
+    driver then holds the listing.
+    """
+    options = replace(options, root_path=qualified(spark, options.root_path))
+    if opens(options.root_path):
+        return _walked(spark, options, partial(_list_folders, visible=True)).where("file_size_bytes > 0")
+    found = _binary_reader(spark.read, options).load(options.root_path)
+    return matching_files(found.select(_plain_path().alias("file_path"), F.col("length").alias("file_size_bytes")), options)
+
+
+def _walked(spark: SparkSession, options: InputOptions, lister: Callable) -> DataFrame:
     tasks = spark.sparkContext.defaultParallelism
-    level = spark.createDataFrame([(root,)], "file_path string")
+    level = spark.createDataFrame([(options.root_path,)], "file_path string")
     found = []
     while True:
-        listed = level.repartition(tasks).mapInPandas(_list_folders, _ENTRIES)
+        listed = level.repartition(tasks).mapInPandas(lister, _ENTRIES)
         listed = written(listed, "listing")
         found.append(listed.where("not is_folder" if options.recursive else "is_file"))
         level = listed.where("is_folder").select("file_path")
         if not options.recursive or level.isEmpty():
             break
     listing = reduce(DataFrame.unionByName, found).select("file_path", "file_size_bytes")
-    return matching_files(listing, replace(options, root_path=root))
+    return matching_files(listing, options)
 
 
 _ENTRIES = "file_path string, is_folder boolean, is_file boolean, file_size_bytes bigint"
@@ -68,37 +87,44 @@ _ENTRIES = "file_path string, is_folder boolean, is_file boolean, file_size_byte
 LISTED_AT_ONCE = 10_000
 
 
-def _list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _list_folders(batches: Iterator[pd.DataFrame], visible: bool = False) -> Iterator[pd.DataFrame]:
     columns = ["file_path", "is_folder", "is_file", "file_size_bytes"]
     for batch in batches:
         for folder in batch["file_path"]:
-            rows = entries(folder)
+            rows = filter(_is_visible, entries(folder, links=True)) if visible else entries(folder)
             while some := list(islice(rows, LISTED_AT_ONCE)):
                 yield pd.DataFrame(some, columns=columns).astype({"file_size_bytes": "Int64"})
 
 
+def _is_visible(entry: tuple[str, bool, bool, int | None]) -> bool:
+    """Whether Spark's file sources take the name in; they do not find names that are no UTF-8 either."""
+    path, is_folder, *_ = entry
+    name = path.rpartition("/")[2]
+    if is_folder and name.startswith(("_metadata", "_common_metadata")):
+        return True
+    hidden = name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+    return not hidden and not re.search("[\ud800-\udfff]", name)
+
+
 def read_contents(spark: SparkSession, options: InputOptions) -> DataFrame:
     """Files with their bytes (file_path, content), for a page decoder."""
     found = _binary_reader(spark.read, options).load(options.root_path)
     return found.select(_plain_path().alias("file_path"), "content")
 
 
-def stream_files(spark: SparkSession, options: InputOptions) -> DataFrame:
-    """New files under the root as a stream, ``STREAMED_AT_ONCE`` a batch.
+def stream_files(spark: SparkSession, options: InputOptions, known: DataFrame, folder: str) -> DataFrame:
+    """Files under the root as a stream: all that are there now and whose file_path ``known`` lacks.
 
-    Spark's file stream skips empty files and names that start with ``_`` or ``.``; registering
-    ``list_files`` again finds those.
+    Tasks list the tree and store the new rows as one more table below ``folder``; the stream reads these
+    tables, each once. So the driver and the checkpoint hold the tables' few files, not those of the tree,
+    and a batch may have any number of rows. Takes in what ``visible_files`` finds; registering ``list_files``
+    adds empty files and names that start with ``_`` or ``.``.
     """
-    root = qualified(spark, options.root_path)
-    schema = "path string, modificationTime timestamp, length bigint, content binary"
-    reader = _binary_reader(spark.readStream, options).option("maxFilesPerTrigger", STREAMED_AT_ONCE)
-    listing = reader.schema(schema).load(options.root_path).select(
-        _plain_path().alias("file_path"), F.col("length").alias("file_size_bytes")
-    )
-    return matching_files(listing, replace(options, root_path=root))
-
-
-STREAMED_AT_ONCE = 100_000
+    new = written(unregistered_files(visible_files(spark, options), known), "new")
+    make_folder(spark, folder)
+    if not new.isEmpty():
+        tables.write_snapshot(new, folder)
+    return spark.readStream.schema(new.schema).option("recursiveFileLookup", "true").parquet(folder)
 
 
 # A decoder yields one (image bytes, width, height, dpi strings or None) per page.

@@ -23,11 +23,20 @@ def qualified(spark: SparkSession, path: str) -> str:
     return re.sub("^file:(//)?(?=/)", "", full.toString())
 
 
-def entries(folder: str) -> Iterator[tuple[str, bool, bool, int | None]]:
+def opens(path: str) -> bool:
+    """Whether what lies at a qualified path can be reached without Spark."""
+    try:
+        store, inner = filesystem(path)
+        return store.get_file_info(inner).type != fs.FileType.NotFound
+    except Exception:  # noqa: BLE001 - a scheme, library or right that is missing has its own error in each store
+        return False
+
+
+def entries(folder: str, links: bool = False) -> Iterator[tuple[str, bool, bool, int | None]]:
     """What lies in a folder: path, is it a folder, is it a file, size (null where it cannot be told).
 
-    Links to folders are left out, so a walk ends; a dangling link is neither folder nor file.
-    A folder that went meanwhile is empty.
+    Links to folders are left out, or with ``links`` only those that lead back, so a walk ends; a dangling
+    link is neither folder nor file. A folder that went meanwhile is empty.
     """
     store, inner = filesystem(folder)
     prefix = folder.rstrip("/") + "/"
@@ -38,21 +47,35 @@ def entries(folder: str) -> Iterator[tuple[str, bool, bool, int | None]]:
             return
         with found:  # one entry at a time: a folder may hold as many as there are documents
             for entry in found:
-                if entry.is_dir():
-                    if not entry.is_symlink():
+                try:
+                    is_folder, is_file = entry.is_dir(), entry.is_file()
+                except OSError:  # a link that leads to itself
+                    is_folder = is_file = False
+                if is_folder:
+                    if not entry.is_symlink() or links and not _leads_back(entry.path):
                         yield prefix + entry.name, True, False, None
                     continue
                 try:
                     size = entry.stat().st_size
                 except OSError:
                     size = None
-                yield prefix + entry.name, False, entry.is_file(), size
+                yield prefix + entry.name, False, is_file, size
         return
     for info in store.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
         is_folder = info.type == fs.FileType.Directory
         yield prefix + info.base_name, is_folder, not is_folder, None if is_folder else info.size
 
 
+def _leads_back(link: str) -> bool:
+    """Whether a link leads to one of the folders on its way."""
+    target, above = os.path.realpath(link), os.path.dirname(link)
+    while above != os.path.dirname(above):
+        if os.path.realpath(above) == target:
+            return True
+        above = os.path.dirname(above)
+    return above == target
+
+
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     """The store of a qualified path, and the path within it.
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from scanlake.operators.registering import register_files
 from scanlake.options import InputOptions
 from scanlake.schemas import LEDGER
+from scanlake.session import scratch
 from scanlake.sources.files import stream_files
 
 
@@ -29,7 +30,8 @@ def register_available(
     """Register everything that is new and stop; run it again for later files.
 
     Each micro-batch owns the folder batch=N and replaces it when replayed, so
-    a restart after a crash registers nothing twice.
+    a restart after a crash registers nothing twice. All that is new is one batch,
+    so its ids go by path.
     """
 
     def register(batch: DataFrame, batch_id: int) -> None:
@@ -37,18 +39,12 @@ def register_available(
         new = register_files(batch, known, now)
         new.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-    # The source stats every new file once more, by default in one task per file.
-    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    before = spark.conf.get(listing)
-    spark.conf.set(listing, str(spark.sparkContext.defaultParallelism))
-    try:
+    with scratch():
         (
-            stream_files(spark, options)
+            stream_files(spark, options, registered(spark, root), f"{checkpoint}/listed")
             .writeStream.foreachBatch(register)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()
             .awaitTermination()
         )
-    finally:
-        spark.conf.set(listing, before)
