@@ -111,11 +111,15 @@ def _in_order(separator: str) -> Column:
     return F.when(F.size(pieces) == 1, alone).otherwise(F.array_join(ordered, separator))
 
 
-def row_confidence(tokens: Column, scale: int) -> Column:
-    """Mean score of a token array held in one row."""
-    scored = F.filter(F.transform(tokens, lambda t: score_units(t["conf"], scale)), F.isnotnull)
-    total = F.aggregate(scored, F.lit(0).cast("bigint"), lambda a, u: a + u)
-    return mean_of_units(total, F.coalesce(F.size(scored), F.lit(0)))
+def row_units(tokens: Column, scale: int) -> Column:
+    """The scores of a token array held in one row that count, as whole billionths."""
+    return F.filter(F.transform(tokens["conf"], lambda conf: score_units(conf, scale)), F.isnotnull)
+
+
+def row_confidence(units: Column) -> Column:
+    """Mean of the ``row_units`` of a row, which should be a column of an earlier select: here they are used twice."""
+    total = F.aggregate(units, F.lit(0).cast("bigint"), lambda a, u: a + u)
+    return mean_of_units(total, F.coalesce(F.size(units), F.lit(0)))
 
 
 def row_text(tokens: Column, separator: str) -> Column:
